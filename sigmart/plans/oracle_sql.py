@@ -165,3 +165,207 @@ oracle("report_volume_spam", ["fct_signals_all"], _VOLUME.format(
 oracle("sql_retrieve", ["dim_actions"], "SELECT *, 'sql' AS source FROM (" + _PRECISION.format(
     where="WHERE s.model_id = 'spam-classifier-v4' AND s.signal_timestamp >= TIMESTAMP '2024-01-01'"
           " AND s.signal_timestamp < TIMESTAMP '2024-02-01'") + "ORDER BY day DESC, s.model_id LIMIT 100)")
+
+
+# -- ingestion -------------------------------------------------------------------------------
+# Rules per field: ordered (condition, error type); the first that holds is the field's error.
+# ``f`` in a condition stands for the JSON type of the field, ``t`` for its text.
+
+_NO_NUMBER = r"^\s*[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+|[iI][nN][fF]|[nN][aA][nN])\s*$"
+_NUMBERS = "('DOUBLE', 'UBIGINT', 'BIGINT')"
+
+
+def _text_rules(shortest: int = 0, longest: int | None = None, required: bool = True) -> list[tuple[str, str]]:
+    rules = [("f IS NULL", "missing" if required else ""), ("f <> 'VARCHAR'", "string_type")]
+    if shortest:
+        rules.append((f"length(t) < {shortest}", "string_too_short"))
+    if longest:
+        rules.append((f"length(t) > {longest}", "string_too_long"))
+    return rules
+
+
+def _choice_rules(values: list[str], required: bool = True) -> list[tuple[str, str]]:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return [("f IS NULL", "missing" if required else ""), (f"f <> 'VARCHAR' OR t NOT IN ({listed})", "enum")]
+
+
+def _score_rules(required: bool) -> list[tuple[str, str]]:
+    return [
+        ("f IS NULL", "missing" if required else ""),
+        (f"f NOT IN ('VARCHAR', 'BOOLEAN') AND f NOT IN {_NUMBERS}", "float_type"),
+        (f"f = 'VARCHAR' AND NOT regexp_matches(t, '{_NO_NUMBER}')", "float_parsing"),
+        ("NOT isnan(try_cast(t AS DOUBLE)) AND try_cast(t AS DOUBLE) < 0", "greater_than_equal"),
+        ("NOT isnan(try_cast(t AS DOUBLE)) AND try_cast(t AS DOUBLE) > 1", "less_than_equal"),
+    ]
+
+
+_ID_RULES = [
+    ("f IS NULL", ""), ("f <> 'VARCHAR'", "uuid_type"),
+    ("NOT regexp_matches(t, '^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$')", "uuid_parsing"),
+]
+_TIME_RULES = [
+    ("f IS NULL", "missing"), (f"f <> 'VARCHAR' AND f NOT IN {_NUMBERS}", "datetime_type"),
+    ("f = 'VARCHAR' AND try_cast(t AS TIMESTAMPTZ) IS NULL", "datetime_from_date_parsing"),
+]
+_OBJECT_RULES = [("f IS NULL", ""), ("f <> 'OBJECT'", "dict_type")]
+_FLAG_RULES = [
+    ("f IS NULL", "missing"), (f"f NOT IN ('VARCHAR', 'BOOLEAN') AND f NOT IN {_NUMBERS}", "bool_type"),
+    ("lower(t) NOT IN ('true', 't', 'yes', 'y', 'on', '1', 'false', 'f', 'no', 'n', 'off', '0')", "bool_parsing"),
+]
+_LATENCY_RULES = [
+    ("f IS NULL", ""), (f"f NOT IN ('VARCHAR', 'BOOLEAN') AND f NOT IN {_NUMBERS}", "int_type"),
+    ("f = 'DOUBLE' AND try_cast(t AS DOUBLE) <> floor(try_cast(t AS DOUBLE))", "int_from_float"),
+    ("try_cast(t AS BIGINT) IS NULL", "int_parsing"), ("try_cast(t AS BIGINT) < 0", "greater_than_equal"),
+]
+
+_CONTRACTS = {
+    "classifier": {
+        "signal_id": _ID_RULES, "model_id": _text_rules(1), "entity_id": _text_rules(1), "label": _text_rules(1),
+        "score": _score_rules(True), "threshold": _score_rules(False), "is_positive": _FLAG_RULES,
+        "timestamp": _TIME_RULES, "metadata": _OBJECT_RULES,
+    },
+    "reports": {
+        "report_id": _ID_RULES, "reporter_id": _text_rules(1), "reported_entity_id": _text_rules(1),
+        "report_type": _choice_rules(
+            ["spam", "harassment", "hate_speech", "csam", "self_harm", "misinformation", "other"]),
+        "description": _text_rules(0, 10000, required=False),
+        "severity": _choice_rules(["low", "medium", "high", "critical"], required=False),
+        "status": _choice_rules(["pending", "under_review", "resolved", "dismissed"], required=False),
+        "timestamp": _TIME_RULES, "metadata": _OBJECT_RULES,
+    },
+    "enforcement": {
+        "action_id": _ID_RULES, "entity_id": _text_rules(1),
+        "action_type": _choice_rules(["warn", "suspend", "ban", "content_removal", "shadowban", "escalate"]),
+        "policy_id": _text_rules(1), "enforced_by": _text_rules(1), "reason": _text_rules(1, 5000),
+        "timestamp": _TIME_RULES, "metadata": _OBJECT_RULES,
+    },
+    "model_outputs": {
+        "output_id": _ID_RULES, "model_id": _text_rules(1),
+        "prompt_hash": [*_text_rules(), ("NOT regexp_matches(t, '^[a-f0-9]{64}$')", "string_pattern_mismatch")],
+        "output_text": _text_rules(1),
+        "safety_labels": [
+            ("f IS NULL", ""), ("f <> 'OBJECT'", "dict_type"),
+            ("try_cast(json_extract_string(raw, '$.safety_labels.pii') AS DOUBLE) IS NULL"
+             " AND json_extract_string(raw, '$.safety_labels.pii') IS NOT NULL", "pii:float_parsing"),
+            ("try_cast(json_extract_string(raw, '$.safety_labels.pii') AS DOUBLE) NOT BETWEEN 0 AND 1",
+             "value_error"),
+        ],
+        "latency_ms": _LATENCY_RULES, "timestamp": _TIME_RULES, "metadata": _OBJECT_RULES,
+    },
+}
+
+
+def _field_error(name: str, rules: list[tuple[str, str]]) -> str:
+    """The field's ``name:type`` text, or NULL."""
+    branches = []
+    for condition, kind in rules:
+        if not kind:
+            shown = "NULL"
+        elif ":" in kind:
+            key, code = kind.split(":")
+            shown = f"'{name} -> {key}:{code}'"
+        else:
+            shown = f"'{name}:{kind}'"
+        branches.append((condition, shown))
+    cases = " ".join(f"WHEN {condition} THEN {shown}" for condition, shown in branches)
+    # bind f and t of this field
+    return (f"(SELECT CASE {cases} ELSE NULL END FROM (SELECT "
+            f"json_type(safe, '$.{name}') AS f, json_extract_string(safe, '$.{name}') AS t))")
+
+
+def _checked(kind: str, rules: dict[str, list[tuple[str, str]]]) -> None:
+    """raw_id, raw, safe (an object even when the text is none) and the errors as one text."""
+    errors = ", ".join(_field_error(name, field_rules) for name, field_rules in rules.items())
+    record_rule = "''"
+    if kind == "classifier":
+        score, threshold = "CAST(json_extract_string(safe, '$.score') AS DOUBLE)", \
+            "coalesce(CAST(json_extract_string(safe, '$.threshold') AS DOUBLE), 0.5)"
+        flag = "lower(json_extract_string(safe, '$.is_positive')) IN ('true', 't', 'yes', 'y', 'on', '1')"
+        record_rule = (f"CASE WHEN isnan({score}) OR ({flag}) <> ({score} >= {threshold})"
+                       " THEN ':value_error' ELSE '' END")
+    relation(f"fields_{kind}", [f"json_{kind}"], f"""
+SELECT raw_id, raw, json_valid(raw) AS is_json,
+  CASE WHEN json_valid(raw) AND json_type(CASE WHEN json_valid(raw) THEN raw ELSE 'null' END) = 'OBJECT'
+    THEN raw ELSE NULL END AS object,
+  coalesce(CASE WHEN json_valid(raw) AND json_type(CASE WHEN json_valid(raw) THEN raw ELSE 'null' END) = 'OBJECT'
+    THEN raw END, '{{}}') AS safe
+FROM json_{kind}
+""")
+    relation(f"problems_{kind}", [f"fields_{kind}"], f"""
+SELECT raw_id, raw, safe, CASE WHEN NOT is_json THEN ':json_invalid' WHEN object IS NULL THEN ':model_type'
+  ELSE concat_ws('|', {errors}) END AS found
+FROM fields_{kind}
+""")
+    relation(f"checked_{kind}", [f"problems_{kind}"], f"""
+SELECT raw_id, raw, safe, CASE WHEN found <> '' THEN found ELSE {record_rule} END AS errors
+FROM problems_{kind}
+""")
+
+
+for _kind, _rules in _CONTRACTS.items():
+    _checked(_kind, _rules)
+
+
+def _value(name: str, cast: str = "VARCHAR", default: str | None = None) -> str:
+    text = f"CAST(json_extract_string(safe, '$.{name}') AS {cast})"
+    if default is not None:
+        text = f"coalesce({text}, {default})"
+    return f"CASE WHEN errors = '' THEN {text} END AS {name}"
+
+
+_WHEN = ("CASE WHEN errors = '' THEN CAST(replace(replace(json_extract_string(safe, '$.timestamp'), 'T', ' '), 'Z', '')"
+         " AS TIMESTAMP) END AS timestamp")
+oracle("validate_classifier", ["checked_classifier"], f"""
+SELECT raw_id, errors, {_value("signal_id")}, {_value("model_id")}, {_value("entity_id")}, {_value("label")},
+  {_value("score", "DOUBLE")}, {_value("threshold", "DOUBLE", "0.5")},
+  CASE WHEN errors = '' THEN lower(json_extract_string(safe, '$.is_positive')) IN ('true', 'on', '1') END
+    AS is_positive, {_WHEN}
+FROM checked_classifier
+""")
+oracle("validate_reports", ["checked_reports"], f"""
+SELECT raw_id, errors, {_value("report_id")}, {_value("reporter_id")}, {_value("reported_entity_id")},
+  {_value("report_type")}, CASE WHEN errors = '' THEN trim(coalesce(json_extract_string(safe, '$.description'), ''))
+  END AS description, {_value("severity", default="'medium'")}, {_value("status", default="'pending'")}, {_WHEN}
+FROM checked_reports
+""")
+oracle("validate_enforcement", ["checked_enforcement"], f"""
+SELECT raw_id, errors, {_value("action_id")}, {_value("entity_id")}, {_value("action_type")},
+  {_value("policy_id")}, {_value("enforced_by")}, {_value("reason")}, {_WHEN}
+FROM checked_enforcement
+""")
+oracle("validate_model_outputs", ["checked_model_outputs"], f"""
+SELECT raw_id, errors, {_value("output_id")}, {_value("model_id")}, {_value("prompt_hash")},
+  {_value("output_text")}, {_value("latency_ms", "BIGINT", "0")}, {_WHEN},
+  CASE WHEN errors = '' THEN CAST(json_extract_string(safe, '$.safety_labels.toxicity') AS DOUBLE) END AS toxicity,
+  CASE WHEN errors = '' THEN CAST(json_extract_string(safe, '$.safety_labels.pii') AS DOUBLE) END AS pii
+FROM checked_model_outputs
+""")
+_ALL_CHECKED = [f"checked_{kind}" for kind in _CONTRACTS]
+_TYPE_NAMES = {"classifier": "classifier", "reports": "report", "enforcement": "enforcement",
+               "model_outputs": "model_output"}
+relation("checked_all", _ALL_CHECKED, " UNION ALL ".join(
+    f"SELECT '{_TYPE_NAMES[kind]}' AS signal_type, raw_id, raw, errors FROM checked_{kind}" for kind in _CONTRACTS))
+oracle("dead_letters", ["checked_all"], """
+SELECT raw AS raw_payload, 'ValidationError' AS error_type, errors, 'nightly-batch' AS source,
+  CAST(len(string_split(errors, '|')) AS INTEGER) AS problems, TIMESTAMP '2024-01-31 00:00:00' AS failed_at
+FROM checked_all WHERE errors <> ''
+""")
+oracle("dead_letter_problems", ["checked_all"], """
+SELECT string_split(e, ':')[1] AS field, string_split(e, ':')[2] AS type, count(*) AS problems
+FROM (SELECT unnest(string_split(errors, '|')) AS e FROM checked_all WHERE errors <> '') GROUP BY 1, 2
+""")
+oracle("dead_letter_stats", ["checked_all"], """
+SELECT CASE WHEN NOT json_valid(raw) THEN '_malformed_line' ELSE 'unknown' END AS error_type, count(*) AS failures
+FROM checked_all GROUP BY 1
+UNION ALL SELECT 'ValidationError', count(*) FROM checked_all WHERE errors <> ''
+""")
+oracle("ingest_summary", ["checked_all"], """
+SELECT coalesce(signal_type, 'TOTAL') AS signal_type, CAST(count(*) FILTER (errors = '') AS BIGINT) AS valid,
+  CAST(count(*) FILTER (errors <> '') AS BIGINT) AS failed, CAST(count(*) AS BIGINT) AS total
+FROM checked_all GROUP BY ROLLUP (signal_type)
+""")
+oracle("envelopes", ["checked_all"], """
+SELECT signal_type, 'nightly-batch' AS source, TIMESTAMP '2024-01-31 00:00:00' AS ingested_at,
+  true AS payload_matches, CAST(count(*) AS BIGINT) AS records
+FROM checked_all WHERE errors = '' GROUP BY 1
+""")

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from sigmart.operators import envelope as E
 from sigmart.operators import metrics as M
+from sigmart.operators.validate import validate
 from sigmart.plans.build import Warehouse
 from sigmart.plans.supplied import Supplied
+from sigmart.sources.readers import parse_dead_letter_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -146,3 +149,87 @@ def sql_retrieve(spark: SparkSession, sf_dir: str) -> DataFrame:
         "classifier_precision", warehouse(spark, sf_dir).relations,
         model_id="spam-classifier-v4", start_date="2024-01-01", end_date="2024-02-01",
     )
+
+
+# -- ingestion -------------------------------------------------------------------------------
+
+AS_OF = "2024-01-31 00:00:00"
+BATCH_SOURCE = "nightly-batch"
+JSON_KINDS = {
+    "json_classifier": "classifier",
+    "json_reports": "report",
+    "json_enforcement": "enforcement",
+    "json_model_outputs": "model_output",
+}
+
+
+def errors_text() -> Column:
+    """Errors as ``field:type`` joined by ``|``."""
+    shown = F.transform("errors", lambda e: F.concat(e["field"], F.lit(":"), e["type"]))
+    return F.array_join(shown, "|").alias("errors")
+
+
+def batches(spark: SparkSession, sf_dir: str) -> list[E.Batch]:
+    data = Supplied(spark, sf_dir)
+    return [E.load_batch(data.raw(view), kind, BATCH_SOURCE, at=AS_OF) for view, kind in JSON_KINDS.items()]
+
+
+@query
+def validate_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = validate(Supplied(spark, sf_dir).raw("json_classifier"), "classifier")
+    return checked.select("raw_id", errors_text(), "payload.*").drop("metadata")
+
+
+@query
+def validate_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = validate(Supplied(spark, sf_dir).raw("json_reports"), "report")
+    return checked.select("raw_id", errors_text(), "payload.*").drop("metadata")
+
+
+@query
+def validate_enforcement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = validate(Supplied(spark, sf_dir).raw("json_enforcement"), "enforcement")
+    return checked.select("raw_id", errors_text(), "payload.*").drop("metadata")
+
+
+@query
+def validate_model_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = validate(Supplied(spark, sf_dir).raw("json_model_outputs"), "model_output")
+    labels = [F.try_element_at("payload.safety_labels", F.lit(name)).alias(name) for name in ("toxicity", "pii")]
+    return checked.select("raw_id", errors_text(), "payload.*", *labels).drop("metadata", "safety_labels")
+
+
+@query
+def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = E.union_envelopes(batches(spark, sf_dir))
+    return rows.groupBy(
+        "signal_type", "source", "ingested_at", E.payload_matches_type(rows).alias("payload_matches")
+    ).agg(F.count(F.lit(1)).alias("records"))
+
+
+@query
+def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dead = E.union_dead_letters(batches(spark, sf_dir)).withColumnRenamed("error_details", "errors")
+    return dead.select(
+        "raw_payload", "error_type", errors_text(), "source", F.size("errors").alias("problems"), "failed_at"
+    )
+
+
+@query
+def dead_letter_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.problem_stats(E.union_dead_letters(batches(spark, sf_dir))).drop("source")
+
+
+@query
+def dead_letter_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over the dead letters as JSON lines, and the raw texts themselves for lines without an error type."""
+    loaded = batches(spark, sf_dir)
+    lines = E.union_dead_letters(loaded).select(F.to_json(F.struct("*")).alias("value"))
+    for batch in loaded:
+        lines = lines.unionByName(batch.checked.select(F.col("raw").alias("value")))
+    return E.dead_letter_stats(parse_dead_letter_lines(lines))
+
+
+@query
+def ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.ingest_summary(batches(spark, sf_dir))

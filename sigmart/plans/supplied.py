@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sigmart.plans.supplied_json import JSON_VIEWS
 from sigmart.session import prepare
 
 SPARK_TOKENS = {"ts": "TIMESTAMP_NTZ", "sha256": "sha2(text, 256)", "text_type": "STRING"}
@@ -88,6 +89,7 @@ RAW_VIEWS = {
     "raw_enforcement_logs": RAW_ENFORCEMENT_LOGS,
     "raw_model_outputs": RAW_MODEL_OUTPUTS,
     "runs": RUNS,
+    **JSON_VIEWS,
 }
 
 
@@ -111,13 +113,13 @@ class Supplied:
 
     def view(self, text: str) -> DataFrame:
         """A view text over the supplied tables; the tables bind as DataFrames, not as global names."""
-        sql = spark_text(text)
+        sql = spark_text(text).replace("{", "{{").replace("}", "}}")
         sources = {}
         for name in ("events", "conversations"):
             if f"FROM {name}" in sql:
                 sql = sql.replace(f"FROM {name}", f"FROM {{{name}}}")
                 sources[name] = self.table(name)
-        return self.spark.sql(sql.replace("'{}'", "'{{}}'"), **sources)
+        return self.spark.sql(sql, **sources)
 
     def raw(self, name: str) -> DataFrame:
         return self.view(RAW_VIEWS[name])
