@@ -145,8 +145,9 @@ class MetricRegistry:
         return sorted(self._metrics)
 
     def run(
-        self, name: str, relations: dict[str, DataFrame], row_limit: int | None = None, **params: Any
+        self, name: str, relation: Callable[[str], DataFrame], row_limit: int | None = None, **params: Any
     ) -> DataFrame:
+        """Build a metric. ``relation`` gives the DataFrame of a relation by name."""
         metric = self._metrics.get(name)
         if metric is None:
             raise ValueError(f"unknown metric {name!r}; registered: {', '.join(self.names())}")
@@ -156,7 +157,7 @@ class MetricRegistry:
             value = params[parameter]
             if not isinstance(value, kind):
                 raise TypeError(f"{parameter!r} of metric {name!r} must be {kind.__name__}, not {type(value).__name__}")
-        frames = [relations[relation] for relation in metric.relations]
+        frames = [relation(needed) for needed in metric.relations]
         chosen = {parameter: params[parameter] for parameter in metric.parameters}
         return metric.build(*frames, **chosen, row_limit=row_limit)
 
@@ -178,7 +179,7 @@ metrics.register(
 
 
 def sql_retrieve(
-    name: str, relations: dict[str, DataFrame], row_limit: int = SQL_ROW_LIMIT, **params: Any
+    name: str, relation: Callable[[str], DataFrame], row_limit: int = SQL_ROW_LIMIT, **params: Any
 ) -> DataFrame:
     """Metric rows as retrieval context: tagged with their source and cut to the context limit."""
-    return metrics.run(name, relations, row_limit=row_limit, **params).withColumn("source", F.lit("sql"))
+    return metrics.run(name, relation, row_limit=row_limit, **params).withColumn("source", F.lit("sql"))

@@ -2,65 +2,107 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from sigmart.operators import staging
 from sigmart.operators.enrich import enrich_signals
+from sigmart.operators.incremental import since_watermark, upsert_fact
 from sigmart.operators.marts import dim_actions, dim_entities, dim_models, fct_signals
-from sigmart.operators.staging import all_signals, stg_enforcement, stg_model_outputs, stg_reports, stg_signals
 from sigmart.schemas import ACTION_WINDOW_HOURS
+from sigmart.session import prepare, shared_dir
+from sigmart.sources.readers import read_raw
+from sigmart.sources.writers import path_exists, write_dim, write_fact
 
 
 class Warehouse:
-    """Lazy relations of one build. Nothing runs until a relation is written or acted on."""
+    """Lazy relations of one build. ``raw`` gives the DataFrame of a raw table by name, on first use.
+
+    Nothing runs until a relation is written or acted on.
+    """
 
     def __init__(
-        self,
-        classifier: DataFrame,
-        enforcement: DataFrame,
-        reports: DataFrame | None = None,
-        outputs: DataFrame | None = None,
-        multi: str = "all",
-        hours: int = ACTION_WINDOW_HOURS,
+        self, raw: Callable[[str], DataFrame], multi: str = "all", hours: int = ACTION_WINDOW_HOURS,
         fact: DataFrame | None = None,
     ) -> None:
-        self.stg_signals = stg_signals(classifier)
-        self.stg_enforcement = stg_enforcement(enforcement)
-        self.stg_reports = None if reports is None else stg_reports(reports)
-        self.stg_model_outputs = None if outputs is None else stg_model_outputs(outputs)
-        self._multi, self._hours, self._fact = multi, hours, fact
+        self._raw, self._multi, self._hours, self._fact = raw, multi, hours, fact
+
+    @cached_property
+    def stg_signals(self) -> DataFrame:
+        return staging.stg_signals(self._raw("classifier_outputs"))
+
+    @cached_property
+    def stg_enforcement(self) -> DataFrame:
+        return staging.stg_enforcement(self._raw("enforcement_logs"))
+
+    @cached_property
+    def stg_reports(self) -> DataFrame:
+        return staging.stg_reports(self._raw("user_reports"))
+
+    @cached_property
+    def stg_model_outputs(self) -> DataFrame:
+        return staging.stg_model_outputs(self._raw("model_outputs"))
 
     @cached_property
     def int_signals_enriched(self) -> DataFrame:
         return enrich_signals(self.stg_signals, self.stg_enforcement, self._hours, self._multi)
 
-    @cached_property
+    @property
     def fct_signals(self) -> DataFrame:
-        """The fact; pass ``fact`` to read a written table instead of rebuilding it for each consumer."""
         return self._fact if self._fact is not None else fct_signals(self.int_signals_enriched)
 
-    @cached_property
+    def use_fact(self, fact: DataFrame) -> None:
+        """Read a written fact from here on, instead of rebuilding it for each consumer."""
+        self._fact = fact
+
+    @property
     def fct_signals_all(self) -> DataFrame:
-        return all_signals(self.fct_signals, self.stg_reports, self.stg_enforcement, self.stg_model_outputs)
+        return staging.all_signals(self.fct_signals, self.stg_reports, self.stg_enforcement, self.stg_model_outputs)
 
-    @cached_property
+    @property
+    def reports(self) -> DataFrame:
+        """The report side of ``fct_signals_all`` alone."""
+        return staging.all_signals(reports=self.stg_reports)
+
+    @property
     def dim_actions(self) -> DataFrame:
         return dim_actions(self.fct_signals)
 
-    @cached_property
+    @property
     def dim_entities(self) -> DataFrame:
         return dim_entities(self.fct_signals)
 
-    @cached_property
+    @property
     def dim_models(self) -> DataFrame:
         return dim_models(self.fct_signals)
 
-    @property
-    def relations(self) -> dict[str, DataFrame]:
-        """The relations the metric registry reads."""
-        return {
-            "fct_signals": self.fct_signals,
-            "fct_signals_all": self.fct_signals_all,
-            "dim_actions": self.dim_actions,
-        }
+    def relation(self, name: str) -> DataFrame:
+        """A relation by name, for the metric registry."""
+        return getattr(self, name)
+
+
+def read_warehouse(spark: SparkSession, raw_root: str, fmt: str = "parquet", **options) -> Warehouse:
+    """A build over raw tables stored as ``<raw_root>/<table>``."""
+    return Warehouse(lambda table: read_raw(prepare(spark), table, f"{raw_root}/{table}", fmt), **options)
+
+
+def build(spark: SparkSession, raw_root: str, mart_root: str, incremental: bool = True, fmt: str = "parquet") -> None:
+    """Build or refresh the marts.
+
+    The fact is written first, by signal day, and every dimension reads the written fact. A fact that
+    exists is brought up to date from its own newest load. One action per signal, as a keyed merge needs.
+    """
+    warehouse = read_warehouse(spark, raw_root, fmt, multi="first")
+    fact_path = f"{mart_root}/fct_signals"
+    if incremental and path_exists(spark, fact_path):
+        target = spark.read.parquet(fact_path)
+        fresh = since_watermark(warehouse.stg_signals, target, reprocess_hours=ACTION_WINDOW_HOURS)
+        updates = fct_signals(enrich_signals(fresh, warehouse.stg_enforcement, multi="first"))
+        upsert_fact(spark, fact_path, updates, shared_dir(spark, "fact-upsert"))
+    else:
+        write_fact(warehouse.fct_signals, fact_path)
+    warehouse.use_fact(spark.read.parquet(fact_path))
+    for name in ("dim_actions", "dim_entities", "dim_models"):
+        write_dim(getattr(warehouse, name), f"{mart_root}/{name}")

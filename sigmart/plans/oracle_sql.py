@@ -369,3 +369,176 @@ SELECT signal_type, 'nightly-batch' AS source, TIMESTAMP '2024-01-31 00:00:00' A
   true AS payload_matches, CAST(count(*) AS BIGINT) AS records
 FROM checked_all WHERE errors = '' GROUP BY 1
 """)
+
+
+# -- incremental load ------------------------------------------------------------------------
+
+oracle("incremental_upsert", ["fct_signals_first"])
+oracle("since_watermark_rows", ["stg_signals"], """
+SELECT signal_id, _loaded_at FROM stg_signals WHERE _loaded_at > (
+  SELECT max(_loaded_at) - INTERVAL '3' HOUR FROM stg_signals WHERE _loaded_at <= TIMESTAMP '2024-01-20 00:00:00')
+""")
+
+# -- runs ------------------------------------------------------------------------------------
+
+_RETRY = "(retry_count < 2 AND (confidence_score IS NULL OR confidence_score < 0.5))"
+_NEXT = ("CASE WHEN NOT list_contains(string_split(history, ','), 'sql') THEN 'sql' "
+         "WHEN NOT list_contains(string_split(history, ','), 'vector') THEN 'vector' "
+         "WHEN NOT list_contains(string_split(history, ','), 'keyword') THEN 'keyword' END")
+oracle("route", ["runs"], """
+SELECT run_id, CASE retrieval_strategy WHEN 'sql' THEN 'retrieval_sql' WHEN 'keyword' THEN 'retrieval_keyword'
+  ELSE 'retrieval_vector' END AS node FROM runs
+""")
+oracle("should_retry", ["runs"], f"SELECT run_id, {_RETRY} AS should_retry FROM runs")
+oracle("next_strategy", ["runs"], f"SELECT run_id, {_NEXT} AS next_strategy FROM runs")
+oracle("after_scoring", ["runs"], f"""
+SELECT run_id, CASE WHEN {_RETRY} AND {_NEXT} IS NOT NULL THEN 'retry' ELSE 'end' END AS decision FROM runs
+""")
+oracle("apply_retry", ["runs"], f"""
+SELECT run_id, retry_count + 1 AS retry_count, CAST(NULL AS DOUBLE) AS confidence_score,
+  CAST(0 AS INTEGER) AS context_size, CAST(NULL AS VARCHAR) AS synthesised_answer,
+  CAST(NULL AS VARCHAR) AS failure_reason,
+  CASE WHEN {_NEXT} IS NOT NULL AND coalesce(retrieval_strategy, '') <> ''
+      AND NOT list_contains(string_split(history, ','), retrieval_strategy)
+    THEN concat(history, CASE WHEN history = '' THEN '' ELSE ',' END, retrieval_strategy)
+    ELSE history END AS history
+FROM runs
+""")
+oracle("curate_runs", ["runs"], """
+SELECT run_id, query, confidence_score, retry_count FROM runs WHERE confidence_score < 0.5 OR retry_count > 0
+""")
+oracle("initial_runs", [], """
+SELECT item_id AS run_id, text AS query, CAST(NULL AS VARCHAR) AS signal_type,
+  CAST(NULL AS VARCHAR) AS retrieval_strategy, CAST(NULL AS DOUBLE) AS confidence_score,
+  CAST(0 AS BIGINT) AS retry_count, CAST(0 AS INTEGER) AS context_size, '' AS history FROM benchmark
+""")
+
+# -- dashboard -------------------------------------------------------------------------------
+
+oracle("signals_24h", ["fct_signals_all"], """
+SELECT count(*) AS signals FROM fct_signals_all
+WHERE _loaded_at > TIMESTAMP '2024-01-30 00:00:00' AND _loaded_at <= TIMESTAMP '2024-01-31 00:00:00'
+""")
+oracle("dead_letters_24h", ["checked_all"], "SELECT count(*) AS dead_letters FROM checked_all WHERE errors <> ''")
+oracle("avg_confidence", ["runs"], "SELECT round(avg(confidence_score), 6) AS avg_confidence FROM runs")
+_SHARE = "round(CAST(count(*) FILTER (retry_count > 0) AS DOUBLE) / count(*), 4) AS retry_rate"
+oracle("retry_rate", ["runs"], f"SELECT {_SHARE} FROM runs")
+oracle("signal_volume", ["fct_signals_all"], """
+SELECT date_trunc('day', signal_timestamp)::TIMESTAMP AS day, signal_type, count(*) AS signals
+FROM fct_signals_all GROUP BY 1, 2
+""")
+oracle("strategy_distribution", ["runs"], """
+SELECT retrieval_strategy, count(*) AS runs,
+  round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM runs), 4) AS share FROM runs GROUP BY 1
+""")
+oracle("confidence_histogram", ["runs"], """
+SELECT CAST(least(floor(confidence_score * 10), 9) AS BIGINT) AS bin, count(*) AS runs
+FROM runs WHERE confidence_score IS NOT NULL GROUP BY 1
+""")
+oracle("retry_trend", ["runs"], f"""
+SELECT date_trunc('day', started_at)::TIMESTAMP AS day, count(*) AS runs, {_SHARE} FROM runs GROUP BY 1
+""")
+relation("latest_loaded", ["fct_signals_all"], """
+SELECT signal_type, max(_loaded_at) AS latest_timestamp FROM fct_signals_all GROUP BY 1
+""")
+relation("freshness", ["latest_loaded"], """
+SELECT w.signal_type, coalesce(l.latest_timestamp >= TIMESTAMP '2024-01-31 00:00:00' - w.minutes * INTERVAL '1' MINUTE,
+    false) AS is_fresh, l.latest_timestamp, w.minutes AS window_minutes, TIMESTAMP '2024-01-31 00:00:00' AS checked_at
+FROM (VALUES ('classifier', 15), ('report', 60), ('enforcement', 60), ('model_output', 30)) w(signal_type, minutes)
+LEFT JOIN latest_loaded l ON l.signal_type = w.signal_type
+""")
+oracle("latest_loaded", ["latest_loaded"])
+oracle("freshness", ["freshness"])
+oracle("freshness_gauges", ["freshness"], """
+SELECT signal_type, CASE signal_type WHEN 'classifier' THEN 'Classifier' WHEN 'report' THEN 'Report'
+    WHEN 'enforcement' THEN 'Enforcement' ELSE 'Model Output' END AS label,
+  CAST(floor(epoch(checked_at - latest_timestamp) / 60) AS BIGINT) AS minutes_since, window_minutes,
+  CASE WHEN is_fresh THEN 'fresh' ELSE 'stale' END AS status
+FROM freshness
+""")
+
+# -- quality ---------------------------------------------------------------------------------
+
+
+def _check(table: str, check: str, column: str, broken: str, details: str) -> str:
+    return (f"SELECT 'signals' AS suite, '{table}' AS \"table\", '{check}' AS \"check\", '{column}' AS \"column\","
+            f" count(*) FILTER ({broken}) = 0 AS passed, count(*) FILTER ({broken}) AS failing_rows,"
+            f" count(*) AS observed, '{details}' AS details FROM {table}")
+
+
+def _unique(table: str, key: str) -> str:
+    return _check("k", "unique", key, "n > 1", "keys that repeat").replace("'k'", f"'{table}'").replace(
+        "FROM k", f"FROM (SELECT {key}, count(*) AS n FROM {table} WHERE {key} IS NOT NULL GROUP BY 1)")
+
+
+_REQUIRED = {
+    "fct_signals": "signal_id model_id entity_id label score threshold is_positive signal_timestamp signal_type"
+                   " _loaded_at was_enforced",
+    "dim_entities": "entity_id first_seen_at last_seen_at total_signals positive_signal_count enforcement_count",
+    "dim_models": "model_id signal_type first_seen_at last_seen_at total_signals",
+    "dim_actions": "action_id entity_id action_type policy_id enforced_by enforcement_reason action_timestamp"
+                   " signal_id",
+}
+
+
+def _not_null(table: str, columns: str) -> list[str]:
+    return [_check(table, "not_null", name, f"{name} IS NULL", "NULL") for name in columns.split()]
+
+
+_OFF = "outside the accepted values"
+oracle("quality_not_null", ["fct_signals_all"], " UNION ALL ".join(
+    _not_null("fct_signals_all", _REQUIRED["fct_signals"].replace("label ", "").replace("threshold ", ""))
+    + [_check("fct_signals_all", "not_null", name, "signal_type <> 'classifier'", "NULL")
+       for name in ("label", "threshold")]))
+oracle("quality_unique", ["dim_actions"],
+       _unique("fct_signals", "signal_id") + " UNION ALL " + _unique("dim_actions", "action_id"))
+oracle("quality_accepted_values", ["fct_signals_all"], " UNION ALL ".join([
+    _check("fct_signals_all", "accepted_values", "signal_type", "signal_type NOT IN ('classifier', 'report')", _OFF),
+    _check("fct_signals_all", "accepted_values", "severity", "severity NOT IN ('low', 'high')", _OFF),
+    _check("fct_signals_all", "accepted_values", "was_enforced", "was_enforced NOT IN (true, false)", _OFF),
+    _check("fct_signals_all", "range", "score", "score NOT BETWEEN 0 AND 0.75", "outside [0, 0.75]"),
+]))
+relation("judged", ["fct_signals_all"], """
+SELECT signal_type, day, rows, count(rows) OVER w3 AS n3, avg(rows) OVER w3 AS e3, stddev_pop(rows) OVER w3 AS d3,
+  count(rows) OVER w7 AS n7, avg(rows) OVER w7 AS e7, stddev_pop(rows) OVER w7 AS d7
+FROM (SELECT signal_type, date_trunc('day', signal_timestamp)::TIMESTAMP AS day, count(*) AS rows
+      FROM fct_signals_all GROUP BY 1, 2)
+WINDOW w3 AS (PARTITION BY signal_type ORDER BY day ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING),
+  w7 AS (PARTITION BY signal_type ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)
+""")
+oracle("row_count_anomaly", ["judged"], """
+SELECT signal_type, day, rows, n3 AS days_before, round(e3, 6) AS expected, round(d3, 6) AS deviation,
+  coalesce(n3 >= 3 AND abs(rows - e3) > 2 * d3, false) AS is_anomaly FROM judged
+""")
+relation("suite", ["dim_actions", "dim_entities", "dim_models", "judged", "freshness"], " UNION ALL ".join([
+    *[text for table, columns in _REQUIRED.items() for text in _not_null(table, columns)],
+    _unique("fct_signals", "signal_id"), _unique("dim_entities", "entity_id"), _unique("dim_models", "model_id"),
+    _unique("dim_actions", "action_id"),
+    _check("fct_signals", "accepted_values", "signal_type",
+           "signal_type NOT IN ('classifier', 'report', 'enforcement', 'model_output')", _OFF),
+    _check("fct_signals", "accepted_values", "is_positive", "is_positive NOT IN (true, false)", _OFF),
+    _check("fct_signals", "accepted_values", "was_enforced", "was_enforced NOT IN (true, false)", _OFF),
+    _check("dim_actions", "accepted_values", "action_type",
+           "action_type NOT IN ('warn', 'suspend', 'ban', 'content_removal', 'shadowban', 'escalate')", _OFF),
+    _check("fct_signals", "range", "score", "score NOT BETWEEN 0 AND 1", "outside [0, 1]"),
+    """SELECT 'signals', 'dim_actions', 'relationship', 'signal_id', count(*) = 0, count(*), count(*),
+      'missing in fct_signals' FROM dim_actions WHERE signal_id NOT IN (SELECT signal_id FROM fct_signals)""",
+    """SELECT 'signals', 'fct_signals', 'row_count', 'signal_timestamp',
+      count(*) FILTER (n7 >= 7 AND abs(rows - e7) > 3 * d7) = 0, count(*) FILTER (n7 >= 7 AND abs(rows - e7) > 3 * d7),
+      count(*), 'unusual days' FROM judged""",
+    """SELECT 'signals', 'fct_signals', 'freshness', '_loaded_at', is_fresh, CAST(NOT is_fresh AS BIGINT),
+      CAST(window_minutes AS BIGINT), signal_type FROM freshness""",
+]))
+oracle("quality_suite", ["suite"])
+oracle("quality_checkpoint", ["suite"], """
+SELECT bool_and(passed) AS success, count(*) AS evaluated, count(*) FILTER (passed) AS successful,
+  count(*) FILTER (NOT passed) AS unsuccessful,
+  round(CAST(count(*) FILTER (passed) AS DOUBLE) * 100 / count(*), 2) AS success_percent FROM suite
+""")
+oracle("quality_alerts", ["suite"], """
+SELECT CASE WHEN "check" = 'freshness' THEN 'freshness' ELSE 'quality' END AS alert_type,
+  concat("table", '.', "column") AS subject, "check",
+  CASE WHEN "check" = 'freshness' THEN concat('no recent ', details, ' signals')
+    ELSE concat(failing_rows, ' ', details) END AS message, TIMESTAMP '2024-01-31 00:00:00' AS raised_at
+FROM suite WHERE NOT passed
+""")

@@ -6,11 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from sigmart.functions.time import ntz
 from sigmart.operators import envelope as E
 from sigmart.operators import metrics as M
+from sigmart.operators import observability as K
+from sigmart.operators import quality as Q
+from sigmart.operators import runs as R
+from sigmart.operators.enrich import enrich_signals
+from sigmart.operators.incremental import merge_fact, since_watermark
+from sigmart.operators.marts import fct_signals as fct
 from sigmart.operators.validate import validate
 from sigmart.plans.build import Warehouse
 from sigmart.plans.supplied import Supplied
+from sigmart.session import materialize
 from sigmart.sources.readers import parse_dead_letter_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,13 +32,15 @@ def query(fn: Query) -> Query:
 
 def warehouse(spark: SparkSession, sf_dir: str, multi: str = "all") -> Warehouse:
     data = Supplied(spark, sf_dir)
-    outputs = data.raw("raw_model_outputs").withColumn(
-        "safety_labels", F.create_map(F.lit("toxicity"), "toxicity", F.lit("pii"), "pii")
-    )
-    return Warehouse(
-        data.raw("raw_classifier_outputs"), data.raw("raw_enforcement_logs"), data.raw("raw_user_reports"),
-        outputs, multi,
-    )
+
+    def raw(table: str) -> DataFrame:
+        df = data.raw(f"raw_{table}")
+        if table == "model_outputs":
+            labels = F.create_map(F.lit("toxicity"), "toxicity", F.lit("pii"), "pii")
+            df = df.withColumn("safety_labels", labels)
+        return df
+
+    return Warehouse(raw, multi)
 
 
 # -- staging, fact, dimensions ---------------------------------------------------------------
@@ -111,7 +121,7 @@ def classifier_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
 def classifier_precision_one_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = warehouse(spark, sf_dir)
     return M.metrics.run(
-        "classifier_precision", w.relations,
+        "classifier_precision", w.relation,
         model_id="toxicity-v3", start_date="2024-01-05", end_date="2024-01-20",
     )
 
@@ -125,20 +135,20 @@ def enforcement_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def enforcement_rate_bans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.metrics.run(
-        "enforcement_rate", warehouse(spark, sf_dir).relations,
+        "enforcement_rate", warehouse(spark, sf_dir).relation,
         action_type="ban", start_date="2024-01-05", end_date="2024-01-20",
     )
 
 
 @query
 def report_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.report_volume(warehouse(spark, sf_dir).fct_signals_all)
+    return M.report_volume(warehouse(spark, sf_dir).reports)
 
 
 @query
 def report_volume_spam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.metrics.run(
-        "report_volume", warehouse(spark, sf_dir).relations,
+        "report_volume", warehouse(spark, sf_dir).relation,
         report_type="spam", start_date="2024-01-30 06:00:00", end_date="2024-01-30 18:00:00",
     )
 
@@ -146,7 +156,7 @@ def report_volume_spam(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def sql_retrieve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.sql_retrieve(
-        "classifier_precision", warehouse(spark, sf_dir).relations,
+        "classifier_precision", warehouse(spark, sf_dir).relation,
         model_id="spam-classifier-v4", start_date="2024-01-01", end_date="2024-02-01",
     )
 
@@ -233,3 +243,201 @@ def dead_letter_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.ingest_summary(batches(spark, sf_dir))
+
+
+# -- incremental load ------------------------------------------------------------------------
+
+CUT = "2024-01-20 00:00:00"
+
+
+@query
+def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact loaded up to a cut, then brought up to date; equal to one full load."""
+    w = warehouse(spark, sf_dir, multi="first")
+    target = fct(enrich_signals(w.stg_signals.filter(F.col("_loaded_at") <= ntz(CUT)), w.stg_enforcement, multi="first"))
+    fresh = since_watermark(w.stg_signals, target)
+    return merge_fact(target, fct(enrich_signals(fresh, w.stg_enforcement, multi="first")))
+
+
+@query
+def since_watermark_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged signals past the newest load before the cut, with a look-back of three hours."""
+    staged = warehouse(spark, sf_dir).stg_signals
+    loaded = staged.filter(F.col("_loaded_at") <= ntz(CUT))
+    return since_watermark(staged, loaded, lookback_minutes=180).select("signal_id", "_loaded_at")
+
+
+# -- runs ------------------------------------------------------------------------------------
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = Supplied(spark, sf_dir).raw("runs")
+    history = F.filter(F.split("history", ","), lambda s: s != "")
+    return table.withColumn("strategy_history", history).drop("history")
+
+
+def _history_text(column: str = "strategy_history") -> Column:
+    return F.array_join(column, ",").alias("history")
+
+
+@query
+def route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs(spark, sf_dir).select("run_id", R.route_col(F.col("retrieval_strategy")).alias("node"))
+
+
+@query
+def should_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rule = R.should_retry_col(F.col("confidence_score"), F.col("retry_count"))
+    return runs(spark, sf_dir).select("run_id", rule.alias("should_retry"))
+
+
+@query
+def next_strategy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rule = R.next_strategy_col(F.col("strategy_history"))
+    return runs(spark, sf_dir).select("run_id", rule.alias("next_strategy"))
+
+
+@query
+def after_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rule = R.after_scoring_col(F.col("confidence_score"), F.col("retry_count"), F.col("strategy_history"))
+    return runs(spark, sf_dir).select("run_id", rule.alias("decision"))
+
+
+@query
+def apply_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.apply_retry(runs(spark, sf_dir)).select(
+        "run_id", "retry_count", "confidence_score", F.size("retrieved_context").alias("context_size"),
+        "synthesised_answer", "failure_reason", _history_text(),
+    )
+
+
+@query
+def curate_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.curate_runs(runs(spark, sf_dir)).select("run_id", "query", "confidence_score", "retry_count")
+
+
+@query
+def initial_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = Supplied(spark, sf_dir).table("benchmark").select(F.col("item_id").alias("run_id"), "text")
+    return R.initial_runs(asked, query="text").select(
+        "run_id", "query", "signal_type", "retrieval_strategy", "confidence_score", "retry_count",
+        F.size("retrieved_context").alias("context_size"), _history_text(),
+    )
+
+
+# -- dashboard -------------------------------------------------------------------------------
+
+
+@query
+def signals_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.signals_24h(warehouse(spark, sf_dir).fct_signals_all, AS_OF)
+
+
+@query
+def dead_letters_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.dead_letters_24h(E.union_dead_letters(batches(spark, sf_dir)), AS_OF)
+
+
+@query
+def avg_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.avg_confidence(runs(spark, sf_dir)).select(F.round("avg_confidence", 6).alias("avg_confidence"))
+
+
+@query
+def retry_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.retry_rate(runs(spark, sf_dir))
+
+
+@query
+def signal_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.signal_volume(warehouse(spark, sf_dir).fct_signals_all)
+
+
+@query
+def strategy_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.strategy_distribution(runs(spark, sf_dir))
+
+
+@query
+def confidence_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.confidence_histogram(runs(spark, sf_dir))
+
+
+@query
+def retry_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.retry_trend(runs(spark, sf_dir))
+
+
+@query
+def latest_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.latest_loaded(warehouse(spark, sf_dir).fct_signals_all)
+
+
+@query
+def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.freshness(warehouse(spark, sf_dir).fct_signals_all, AS_OF)
+
+
+@query
+def freshness_gauges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.freshness_gauges(K.freshness(warehouse(spark, sf_dir).fct_signals_all, AS_OF))
+
+
+# -- quality ---------------------------------------------------------------------------------
+
+
+def _marts(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, dict[str, DataFrame]]:
+    """The marts over a written fact, which every check reads."""
+    built = warehouse(spark, sf_dir)
+    built.use_fact(materialize(built.fct_signals, "fct_signals"))
+    names = ("fct_signals", "dim_entities", "dim_models", "dim_actions")
+    return built, {name: getattr(built, name) for name in names}
+
+
+def _suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    built, tables = _marts(spark, sf_dir)
+    fresh = K.freshness(built.fct_signals_all, AS_OF)
+    return Q.signals_suite(tables, built.fct_signals_all, fresh)
+
+
+@query
+def quality_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.column_checks(warehouse(spark, sf_dir).fct_signals_all, "fct_signals_all", Q.NOT_NULL["fct_signals"])
+
+
+@query
+def quality_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = warehouse(spark, sf_dir)
+    return Q.unique_check(w.fct_signals, "fct_signals", "signal_id").unionByName(
+        Q.unique_check(w.dim_actions, "dim_actions", "action_id")
+    )
+
+
+@query
+def quality_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.column_checks(
+        warehouse(spark, sf_dir).fct_signals_all, "fct_signals_all",
+        accepted={"signal_type": ["classifier", "report"], "severity": ["low", "high"], "was_enforced": [True, False]},
+        ranges={"score": (0.0, 0.75)},
+    )
+
+
+@query
+def quality_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _suite(spark, sf_dir)
+
+
+@query
+def quality_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.run_checkpoint(_suite(spark, sf_dir))
+
+
+@query
+def quality_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.alerts(_suite(spark, sf_dir), ntz(AS_OF))
+
+
+@query
+def row_count_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = Q.row_count_anomaly(warehouse(spark, sf_dir).fct_signals_all, days=3, deviations=2.0)
+    return judged.withColumns({name: F.round(name, 6) for name in ("expected", "deviation")})

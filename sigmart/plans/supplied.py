@@ -107,9 +107,12 @@ class Supplied:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = prepare(spark)
         self.sf_dir = sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     def view(self, text: str) -> DataFrame:
         """A view text over the supplied tables; the tables bind as DataFrames, not as global names."""

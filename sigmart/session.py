@@ -52,3 +52,10 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="sigmart-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df, name: str):
+    """Write a relation that several consumers read, to the shared folder, and read it back."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
