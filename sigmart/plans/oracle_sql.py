@@ -542,3 +542,128 @@ SELECT CASE WHEN "check" = 'freshness' THEN 'freshness' ELSE 'quality' END AS al
     ELSE concat(failing_rows, ' ', details) END AS message, TIMESTAMP '2024-01-31 00:00:00' AS raised_at
 FROM suite WHERE NOT passed
 """)
+
+
+# -- retrieval -------------------------------------------------------------------------------
+
+_COSINE = "coalesce(nullif(list_cosine_similarity({a}::DOUBLE[], {b}::DOUBLE[]), 'nan'::DOUBLE), 0)"
+oracle("cosine_similarity", [], f"""
+SELECT a.vec_id, round({_COSINE.format(a="a.embedding", b="b.embedding")}, 6) AS cosine
+FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1
+""")
+
+
+def _ranked(scored: str, k: int, extra: str = "") -> str:
+    """The k best per query, by score to 9 places and then id."""
+    return f"""
+SELECT query_id, id{extra}, score, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rank FROM {scored}
+) WHERE rank <= {k}
+"""
+
+
+relation("vector_scores", [], f"""
+SELECT q.vec_id AS query_id, d.vec_id AS id, d.label, d.embedding,
+  {_COSINE.format(a="q.embedding", b="d.embedding")} AS score
+FROM embeddings q CROSS JOIN embeddings d
+""")
+relation("candidates", ["vector_scores"], _ranked("vector_scores", 10, ", label, embedding"))
+oracle("similarity_topk", ["candidates"],
+       "SELECT query_id, id, label, round(score, 6) AS score, rank FROM candidates")
+oracle("similarity_topk_by_cell", ["candidates"], "SELECT query_id, id, round(score, 6) AS score, rank FROM candidates")
+oracle("similarity_topk_filtered", ["vector_scores"], "SELECT query_id, id, round(score, 6) AS score, rank FROM ("
+       + _ranked("vector_scores WHERE label = 1", 5) + ")")
+
+
+def _mmr(candidates: str, steps: int, weight: float) -> list[str]:
+    """One relation per step: what is open, its greatest similarity to what is taken, and the pick."""
+    names = []
+    for step in range(1, steps + 1):
+        taken = " UNION ALL ".join(f"SELECT query_id, id, embedding FROM {candidates}_pick{i}" for i in range(1, step))
+        if step == 1:
+            relation(f"{candidates}_open1", [candidates],
+                     f"SELECT query_id, id, embedding, score, {weight} * score AS value FROM {candidates}")
+        else:
+            similarity = _COSINE.format(a="c.embedding", b="t.embedding")
+            relation(f"{candidates}_open{step}", names[:], f"""
+SELECT c.query_id, c.id, any_value(c.embedding) AS embedding, any_value(c.score) AS score,
+  {weight} * any_value(c.score) - {1 - weight} * max({similarity}) AS value
+FROM {candidates} c JOIN ({taken}) t ON t.query_id = c.query_id
+GROUP BY c.query_id, c.id HAVING NOT bool_or(c.id = t.id)
+""")
+        relation(f"{candidates}_pick{step}", [f"{candidates}_open{step}"], f"""
+SELECT query_id, id, embedding, score, value, {step} AS step FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(value, 9) DESC, id) AS place
+  FROM {candidates}_open{step}) WHERE place = 1
+""")
+        names.append(f"{candidates}_pick{step}")
+    return names
+
+
+def _mmr_result(names: list[str], extra: str = "") -> str:
+    return " UNION ALL ".join(
+        f"SELECT query_id, id, round(score, 6) AS score, round(value, 6) AS mmr_score,"
+        f" CAST(step AS INTEGER) AS mmr_rank{extra} FROM {name}" for name in names)
+
+
+_picks = _mmr("candidates", 5, 0.5)
+oracle("mmr", _picks, _mmr_result(_picks))
+
+_WORDS = "list_filter(regexp_split_to_array(lower({text}), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')"
+
+
+def _embedding(name: str, table: str, key: str) -> None:
+    relation(f"{name}_slots", [], f"""
+SELECT id, slot, sum(sign) AS total FROM (
+  SELECT id, CAST(h % 64 AS INTEGER) AS slot, CASE WHEN (h // 64) % 2 = 0 THEN 1.0::DOUBLE ELSE -1.0 END AS sign FROM (
+    SELECT id, ('0x' || substr(md5(token), 1, 8))::BIGINT AS h FROM (
+      SELECT {key} AS id, unnest({_WORDS.format(text="text")}) AS token FROM {table})))
+GROUP BY 1, 2
+""")
+    relation(f"{name}_unit", [f"{name}_slots"], f"""
+SELECT s.id, s.slot, s.total / n.length AS value FROM {name}_slots s JOIN (
+  SELECT id, sqrt(sum(total * total)) AS length FROM {name}_slots GROUP BY 1) n ON n.id = s.id
+WHERE n.length > 0
+""")
+    relation(f"{name}_vectors", [f"{name}_unit"], f"""
+SELECT t.{key} AS id, list(coalesce(u.value, 0) ORDER BY r.slot) AS embedding
+FROM {table} t CROSS JOIN (SELECT CAST(unnest(range(64)) AS INTEGER) AS slot) r
+LEFT JOIN {name}_unit u ON u.id = t.{key} AND u.slot = r.slot GROUP BY 1
+""")
+
+
+_embedding("document", "documents", "doc_id")
+_embedding("question", "benchmark", "item_id")
+oracle("embed_texts", ["document_unit"], "SELECT id, slot, round(value, 6) AS value FROM document_unit WHERE value <> 0")
+relation("text_scores", ["question_vectors", "document_vectors"], f"""
+SELECT q.id AS query_id, d.id, d.embedding, {_COSINE.format(a="q.embedding", b="d.embedding")} AS score
+FROM question_vectors q CROSS JOIN document_vectors d
+""")
+relation("text_candidates", ["text_scores"], _ranked("text_scores", 10, ", embedding"))
+_text_picks = _mmr("text_candidates", 5, 0.5)
+oracle("vector_retrieval", _text_picks, _mmr_result(_text_picks, ", 'vector' AS source"))
+
+
+def _bm25(name: str, where: str) -> None:
+    relation(f"{name}_words", [], f"SELECT doc_id AS id, lang, {_WORDS.format(text='text')} AS words FROM documents {where}")
+    relation(f"{name}_scores", [f"{name}_words", "terms"], f"""
+SELECT t.query_id, c.id, any_value(c.lang) AS lang,
+  sum(ln(1 + (s.n - f.df + 0.5) / (f.df + 0.5)) * c.tf * 2.2 / (c.tf + 1.2 * (0.25 + 0.75 * c.length / s.mean_length)))
+    AS score
+FROM terms t
+JOIN (SELECT id, any_value(lang) AS lang, any_value(len(words)) AS length, term, count(*)::DOUBLE AS tf
+      FROM (SELECT id, lang, words, unnest(words) AS term FROM {name}_words) GROUP BY id, term) c ON c.term = t.term
+JOIN (SELECT term, count(DISTINCT id)::DOUBLE AS df FROM (SELECT id, unnest(words) AS term FROM {name}_words) GROUP BY 1) f
+  ON f.term = t.term
+CROSS JOIN (SELECT count(*)::DOUBLE AS n, avg(len(words))::DOUBLE AS mean_length FROM {name}_words) s
+GROUP BY 1, 2
+""")
+
+
+relation("terms", [], f"SELECT DISTINCT item_id AS query_id, unnest({_WORDS.format(text='text')}) AS term FROM benchmark")
+_bm25("all", "")
+_bm25("english", "WHERE lang = 'en'")
+oracle("keyword_retrieval", ["all_scores"],
+       "SELECT query_id, id, lang, round(score, 6) AS score, rank FROM (" + _ranked("all_scores", 10, ", lang") + ")")
+oracle("keyword_retrieval_filtered", ["english_scores"],
+       "SELECT query_id, id, round(score, 6) AS score, rank FROM (" + _ranked("english_scores", 3) + ")")

@@ -7,19 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sigmart.functions.time import ntz
+from sigmart.functions.vectors import cosine_col
 from sigmart.operators import envelope as E
 from sigmart.operators import metrics as M
 from sigmart.operators import observability as K
 from sigmart.operators import quality as Q
 from sigmart.operators import runs as R
+from sigmart.operators.embed import embed_documents, md5_hash
 from sigmart.operators.enrich import enrich_signals
 from sigmart.operators.incremental import merge_fact, since_watermark
+from sigmart.operators.keyword import keyword_search
 from sigmart.operators.marts import fct_signals as fct
+from sigmart.operators.retrieval import vector_retrieve
+from sigmart.operators.similarity import mmr_rerank, similarity_search
 from sigmart.operators.validate import validate
 from sigmart.plans.build import Warehouse
 from sigmart.plans.supplied import Supplied
 from sigmart.session import materialize
-from sigmart.sources.readers import parse_dead_letter_lines
+from sigmart.sources.readers import parse_dead_letter_lines, read_documents, read_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -441,3 +446,89 @@ def quality_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def row_count_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = Q.row_count_anomaly(warehouse(spark, sf_dir).fct_signals_all, days=3, deviations=2.0)
     return judged.withColumns({name: F.round(name, 6) for name in ("expected", "deviation")})
+
+
+# -- retrieval -------------------------------------------------------------------------------
+
+
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({name: F.round(name, 6) for name in columns})
+
+
+@query
+def cosine_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each vector against the one that follows it."""
+    table = Supplied(spark, sf_dir).table("embeddings")
+    following = table.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("_next"))
+    return table.join(following, "vec_id").select(
+        "vec_id", F.round(cosine_col(F.col("embedding"), F.col("_next")), 6).alias("cosine")
+    )
+
+
+def _vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Every vector as a query, over every vector."""
+    docs = read_vectors(spark, f"{sf_dir}/embeddings.parquet")
+    return docs.select(F.col("id").alias("query_id"), "embedding"), docs
+
+
+@query
+def similarity_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    queries, docs = _vectors(spark, sf_dir)
+    return _rounded(similarity_search(queries, docs, carry=["label"]), "score")
+
+
+@query
+def similarity_topk_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    queries, docs = _vectors(spark, sf_dir)
+    return _rounded(similarity_search(queries, docs, top_k=5, filters={"label": 1}), "score")
+
+
+@query
+def similarity_topk_by_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same search with the query set treated as too large to travel."""
+    queries, docs = _vectors(spark, sf_dir)
+    return _rounded(similarity_search(queries, docs, query_bytes=0), "score")
+
+
+@query
+def mmr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    queries, docs = _vectors(spark, sf_dir)
+    return _rounded(mmr_rerank(similarity_search(queries, docs, carry=["embedding"])), "score", "mmr_score")
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_documents(spark, f"{sf_dir}/documents.parquet")
+
+
+def _questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Supplied(spark, sf_dir).table("benchmark").select(F.col("item_id").alias("query_id"), "text")
+
+
+def _embed(df: DataFrame, **names: str) -> DataFrame:
+    return embed_documents(df, token_hash=md5_hash, **names)
+
+
+@query
+def embed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's vector, one row per slot that is not zero."""
+    vectors = _embed(_documents(spark, sf_dir))
+    slots = vectors.select("id", F.posexplode("embedding").alias("slot", "value"))
+    return slots.filter(F.col("value") != 0).select("id", "slot", F.round("value", 6).alias("value"))
+
+
+@query
+def vector_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = materialize(_embed(_documents(spark, sf_dir)), "document-vectors")
+    found = vector_retrieve(_questions(spark, sf_dir), docs, embed=_embed)
+    return _rounded(found, "score", "mmr_score")
+
+
+@query
+def keyword_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(keyword_search(_questions(spark, sf_dir), _documents(spark, sf_dir), carry=["lang"]), "score")
+
+
+@query
+def keyword_retrieval_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = keyword_search(_questions(spark, sf_dir), _documents(spark, sf_dir), top_k=3, filters={"lang": "en"})
+    return _rounded(found, "score")
