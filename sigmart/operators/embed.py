@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sigmart.functions.text import tokens
-from sigmart.functions.vectors import norm_col
+from sigmart.sources.readers import spread
 
 DIMENSIONS = 64
 
@@ -30,20 +30,26 @@ def embed_documents(
     A document's tokens combine to one vector inside the task that reads it, so what is shuffled is one
     vector per document. A text without tokens becomes the zero vector.
     """
-    hashed = df.select(F.col(id_col).alias("id"), F.explode_outer(tokens(F.col(text_col))).alias("_token")).select(
-        "id", token_hash(F.col("_token")).alias("_hash"), F.col("_token").isNull().alias("_none")
+    words = spread(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text")))
+    hashed = words.select("id", F.explode_outer(tokens(F.col("_text"))).alias("_token")).select(
+        "id", token_hash(F.col("_token")).alias("_hash")
+    )
+    # no token, no hash: the sign is then 0
+    placed = hashed.selectExpr(
+        "id",
+        f"pmod(_hash, {dimensions}) AS _slot",
+        f"CASE WHEN _hash IS NULL THEN 0D WHEN pmod(floor(_hash / {dimensions}), 2) = 0 THEN 1D ELSE -1D END AS _sign",
+    )
+    slots = range(dimensions)
+    sums = [F.expr(f"sum(CASE WHEN _slot = {i} THEN _sign ELSE 0D END) AS _{i}") for i in slots]
+    counted = placed.groupBy("id").agg(*sums).selectExpr(
+        "id",
+        f"array({', '.join(f'_{i}' for i in slots)}) AS _v",
+        f"sqrt({' + '.join(f'_{i} * _{i}' for i in slots)}) AS _length",
+    )
+    return counted.selectExpr(
+        "id", "transform(_v, x -> CASE WHEN _length > 0 THEN x / _length ELSE 0D END) AS embedding"
     )
-    slot = F.pmod("_hash", F.lit(dimensions))
-    sign = F.when(F.col("_none"), 0.0).when(F.pmod(F.floor(F.col("_hash") / dimensions), F.lit(2)) == 0, 1.0).otherwise(-1.0)
-    placed = hashed.select("id", slot.alias("_slot"), sign.alias("_sign"))
-    sums = [
-        F.sum(F.when(F.col("_slot") == i, F.col("_sign")).otherwise(0.0)).alias(f"_{i}") for i in range(dimensions)
-    ]
-    vector = F.array(*[F.col(f"_{i}") for i in range(dimensions)])
-    counted = placed.groupBy("id").agg(*sums).select("id", vector.alias("_v"))
-    length = norm_col(F.col("_v"))
-    unit = F.transform("_v", lambda x: F.when(length > 0, x / length).otherwise(0.0))
-    return counted.withColumn("_n", length).select("id", unit.alias("embedding"))
 
 
 def embed_with(

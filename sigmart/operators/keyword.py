@@ -10,6 +10,7 @@ from sigmart.functions.broadcasting import at_most
 from sigmart.functions.text import tokens
 from sigmart.operators.similarity import filter_metadata, rank_within
 from sigmart.schemas import VECTOR_TOP_K
+from sigmart.sources.readers import spread
 
 # The usual BM25 parameters.
 K1 = 1.2
@@ -39,7 +40,7 @@ def keyword_search(
     """
     docs = filter_metadata(docs, filters)
     # `id` and length of every document, and its words
-    words = docs.select("id", tokens(F.col("content")).alias("_tokens"))
+    words = spread(docs.select("id", "content")).select("id", tokens(F.col("content")).alias("_tokens"))
     totals = words.agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.size("_tokens").cast("double")).alias("mean_length")
     )
@@ -47,8 +48,8 @@ def keyword_search(
     travels = at_most(terms, broadcast_terms)
     vocabulary = terms.select("term").distinct()
 
-    spread = words.select("id", F.size("_tokens").alias("_length"), F.explode("_tokens").alias("term"))
-    asked = spread.join(F.broadcast(vocabulary) if travels else vocabulary, "term", "left_semi").repartition("id")
+    exploded = words.select("id", F.size("_tokens").alias("_length"), F.explode("_tokens").alias("term"))
+    asked = exploded.join(F.broadcast(vocabulary) if travels else vocabulary, "term", "left_semi").repartition("id")
     counts = asked.groupBy("id", "_length", "term").agg(F.count(F.lit(1)).alias("_tf"))
 
     spread_of_term = counts.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))

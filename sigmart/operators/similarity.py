@@ -227,26 +227,40 @@ def mmr_rerank(
         source.schema["query_id"], source.schema["id"], T.StructField("score", T.DoubleType()),
         T.StructField("mmr_score", T.DoubleType()), T.StructField("mmr_rank", T.IntegerType()),
     ])
+    # one row per query; in id order, so that the first of equal values is the lower id
+    sets = (
+        source.groupBy("query_id")
+        .agg(F.array_sort(F.collect_list(F.struct("id", "score", "embedding"))).alias("_c"))
+        .select("query_id", "_c.id", "_c.score", "_c.embedding")
+    )
 
-    def rerank(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("id", ignore_index=True)
-        relevance = group["score"].to_numpy()
-        vectors = unit_rows(group["embedding"])
+    def pick(relevance: np.ndarray, vectors: np.ndarray) -> tuple[list[int], list[float]]:
         alike = vectors @ vectors.T
-        closest = np.zeros(len(group))
-        open_rows = np.ones(len(group), dtype=bool)
-        taken: list[tuple[int, float]] = []
-        while len(taken) < min(top_k, len(group)):
+        closest = np.zeros(len(relevance))
+        order: list[int] = []
+        values: list[float] = []
+        while len(order) < min(top_k, len(relevance)):
             value = lambda_mult * relevance - (1 - lambda_mult) * closest
-            ranked = np.where(open_rows, np.round(value, RANK_DECIMALS), -np.inf)
-            best = int(ranked.argmax())  # rows are in id order, so ties go to the lower id
-            closest = alike[best] if not taken else np.maximum(closest, alike[best])
-            taken.append((best, float(value[best])))
-            open_rows[best] = False
-        picked = group.iloc[[row for row, _ in taken]]
-        return pd.DataFrame({
-            "query_id": picked["query_id"], "id": picked["id"], "score": picked["score"],
-            "mmr_score": [value for _, value in taken], "mmr_rank": np.arange(1, len(taken) + 1, dtype=np.int32),
-        })
-
-    return source.groupBy("query_id").applyInPandas(rerank, schema)
+            ranked = np.round(value, RANK_DECIMALS)
+            ranked[order] = -np.inf
+            best = int(ranked.argmax())
+            closest = np.maximum(closest, alike[best]) if order else alike[best]
+            order.append(best)
+            values.append(float(value[best]))
+        return order, values
+
+    def rerank(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out: dict[str, list] = {name: [] for name in schema.names}
+            for query_id, ids, scores, embeddings in zip(
+                batch["query_id"], batch["id"], batch["score"], batch["embedding"], strict=True
+            ):
+                order, values = pick(np.asarray(scores, dtype=np.float64), unit_rows(embeddings))
+                out["query_id"].extend([query_id] * len(order))
+                out["id"].extend(ids[row] for row in order)
+                out["score"].extend(scores[row] for row in order)
+                out["mmr_score"].extend(values)
+                out["mmr_rank"].extend(range(1, len(order) + 1))
+            yield pd.DataFrame(out).astype({"mmr_rank": "int32"})
+
+    return sets.mapInPandas(rerank, schema)

@@ -55,3 +55,13 @@ def read_vectors(
     """Vector documents as id, embedding and metadata columns."""
     table = spark.read.parquet(path)
     return table.select(F.col(id_col).alias("id"), F.col(vector_col).alias("embedding"), *metadata)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where the scan yields fewer partitions than there are cores.
+
+    For heavy per-row work on small or unsplittable files; a large table already has more splits than
+    cores and is left as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
