@@ -13,6 +13,7 @@ from sigmart.operators import metrics as M
 from sigmart.operators import observability as K
 from sigmart.operators import quality as Q
 from sigmart.operators import runs as R
+from sigmart.operators import staging as stg
 from sigmart.operators.embed import embed_documents, md5_hash
 from sigmart.operators.enrich import enrich_signals
 from sigmart.operators.incremental import merge_fact, since_watermark
@@ -23,8 +24,9 @@ from sigmart.operators.similarity import mmr_rerank, similarity_search
 from sigmart.operators.validate import validate
 from sigmart.plans.build import Warehouse
 from sigmart.plans.supplied import Supplied
-from sigmart.session import materialize
+from sigmart.session import materialize, shared_dir
 from sigmart.sources.readers import parse_dead_letter_lines, read_documents, read_vectors
+from sigmart.streaming import jobs as S
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -532,3 +534,85 @@ def keyword_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keyword_retrieval_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = keyword_search(_questions(spark, sf_dir), _documents(spark, sf_dir), top_k=3, filters={"lang": "en"})
     return _rounded(found, "score")
+
+
+# -- streaming -------------------------------------------------------------------------------
+# Each job runs to the end of its input, into the shared folder, and the query reads its sink.
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> tuple[Supplied, str]:
+    """The supplied tables as streams, and a new folder for the job's sinks and checkpoint."""
+    return Supplied(spark, sf_dir, stream=True), shared_dir(spark, "stream")
+
+
+def _save(path: str):
+    return lambda batch, batch_id: batch.write.mode("overwrite").parquet(S.batch_path(path, batch_id))
+
+
+@query
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data, root = _streamed(spark, sf_dir)
+    records = data.raw("json_classifier")
+    S.ingest_stream(records, "classifier", f"{root}/valid", f"{root}/dead", f"{root}/cp").awaitTermination()
+    valid = spark.read.parquet(f"{root}/valid").select(F.lit("valid").alias("outcome"), F.lit("").alias("problem"))
+    dead = spark.read.parquet(f"{root}/dead").select(F.explode("error_details").alias("e")).select(
+        F.lit("dead").alias("outcome"), F.concat("e.field", F.lit(":"), "e.type").alias("problem")
+    )
+    return valid.union(dead).groupBy("outcome", "problem").agg(F.count(F.lit(1)).alias("records"))
+
+
+@query
+def stream_enriched_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matched pairs of the stream join; unmatched rows wait for a later watermark."""
+    data, root = _streamed(spark, sf_dir)
+    joined = S.enrich_stream(
+        stg.stg_signals(data.raw("raw_classifier_outputs")), stg.stg_enforcement(data.raw("raw_enforcement_logs"))
+    )
+    S.start(joined, f"{root}/cp", _save(f"{root}/out")).awaitTermination()
+    pairs = spark.read.parquet(f"{root}/out").filter(F.col("action_id").isNotNull())
+    return pairs.select("signal_id", "action_id", "signal_timestamp", "action_timestamp", "was_enforced")
+
+
+@query
+def stream_unique_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every signal delivered twice, and kept once."""
+    data, root = _streamed(spark, sf_dir)
+    staged = stg.stg_signals(data.raw("raw_classifier_outputs"))
+    unique = S.unique_signals(staged.union(staged))
+    S.start(unique, f"{root}/cp", _save(f"{root}/out")).awaitTermination()
+    return spark.read.parquet(f"{root}/out").select("signal_id", "entity_id", "signal_timestamp")
+
+
+@query
+def stream_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data, root = _streamed(spark, sf_dir)
+    static = Supplied(spark, sf_dir)
+    S.fact_stream(
+        stg.stg_signals(data.raw("raw_classifier_outputs")),
+        lambda: stg.stg_enforcement(static.raw("raw_enforcement_logs")),
+        f"{root}/fact", f"{root}/staging", f"{root}/cp",
+    ).awaitTermination()
+    return spark.read.parquet(f"{root}/fact").drop("signal_day")
+
+
+@query
+def stream_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data, root = _streamed(spark, sf_dir)
+    signals = stg.all_signals(reports=stg.stg_reports(data.raw("raw_user_reports")))
+    volume = S.volume_stream(signals, by=("signal_type", "report_type"))
+    write = lambda batch, _: batch.write.mode("overwrite").parquet(f"{root}/out")
+    S.start(volume, f"{root}/cp", write, mode="complete").awaitTermination()
+    return spark.read.parquet(f"{root}/out").drop("entities")
+
+
+@query
+def stream_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data, root = _streamed(spark, sf_dir)
+    signals = stg.all_signals(
+        reports=stg.stg_reports(data.raw("raw_user_reports")),
+        actions=stg.stg_enforcement(data.raw("raw_enforcement_logs")),
+    )
+    S.freshness_stream(signals, lambda: AS_OF, f"{root}/out", f"{root}/cp").awaitTermination()
+    rows = spark.read.parquet(f"{root}/out")
+    newest = rows.select(F.max("batch_id")).scalar()
+    return rows.filter(F.col("batch_id") == newest).drop("batch_id")

@@ -102,16 +102,21 @@ def oracle_text(sql: str) -> str:
 
 
 class Supplied:
-    """Relations over one folder of supplied tables. Everything is lazy."""
+    """Relations over one folder of supplied tables, read as batch or as streams. Everything is lazy."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+    def __init__(self, spark: SparkSession, sf_dir: str, stream: bool = False) -> None:
         self.spark = prepare(spark)
+        self.stream = stream
         self.sf_dir = sf_dir.rstrip("/")
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            table = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            if self.stream:
+                files = self.spark.readStream.schema(table.schema).option("pathGlobFilter", f"{name}.parquet")
+                table = files.parquet(self.sf_dir)
+            self._tables[name] = table
         return self._tables[name]
 
     def view(self, text: str) -> DataFrame:
