@@ -73,7 +73,7 @@ LABEL_OUTSIDE = (
 PARSED = "_parsed"
 CORRUPT = "_corrupt"
 PROBLEM_TYPE = "STRUCT<field: STRING, message: STRING, type: STRING, input: STRING>"
-NOTHING = f"CAST(NULL AS {PROBLEM_TYPE})"
+NO_PROBLEMS = f"CAST(array() AS ARRAY<{PROBLEM_TYPE}>)"
 
 
 def quoted(text: str) -> str:
@@ -85,13 +85,9 @@ def listed(words: list[str]) -> str:
     return ", ".join(quoted(word) for word in words)
 
 
-def problem(field: str, kind: str, shown: str, *details: object) -> str:
-    """One error: where, what in words, what as a code, and the offending input as JSON text."""
-    return problem_at(quoted(field), quoted(MESSAGES[kind].format(*details)), kind, shown)
-
-
-def problem_at(field: str, message: str, kind: str, shown: str) -> str:
-    return f"named_struct('field', {field}, 'message', {message}, 'type', {quoted(kind)}, 'input', {shown})"
+def problem_at(field: str, message: str, code: str, shown: str) -> str:
+    """One error, as SQL for where, what in words, what as a code, and the offending input as JSON text."""
+    return f"named_struct('field', {field}, 'message', {message}, 'type', {code}, 'input', {shown})"
 
 
 def case(*branches: tuple[str, str], otherwise: str = "NULL") -> str:
@@ -100,21 +96,44 @@ def case(*branches: tuple[str, str], otherwise: str = "NULL") -> str:
 
 
 class Value:
-    """A VARIANT expression and the expressions validation needs of it."""
+    """A VARIANT and the expressions validation needs of it.
 
-    def __init__(self, variant: str) -> None:
-        self.variant = variant
-        self.absent = f"{variant} IS NULL"
-        self.kind = f"schema_of_variant({variant})"
-        self.text = self.read_as("string")
-        self.number = self.read_as("double")
-        self.flag = self.read_as("boolean")
+    ``facts`` of a field are computed once, as columns named after it; ``inline`` values, such as the
+    entries of a map, repeat the expressions instead.
+    """
+
+    def __init__(self, variant: str, kind: str, text: str, number: str, flag: str, typed: str) -> None:
+        self.variant, self.kind, self.text, self.number, self.flag, self.typed = variant, kind, text, number, flag, typed
         self.shown = f"to_json({variant})"
-        self.is_text = f"{self.kind} = 'STRING'"
-        self.is_flag = f"{self.kind} = 'BOOLEAN'"
-        self.is_number = f"{self.kind} RLIKE '^(BIGINT|DOUBLE|FLOAT|DECIMAL)'"
-        self.is_scalar = f"{self.kind} RLIKE '^(BIGINT|DOUBLE|FLOAT|DECIMAL|BOOLEAN|STRING)'"
-        self.is_object = f"startswith({self.kind}, 'OBJECT')"
+        self.absent = f"{variant} IS NULL"
+        self.is_text = f"{kind} = 'ST'"
+        self.is_flag = f"{kind} = 'BO'"
+        self.is_integer = f"{kind} = 'BI'"
+        self.is_number = f"{kind} IN ('BI', 'DE', 'DO', 'FL')"
+        self.is_scalar = f"{kind} IN ('ST', 'BO', 'BI', 'DE', 'DO', 'FL')"
+        self.is_object = f"{kind} = 'OB'"
+
+    @classmethod
+    def inline(cls, variant: str) -> Value:
+        return cls(variant, *cls.facts_of(variant).values(), typed="NULL")
+
+    @classmethod
+    def of_field(cls, name: str) -> Value:
+        return cls(f"`_variant_{name}`", *[f"`_{fact}_{name}`" for fact in cls.facts_of("")], typed=f"`_typed_{name}`")
+
+    @staticmethod
+    def facts_of(variant: str) -> dict[str, str]:
+        """What is asked of a value more than once. The kind is the first two letters of the type's name.
+
+        A value is read only as what it is: reading text as a number would fail inside for every record.
+        """
+        kind = f"left(schema_of_variant({variant}), 2)"
+        return {
+            "kind": kind,
+            "text": f"CASE WHEN {kind} = 'ST' THEN try_variant_get({variant}, '$', 'string') END",
+            "number": f"CASE WHEN {kind} IN ('BI', 'DE', 'DO', 'FL') THEN try_variant_get({variant}, '$', 'double') END",
+            "flag": f"CASE WHEN {kind} = 'BO' THEN try_variant_get({variant}, '$', 'boolean') END",
+        }
 
     def read_as(self, dtype: str) -> str:
         return f"try_variant_get({self.variant}, '$', '{dtype}')"
@@ -145,7 +164,7 @@ class Value:
     def as_bigint(self) -> str:
         digits = f"regexp_extract({self.text}, {quoted(LEADING_INTEGER)}, 1)"
         return case(
-            (f"{self.kind} = 'BIGINT'", self.read_as("bigint")),
+            (self.is_integer, self.read_as("bigint")),
             (f"{self.is_text} AND {self.text_like(INTEGER_TEXT)}", f"try_cast({digits} AS BIGINT)"),
             (self.is_flag, f"CAST({self.flag} AS BIGINT)"),
             (f"{self.is_number} AND {self.number} = floor({self.number})", f"try_cast({self.number} AS BIGINT)"),
@@ -169,185 +188,200 @@ class Value:
         )
 
 
-@dataclass(frozen=True)
-class Field:
-    """How one field is read: SQL for its value, and for its array of problems given the record's text."""
+Faults = Callable[[Value], list[tuple[str, str, str]]]
 
-    name: str
-    value: Callable[[Value], str]
-    problems: Callable[[Value, str], str]
 
+@dataclass(frozen=True)
+class Field:
+    """How one field is read.
 
-def _one_problem(name: str, required: bool, faults: Callable[[Value], list[tuple[str, str]]]):
-    """The first fault that applies. Absence is one only for a required field."""
+    ``typed`` is SQL for its typed value, NULL where it cannot be read as its type. ``faults`` lists
+    (condition, code, message): the first condition that holds is the field's problem. ``default`` stands in
+    when the field is absent. ``details`` overrides the array of problems made from the code.
+    """
 
-    def problems(v: Value, record: str) -> str:
-        absent = problem(name, "missing", record) if required else NOTHING
-        return f"array_compact(array({case((v.absent, absent), *faults(v), otherwise=NOTHING)}))"
+    name: str
+    typed: Callable[[Value], str]
+    faults: Faults
+    default: str | None = None
+    required: bool = True
+    details: Callable[[Value], str] | None = None
 
-    return problems
+    @property
+    def code(self) -> str:
+        return f"`_fault_{self.name}`"
+
+    def value(self, v: Value) -> str:
+        return v.typed if self.default is None else case((v.absent, self.default), otherwise=v.typed)
+
+    def fault(self, v: Value) -> str:
+        """The code of the field's problem, or NULL."""
+        absent = "'missing'" if self.required else "NULL"
+        found = [(condition, quoted(code) if code else "NULL") for condition, code, _ in self.faults(v)]
+        return case((v.absent, absent), *found)
+
+    def problems(self, v: Value, record: str) -> str:
+        """The field's problems as an array, given its code."""
+        if self.details is not None:
+            return case((f"{self.code} IS NULL", NO_PROBLEMS), otherwise=self.details(v))
+        words = [(f"{self.code} = {quoted(code)}", quoted(message)) for _, code, message in self.faults(v) if code]
+        message = case((f"{self.code} = 'missing'", quoted(MESSAGES["missing"])), *words)
+        shown = case((f"{self.code} = 'missing'", record), otherwise=v.shown)
+        return case(
+            (f"{self.code} IS NULL", NO_PROBLEMS),
+            otherwise=f"array({problem_at(quoted(self.name), message, self.code, shown)})",
+        )
 
 
-def _or_default(v: Value, value: str, default: str | None) -> str:
-    return value if default is None else case((v.absent, default), otherwise=value)
+def fault(condition: str, code: str, *details: object) -> tuple[str, str, str]:
+    return condition, code, MESSAGES[code].format(*details)
 
 
 def text_field(
     name: str, shortest: int = 0, longest: int | None = None, pattern: str | None = None,
-    default: str | None = None, required: bool = True, stripped: bool = False,
+    default: str | None = None, stripped: bool = False,
 ) -> Field:
-    def faults(v: Value) -> list[tuple[str, str]]:
-        out = [(f"NOT ({v.is_text})", problem(name, "string_type", v.shown))]
+    def faults(v: Value) -> list[tuple[str, str, str]]:
+        out = [fault(f"NOT ({v.is_text})", "string_type")]
         if shortest:
-            short = problem(name, "string_too_short", v.shown, shortest)
-            out.append((f"length({v.text}) < {shortest}", short))
+            out.append(fault(f"length({v.text}) < {shortest}", "string_too_short", shortest))
         if longest is not None:
-            out.append((f"length({v.text}) > {longest}", problem(name, "string_too_long", v.shown, longest)))
+            out.append(fault(f"length({v.text}) > {longest}", "string_too_long", longest))
         if pattern is not None:
             # `$` would let a trailing newline through
             whole = pattern.removesuffix("$") + r"\z"
-            out.append((f"NOT ({v.text_like(whole)})", problem(name, "string_pattern_mismatch", v.shown, pattern)))
+            out.append(fault(f"NOT ({v.text_like(whole)})", "string_pattern_mismatch", pattern))
         return out
 
-    def value(v: Value) -> str:
-        text = f"btrim({v.text}, {quoted(WHITESPACE)})" if stripped else v.text
-        return _or_default(v, text, None if default is None else quoted(default))
+    def typed(v: Value) -> str:
+        return f"btrim({v.text}, {quoted(WHITESPACE)})" if stripped else v.text
 
-    return Field(name, value, _one_problem(name, required, faults))
+    return Field(name, typed, faults, None if default is None else quoted(default), default is None)
 
 
 def choice_field(name: str, choices: list[str], default: str | None = None) -> Field:
     words = [f"'{choice}'" for choice in choices]
     offered = f"{', '.join(words[:-1])} or {words[-1]}"
 
-    def faults(v: Value) -> list[tuple[str, str]]:
-        known = f"{v.is_text} AND {v.text} IN ({listed(choices)})"
-        return [(f"NOT ({known})", problem(name, "enum", v.shown, offered))]
-
-    def value(v: Value) -> str:
-        return _or_default(v, v.text, None if default is None else quoted(default))
+    def faults(v: Value) -> list[tuple[str, str, str]]:
+        return [fault(f"NOT ({v.is_text} AND {v.text} IN ({listed(choices)}))", "enum", offered)]
 
-    return Field(name, value, _one_problem(name, default is None, faults))
+    return Field(name, lambda v: v.text, faults, None if default is None else quoted(default), default is None)
 
 
 def number_field(name: str, low: float, high: float, default: float | None = None) -> Field:
-    def faults(v: Value) -> list[tuple[str, str]]:
-        number = v.as_double
+    def faults(v: Value) -> list[tuple[str, str, str]]:
         return [
-            (f"NOT ({v.is_scalar})", problem(name, "float_type", v.shown)),
-            (f"({number}) IS NULL", problem(name, "float_parsing", v.shown)),
+            fault(f"NOT ({v.is_scalar})", "float_type"),
+            fault(f"{v.typed} IS NULL", "float_parsing"),
             # NaN is no fault of the field; the record rule catches it
-            (f"isnan({number})", NOTHING),
-            (f"({number}) < {low}", problem(name, "greater_than_equal", v.shown, f"{low:g}")),
-            (f"({number}) > {high}", problem(name, "less_than_equal", v.shown, f"{high:g}")),
+            (f"isnan({v.typed})", "", ""),
+            fault(f"{v.typed} < {low}", "greater_than_equal", f"{low:g}"),
+            fault(f"{v.typed} > {high}", "less_than_equal", f"{high:g}"),
         ]
 
-    def value(v: Value) -> str:
-        return _or_default(v, v.as_double, None if default is None else f"CAST({default} AS DOUBLE)")
-
-    return Field(name, value, _one_problem(name, default is None, faults))
+    shown_default = None if default is None else f"CAST({default} AS DOUBLE)"
+    return Field(name, lambda v: v.as_double, faults, shown_default, default is None)
 
 
 def integer_field(name: str, low: int, default: int | None = None) -> Field:
-    def faults(v: Value) -> list[tuple[str, str]]:
-        number = v.as_bigint
+    def faults(v: Value) -> list[tuple[str, str, str]]:
         return [
-            (f"NOT ({v.is_scalar})", problem(name, "int_type", v.shown)),
-            (f"({number}) IS NULL AND {v.is_number}", problem(name, "int_from_float", v.shown)),
-            (f"({number}) IS NULL", problem(name, "int_parsing", v.shown)),
-            (f"({number}) < {low}", problem(name, "greater_than_equal", v.shown, low)),
+            fault(f"NOT ({v.is_scalar})", "int_type"),
+            fault(f"{v.typed} IS NULL AND {v.is_number}", "int_from_float"),
+            fault(f"{v.typed} IS NULL", "int_parsing"),
+            fault(f"{v.typed} < {low}", "greater_than_equal", low),
         ]
 
-    def value(v: Value) -> str:
-        return _or_default(v, v.as_bigint, None if default is None else f"CAST({default} AS BIGINT)")
-
-    return Field(name, value, _one_problem(name, default is None, faults))
+    shown_default = None if default is None else f"CAST({default} AS BIGINT)"
+    return Field(name, lambda v: v.as_bigint, faults, shown_default, default is None)
 
 
 def flag_field(name: str) -> Field:
-    def faults(v: Value) -> list[tuple[str, str]]:
+    def faults(v: Value) -> list[tuple[str, str, str]]:
         fraction = f"{v.is_number} AND {v.number} <> floor({v.number})"
         return [
-            (f"NOT ({v.is_scalar}) OR ({fraction})", problem(name, "bool_type", v.shown)),
-            (f"({v.as_boolean}) IS NULL", problem(name, "bool_parsing", v.shown)),
+            fault(f"NOT ({v.is_scalar}) OR ({fraction})", "bool_type"),
+            fault(f"{v.typed} IS NULL", "bool_parsing"),
         ]
 
-    return Field(name, lambda v: v.as_boolean, _one_problem(name, True, faults))
+    return Field(name, lambda v: v.as_boolean, faults)
 
 
 def time_field(name: str) -> Field:
-    def faults(v: Value) -> list[tuple[str, str]]:
+    def faults(v: Value) -> list[tuple[str, str, str]]:
         return [
-            (f"NOT ({v.is_text} OR {v.is_number})", problem(name, "datetime_type", v.shown)),
-            (f"({v.as_timestamp}) IS NULL", problem(name, "datetime_from_date_parsing", v.shown)),
+            fault(f"NOT ({v.is_text} OR {v.is_number})", "datetime_type"),
+            fault(f"{v.typed} IS NULL", "datetime_from_date_parsing"),
         ]
 
-    return Field(name, lambda v: v.as_timestamp, _one_problem(name, True, faults))
+    return Field(name, lambda v: v.as_timestamp, faults)
 
 
 def id_field(name: str) -> Field:
     """A UUID, generated when absent. Generated ids are new on every evaluation: write before reuse."""
 
-    def faults(v: Value) -> list[tuple[str, str]]:
-        return [
-            (f"NOT ({v.is_text})", problem(name, "uuid_type", v.shown)),
-            (f"NOT ({v.text_like(UUID_TEXT)})", problem(name, "uuid_parsing", v.shown)),
-        ]
+    def faults(v: Value) -> list[tuple[str, str, str]]:
+        return [fault(f"NOT ({v.is_text})", "uuid_type"), fault(f"NOT ({v.text_like(UUID_TEXT)})", "uuid_parsing")]
 
-    def value(v: Value) -> str:
-        digits = f"regexp_replace(lower({v.text}), {quoted('^urn:uuid:|[{}-]')}, '')"
+    def typed(v: Value) -> str:
+        lower = f"lower({v.text})"
+        digits = f"regexp_replace({lower}, {quoted('^urn:uuid:|[{}-]')}, '')"
         dashed = f"regexp_replace({digits}, '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '$1-$2-$3-$4-$5')"
-        return case((v.absent, "uuid()"), otherwise=dashed)
+        usual = f"length({lower}) = 36 AND substring({lower}, 9, 1) = '-' AND substring({lower}, 24, 1) = '-'"
+        return case((usual, lower), otherwise=dashed)
 
-    return Field(name, value, _one_problem(name, False, faults))
+    return Field(name, typed, faults, "uuid()", required=False)
 
 
 def object_field(name: str) -> Field:
     """A free-form object, kept as JSON text; an empty object when absent."""
 
-    def faults(v: Value) -> list[tuple[str, str]]:
-        return [(f"NOT ({v.is_object})", problem(name, "dict_type", v.shown))]
+    def faults(v: Value) -> list[tuple[str, str, str]]:
+        return [fault(f"NOT ({v.is_object})", "dict_type")]
 
-    return Field(name, lambda v: _or_default(v, v.shown, "'{}'"), _one_problem(name, False, faults))
+    return Field(name, lambda v: v.shown, faults, "'{}'", required=False)
 
 
 def score_map_field(name: str) -> Field:
     """A map of scores. Unreadable scores are reported per key; of scores out of range, the first."""
-    entry = Value("e.value")
+    entry = Value.inline("e.value")
+    unreadable = f"({entry.is_scalar}) IS NOT TRUE OR ({entry.as_double}) IS NULL"
+    outside = f"isnan({entry.as_double}) OR NOT ({entry.as_double}) BETWEEN 0 AND 1"
 
     def entries(v: Value) -> str:
         return f"CASE WHEN {v.is_object} THEN map_entries({v.read_as('map<string,variant>')}) END"
 
-    def problems(v: Value, record: str) -> str:
+    def faults(v: Value) -> list[tuple[str, str, str]]:
+        return [
+            fault(f"NOT ({v.is_object})", "dict_type"),
+            fault(f"exists({entries(v)}, e -> {unreadable})", "float_parsing"),
+            (f"exists({entries(v)}, e -> {outside})", "value_error", ""),
+        ]
+
+    def details(v: Value) -> str:
         where = f"concat({quoted(name + ' -> ')}, e.key)"
-        unreadable = case(
-            (f"NOT ({entry.is_scalar})",
-             problem_at(where, quoted(MESSAGES["float_type"]), "float_type", entry.shown)),
-            (f"({entry.as_double}) IS NULL",
-             problem_at(where, quoted(MESSAGES["float_parsing"]), "float_parsing", entry.shown)),
-            otherwise=NOTHING,
-        )
-        bad = f"array_compact(transform({entries(v)}, e -> {unreadable}))"
-        outside = f"coalesce(isnan({entry.as_double}) OR NOT ({entry.as_double}) BETWEEN 0 AND 1, false)"
-        strays = f"filter({entries(v)}, e -> {outside})"
-        words = f"format_string({quoted(LABEL_OUTSIDE)}, e.key, to_json(e.value))"
-        first = f"transform(slice({strays}, 1, 1), e -> {problem_at(quoted(name), words, 'value_error', v.shown)})"
+        code = case((f"({entry.is_scalar}) IS NOT TRUE", "'float_type'"), otherwise="'float_parsing'")
+        words = case((f"({entry.is_scalar}) IS NOT TRUE", quoted(MESSAGES["float_type"])),
+                     otherwise=quoted(MESSAGES["float_parsing"]))
+        per_key = f"transform(filter({entries(v)}, e -> {unreadable}), e -> {problem_at(where, words, code, entry.shown)})"
+        first = f"slice(filter({entries(v)}, e -> {outside}), 1, 1)"
+        complaint = f"format_string({quoted(LABEL_OUTSIDE)}, e.key, to_json(e.value))"
         return case(
-            (v.absent, f"CAST(array() AS ARRAY<{PROBLEM_TYPE}>)"),
-            (f"NOT ({v.is_object})", f"array({problem(name, 'dict_type', v.shown)})"),
-            (f"size({bad}) > 0", bad),
-            otherwise=first,
+            (f"`_fault_{name}` = 'dict_type'",
+             f"array({problem_at(quoted(name), quoted(MESSAGES['dict_type']), quoted('dict_type'), v.shown)})"),
+            (f"`_fault_{name}` = 'float_parsing'", per_key),
+            otherwise=f"transform({first}, e -> {problem_at(quoted(name), complaint, quoted('value_error'), v.shown)})",
         )
 
-    def value(v: Value) -> str:
-        pairs = f"transform({entries(v)}, e -> struct(e.key, {entry.as_double}))"
-        return case((v.absent, "CAST(map() AS MAP<STRING, DOUBLE>)"), otherwise=f"map_from_entries({pairs})")
+    def typed(v: Value) -> str:
+        return f"map_from_entries(transform({entries(v)}, e -> struct(e.key, {entry.as_double})))"
 
-    return Field(name, value, problems)
+    return Field(name, typed, faults, "CAST(map() AS MAP<STRING, DOUBLE>)", required=False, details=details)
 
 
 # Record rules look at the typed values and give the words of their complaint, or NULL.
-_SCORE, _THRESHOLD, _FLAG = "_outcome.payload.score", "_outcome.payload.threshold", "_outcome.payload.is_positive"
+_SCORE, _THRESHOLD, _FLAG = "_values.score", "_values.threshold", "_values.is_positive"
 _OUTSIDE = case((
     f"isnan({_SCORE}) OR {_SCORE} < 0 OR {_SCORE} > 1",
     f"format_string({quoted(SCORE_OUTSIDE)}, CAST({_SCORE} AS STRING))",
@@ -393,7 +427,7 @@ CONTRACTS = {
             text_field("reporter_id", shortest=1),
             text_field("reported_entity_id", shortest=1),
             choice_field("report_type", REPORT_TYPES),
-            text_field("description", longest=MAX_DESCRIPTION_CHARS, default="", required=False, stripped=True),
+            text_field("description", longest=MAX_DESCRIPTION_CHARS, default="", stripped=True),
             choice_field("severity", SEVERITIES, default=DEFAULT_SEVERITY),
             choice_field("status", REPORT_STATUSES, default=DEFAULT_STATUS),
             time_field("timestamp"),
@@ -443,35 +477,54 @@ def parse(df: DataFrame, fields: list[Field], raw: str) -> DataFrame:
 
 
 def validate(df: DataFrame, kind: str, raw: str = "raw") -> DataFrame:
-    """Add ``payload`` (the typed record, NULL when invalid) and ``errors`` (empty when valid)."""
+    """Add ``payload`` (the typed record, NULL when invalid) and ``errors`` (empty when valid).
+
+    Four projections: what each value is, its typed form, the code of its problem, and, for records that have
+    one, the problems in full.
+    """
     spec = contract(kind)
+    fields = spec.fields
     record = f"`{raw}`"
-    read = {field.name: Value(f"{PARSED}.{field.name}") for field in spec.fields}
+    read = {field.name: Value.of_field(field.name) for field in fields}
 
-    not_an_object = f"{PARSED} IS NULL OR {PARSED}.{CORRUPT} IS NOT NULL"
-    unreadable = case(
-        (f"try_parse_json({record}) IS NULL", problem("", "json_invalid", record)),
-        otherwise=problem("", "model_type", record, spec.title),
+    opened = parse(df, fields, raw).select(
+        *df.columns,
+        F.expr(f"({PARSED} IS NULL OR {PARSED}.{CORRUPT} IS NOT NULL) AS _unreadable"),
+        *[F.expr(f"{PARSED}.`{name}` AS {v.variant}") for name, v in read.items()],
     )
-    field_problems = ", ".join(field.problems(read[field.name], record) for field in spec.fields)
-    problems = case((not_an_object, f"array({unreadable})"), otherwise=f"concat({field_problems})")
-    values = ", ".join(f"{field.value(read[field.name])} AS {field.name}" for field in spec.fields)
-
-    # Exploding one element per record fixes the outcome as a column: a later filter on it reads the column
+    facts = {
+        f"_{fact}_{name}": F.expr(sql) for name, v in read.items() for fact, sql in Value.facts_of(v.variant).items()
+    }
+    typed = {f"_typed_{field.name}": F.expr(field.typed(read[field.name])) for field in fields}
+    codes = {f"_fault_{field.name}": F.expr(field.fault(read[field.name])) for field in fields}
+    judged = opened.withColumns(facts).withColumns(typed).withColumns(codes)
+
+    # Exploding one element per record fixes these results as columns: a later filter on them reads the columns
     # instead of being pushed down as a second copy of every field check.
-    outcome = F.expr(f"explode_outer(array(struct({problems} AS problems, struct({values}) AS payload)))")
-    checked = parse(df, spec.fields, raw).select(*df.columns, outcome.alias("_outcome"))
-
-    errors = "_outcome.problems"
-    if spec.rules:
-        complaint = f"coalesce({', '.join(spec.rules)}, NULL)"
-        broken = case((f"{complaint} IS NOT NULL", problem_at("''", complaint, "value_error", record)),
-                      otherwise=NOTHING)
-        errors = case((f"size({errors}) > 0", errors), otherwise=f"array_compact(array({broken}))")
-    return (
-        checked.withColumn("errors", F.expr(errors).cast(ERROR_SCHEMA))
-        .withColumn("payload", F.expr("CASE WHEN size(errors) = 0 THEN _outcome.payload END"))
-        .drop("_outcome")
+    values = ", ".join(f"{field.value(read[field.name])} AS `{field.name}`" for field in fields)
+    kept = ["_unreadable", *[field.code for field in fields], *[v.variant for v in read.values()],
+            *[v.kind for v in read.values()]]
+    fixed = F.expr(f"explode(array(struct({', '.join(kept)}, struct({values}) AS _values)))")
+    checked = judged.select(*df.columns, fixed.alias("_fixed")).select(*df.columns, "_fixed.*")
+
+    unreadable = case(
+        (f"try_parse_json({record}) IS NULL",
+         problem_at("''", quoted(MESSAGES["json_invalid"]), "'json_invalid'", record)),
+        otherwise=problem_at("''", quoted(MESSAGES["model_type"].format(spec.title)), "'model_type'", record),
+    )
+    complaint = f"coalesce({', '.join(spec.rules)}, NULL)" if spec.rules else "NULL"
+    any_fault = f"coalesce({', '.join(field.code for field in fields)}) IS NOT NULL"
+    in_full = f"concat({', '.join(field.problems(read[field.name], record) for field in fields)})"
+    errors = case(
+        ("_unreadable", f"array({unreadable})"),
+        (any_fault, in_full),
+        (f"{complaint} IS NOT NULL", f"array({problem_at(quoted(''), complaint, quoted('value_error'), record)})"),
+        otherwise=NO_PROBLEMS,
+    )
+    return checked.select(
+        *df.columns,
+        F.expr(errors).cast(ERROR_SCHEMA).alias("errors"),
+        F.expr(case((f"_unreadable OR {any_fault} OR {complaint} IS NOT NULL", "NULL"), otherwise="_values")).alias("payload"),
     )
 
 

@@ -25,7 +25,7 @@ from sigmart.operators.validate import validate
 from sigmart.plans.build import Warehouse
 from sigmart.plans.supplied import Supplied
 from sigmart.session import materialize, shared_dir
-from sigmart.sources.readers import parse_dead_letter_lines, read_documents, read_vectors
+from sigmart.sources.readers import parse_dead_letter_lines, read_documents, read_vectors, spread
 from sigmart.streaming import jobs as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -186,32 +186,37 @@ def errors_text() -> Column:
     return F.array_join(shown, "|").alias("errors")
 
 
+def records(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
+    return spread(Supplied(spark, sf_dir).raw(view))
+
+
 def batches(spark: SparkSession, sf_dir: str) -> list[E.Batch]:
-    data = Supplied(spark, sf_dir)
-    return [E.load_batch(data.raw(view), kind, BATCH_SOURCE, at=AS_OF) for view, kind in JSON_KINDS.items()]
+    return [
+        E.load_batch(records(spark, sf_dir, view), kind, BATCH_SOURCE, at=AS_OF) for view, kind in JSON_KINDS.items()
+    ]
 
 
 @query
 def validate_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = validate(Supplied(spark, sf_dir).raw("json_classifier"), "classifier")
+    checked = validate(records(spark, sf_dir, "json_classifier"), "classifier")
     return checked.select("raw_id", errors_text(), "payload.*").drop("metadata")
 
 
 @query
 def validate_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = validate(Supplied(spark, sf_dir).raw("json_reports"), "report")
+    checked = validate(records(spark, sf_dir, "json_reports"), "report")
     return checked.select("raw_id", errors_text(), "payload.*").drop("metadata")
 
 
 @query
 def validate_enforcement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = validate(Supplied(spark, sf_dir).raw("json_enforcement"), "enforcement")
+    checked = validate(records(spark, sf_dir, "json_enforcement"), "enforcement")
     return checked.select("raw_id", errors_text(), "payload.*").drop("metadata")
 
 
 @query
 def validate_model_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = validate(Supplied(spark, sf_dir).raw("json_model_outputs"), "model_output")
+    checked = validate(records(spark, sf_dir, "json_model_outputs"), "model_output")
     labels = [F.try_element_at("payload.safety_labels", F.lit(name)).alias(name) for name in ("toxicity", "pii")]
     return checked.select("raw_id", errors_text(), "payload.*", *labels).drop("metadata", "safety_labels")
 

@@ -14,6 +14,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # HotSpot never compiles a method beyond 8000 bytes; above that, smaller generated methods are faster.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
