@@ -38,18 +38,17 @@ def embed_documents(
     placed = hashed.selectExpr(
         "id",
         f"pmod(_hash, {dimensions}) AS _slot",
-        f"CASE WHEN _hash IS NULL THEN 0D WHEN pmod(floor(_hash / {dimensions}), 2) = 0 THEN 1D ELSE -1D END AS _sign",
+        f"CASE WHEN _hash IS NULL THEN 0D WHEN pmod(_hash DIV {dimensions}, 2) = 0 THEN 1D ELSE -1D END AS _sign",
     )
     slots = range(dimensions)
     sums = [F.expr(f"sum(CASE WHEN _slot = {i} THEN _sign ELSE 0D END) AS _{i}") for i in slots]
     counted = placed.groupBy("id").agg(*sums).selectExpr(
         "id",
-        f"array({', '.join(f'_{i}' for i in slots)}) AS _v",
-        f"sqrt({' + '.join(f'_{i} * _{i}' for i in slots)}) AS _length",
-    )
-    return counted.selectExpr(
-        "id", "transform(_v, x -> CASE WHEN _length > 0 THEN x / _length ELSE 0D END) AS embedding"
+        *[f"_{i}" for i in slots],
+        # dividing a zero vector by 1 keeps it zero
+        f"coalesce(nullif(sqrt({' + '.join(f'_{i} * _{i}' for i in slots)}), 0D), 1D) AS _length",
     )
+    return counted.selectExpr("id", f"array({', '.join(f'_{i} / _length' for i in slots)}) AS embedding")
 
 
 def embed_with(

@@ -519,7 +519,7 @@ def _embed(df: DataFrame, **names: str) -> DataFrame:
 def embed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's vector, one row per slot that is not zero."""
     vectors = _embed(_documents(spark, sf_dir))
-    slots = vectors.select("id", F.posexplode("embedding").alias("slot", "value"))
+    slots = vectors.select("id", F.posexplode_outer("embedding").alias("slot", "value"))
     return slots.filter(F.col("value") != 0).select("id", "slot", F.round("value", 6).alias("value"))
 
 
