@@ -26,9 +26,10 @@ def cosine_col(a: Column, b: Column) -> Column:
 
 def unit_rows(vectors) -> np.ndarray:
     """Vectors as rows of length 1; zero vectors stay zero, so their cosine is 0."""
-    matrix = np.asarray([np.asarray(v, dtype=np.float64) for v in vectors], dtype=np.float64)
-    if matrix.size == 0:
-        return matrix.reshape(len(matrix), -1)
+    rows = [np.asarray(v, dtype=np.float64) for v in vectors]
+    if not rows:
+        return np.empty((0, 0))
+    matrix = np.stack(rows)
     length = np.linalg.norm(matrix, axis=1, keepdims=True)
     return np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0)
 

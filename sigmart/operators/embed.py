@@ -32,7 +32,7 @@ def embed_documents(
     """
     words = spread(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text")))
     hashed = words.select("id", F.explode_outer(tokens(F.col("_text"))).alias("_token")).select(
-        "id", token_hash(F.col("_token")).alias("_hash")
+        "id", F.when(F.col("_token").isNotNull(), token_hash(F.col("_token"))).alias("_hash")
     )
     # no token, no hash: the sign is then 0
     placed = hashed.selectExpr(

@@ -80,7 +80,7 @@ def freshness(signals: DataFrame, as_of: str, windows: dict[str, int] | None = N
     known = dict(FRESHNESS_WINDOW_MINUTES)
     known.update({kind: minutes for kind, minutes in (windows or {}).items() if minutes})
     listed = signals.sparkSession.createDataFrame(list(known.items()), "signal_type string, window_minutes int")
-    joined = latest_loaded(signals).join(F.broadcast(listed), "signal_type", "full")
+    joined = latest_loaded(signals).join(listed, "signal_type", "full")
     window = F.coalesce("window_minutes", F.lit(UNKNOWN_TYPE_WINDOW_MINUTES))
     oldest = minutes_after(ntz(as_of), -window)
     return joined.select(

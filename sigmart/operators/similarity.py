@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from sigmart.functions.vectors import RANK_DECIMALS, best_per_row, unit_rows
 from sigmart.schemas import VECTOR_TOP_K
 
-QUERY_BYTES = 64 << 20  # query matrix that may travel to the tasks
+QUERY_BYTES = 8 << 20  # query matrix that may travel to the tasks
 SCORE_CELLS = 4 << 20  # scores held at once in a task
 PIVOTS = 64
 CHUNK_ROWS = 20_000
@@ -157,7 +157,6 @@ def _search_by_cell(asked: DataFrame, vectors: DataFrame, k: int, schema: T.Stru
     size = np.array([row["n"] for row in cells])
     near = np.array([row["near"] for row in cells])
     far = np.array([row["far"] for row in cells])
-    blocks = max(1, math.ceil(asked.count() / BLOCK_QUERIES))
     chunks = {int(c): math.ceil(int(n) / CHUNK_ROWS) for c, n in zip(index, size, strict=True)}
 
     def reach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -184,7 +183,14 @@ def _search_by_cell(asked: DataFrame, vectors: DataFrame, k: int, schema: T.Stru
             })
 
     visits = asked.mapInPandas(reach, T.StructType([*asked.schema.fields, T.StructField("cell", T.LongType())]))
-    chunk_of = F.create_map(*[F.lit(x) for pair in chunks.items() for x in pair])
+    # again one row per cell
+    visitors = {row["cell"]: row["count"] for row in visits.groupBy("cell").count().collect()}
+    blocks = {cell: math.ceil(visitors.get(cell, 0) / BLOCK_QUERIES) for cell in chunks}
+
+    def per_cell(counts: dict[int, int]) -> Column:
+        return F.create_map(*[F.lit(x) for pair in counts.items() for x in pair])[F.col("cell")]
+
+    chunk_count, block_count = per_cell(chunks), per_cell(blocks)
 
     def number(column: Column) -> Column:
         return F.xxhash64(column)
@@ -192,13 +198,13 @@ def _search_by_cell(asked: DataFrame, vectors: DataFrame, k: int, schema: T.Stru
     def upto(count: Column) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("bigint"), count.cast("bigint") - 1))
 
-    doc_side = placed.select(
-        "cell", "id", "embedding", F.pmod(number(F.col("id")), chunk_of[F.col("cell")]).alias("chunk"),
-        upto(F.lit(blocks)).alias("block"),
+    doc_side = placed.filter(block_count > 0).select(
+        "cell", "id", "embedding", F.pmod(number(F.col("id")), chunk_count).alias("chunk"),
+        upto(block_count).alias("block"),
     )
     query_side = visits.select(
-        "cell", "query_id", "embedding", F.pmod(number(F.col("query_id")), F.lit(blocks)).alias("block"),
-        upto(chunk_of[F.col("cell")]).alias("chunk"),
+        "cell", "query_id", "embedding", F.pmod(number(F.col("query_id")), block_count).alias("block"),
+        upto(chunk_count).alias("chunk"),
     )
     keys = ["cell", "chunk", "block"]
 
