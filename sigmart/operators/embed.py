@@ -8,7 +8,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sigmart.functions.text import tokens
-from sigmart.sources.readers import spread
 
 DIMENSIONS = 64
 
@@ -30,8 +29,8 @@ def embed_documents(
     A document's tokens combine to one vector inside the task that reads it, so what is shuffled is one
     vector per document. A text without tokens becomes the zero vector.
     """
-    words = spread(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text")))
-    hashed = words.select("id", F.explode_outer(tokens(F.col("_text"))).alias("_token")).select(
+    words = df.select(F.col(id_col).alias("id"), F.explode_outer(tokens(F.col(text_col))).alias("_token"))
+    hashed = words.select(
         "id", F.when(F.col("_token").isNotNull(), token_hash(F.col("_token"))).alias("_hash")
     )
     # no token, no hash: the sign is then 0

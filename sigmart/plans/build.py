@@ -5,16 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sigmart.operators import staging
 from sigmart.operators.enrich import enrich_signals
 from sigmart.operators.incremental import since_watermark, upsert_fact
 from sigmart.operators.marts import dim_actions, dim_entities, dim_models, fct_signals
+from sigmart.operators.observability import freshness
+from sigmart.operators.quality import alerts, run_checkpoint, signals_suite
 from sigmart.schemas import ACTION_WINDOW_HOURS
 from sigmart.session import prepare, shared_dir
 from sigmart.sources.readers import read_raw
-from sigmart.sources.writers import path_exists, write_dim, write_fact
+from sigmart.sources.writers import path_exists, write_alerts, write_dim, write_fact
+
+DIMENSIONS = ("dim_actions", "dim_entities", "dim_models")
 
 
 class Warehouse:
@@ -104,5 +108,23 @@ def build(spark: SparkSession, raw_root: str, mart_root: str, incremental: bool
     else:
         write_fact(warehouse.fct_signals, fact_path)
     warehouse.use_fact(spark.read.parquet(fact_path))
-    for name in ("dim_actions", "dim_entities", "dim_models"):
+    for name in DIMENSIONS:
         write_dim(getattr(warehouse, name), f"{mart_root}/{name}")
+
+
+def check(
+    spark: SparkSession, raw_root: str, mart_root: str, as_of: str, alerts_path: str | None = None, fmt: str = "parquet"
+) -> DataFrame:
+    """Run every quality check over the written marts; returns the checkpoint row.
+
+    The check rows, a few dozen, are written under the marts first, so that they are computed once.
+    """
+    tables = {name: spark.read.parquet(f"{mart_root}/{name}") for name in ("fct_signals", *DIMENSIONS)}
+    warehouse = read_warehouse(spark, raw_root, fmt, fact=tables["fct_signals"].drop("signal_day"))
+    signals = warehouse.fct_signals_all
+    rows = signals_suite(tables, signals, freshness(signals, as_of))
+    rows.write.mode("overwrite").parquet(f"{mart_root}/quality_checks")
+    written = spark.read.parquet(f"{mart_root}/quality_checks")
+    if alerts_path is not None:
+        write_alerts(alerts(written, F.lit(as_of).cast("timestamp_ntz")), alerts_path)
+    return run_checkpoint(written)

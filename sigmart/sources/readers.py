@@ -39,13 +39,24 @@ def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
     return parse_dead_letter_lines(spark.read.text(path))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A file scan over all cores where it yields fewer partitions than there are cores.
+
+    For heavy per-row work on small or unsplittable files; a large table already has more splits than
+    cores and is left as it is, without a shuffle. Only for scans: asking a plan with a shuffle for its
+    partitions would run it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_documents(
     spark: SparkSession, path: str, id_col: str = "doc_id", text_col: str = "text",
     metadata: tuple[str, ...] = ("lang", "source"),
 ) -> DataFrame:
     """Text documents as id, content and metadata columns."""
     table = spark.read.parquet(path)
-    return table.select(F.col(id_col).alias("id"), F.col(text_col).alias("content"), *metadata)
+    return spread(table.select(F.col(id_col).alias("id"), F.col(text_col).alias("content"), *metadata))
 
 
 def read_vectors(
@@ -55,13 +66,3 @@ def read_vectors(
     """Vector documents as id, embedding and metadata columns."""
     table = spark.read.parquet(path)
     return table.select(F.col(id_col).alias("id"), F.col(vector_col).alias("embedding"), *metadata)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where the scan yields fewer partitions than there are cores.
-
-    For heavy per-row work on small or unsplittable files; a large table already has more splits than
-    cores and is left as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

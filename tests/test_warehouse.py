@@ -13,7 +13,7 @@ from sigmart.operators.enrich import enrich_signals
 from sigmart.operators.incremental import latest_per_key, merge_fact, since_watermark, upsert_fact
 from sigmart.operators.marts import dim_models, fct_signals
 from sigmart.operators.quality import SchemaDrift
-from sigmart.plans.build import build, read_warehouse
+from sigmart.plans.build import build, check, read_warehouse
 from sigmart.plans.ingest import ingest
 from sigmart.sources.readers import read_dead_letters, read_raw
 from sigmart.sources.writers import write_alerts, write_eval_set, write_fact
@@ -179,6 +179,9 @@ def test_ingest_and_build_from_files(spark, tmp_path):
     fact = spark.read.parquet(str(tmp_path / "marts" / "fct_signals"))
     assert {row.entity_id: row.was_enforced for row in fact.collect()} == {"content-1": False, "user-2": True}
     assert spark.read.parquet(str(tmp_path / "marts" / "dim_actions")).count() == 1
+    stale = check(spark, f"{out}/raw", str(tmp_path / "marts"), "2099-01-01 00:00:00", str(tmp_path / "alerts")).first()
+    assert not stale.success and stale.unsuccessful == 4
+    assert {row.alert_type for row in spark.read.parquet(str(tmp_path / "alerts")).collect()} == {"freshness"}
 
     (tmp_path / "classifier" / "more.json").write_text(record("classifier", {"entity_id": "user-2"}))
     ingest(spark, {"classifier": str(tmp_path / "classifier")}, out)
