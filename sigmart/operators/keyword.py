@@ -39,15 +39,14 @@ def keyword_search(
     """
     docs = filter_metadata(docs, filters)
     # `id` and length of every document, and its words
-    words = docs.select("id", tokens(F.col("content")).alias("_tokens"))
-    totals = words.agg(
-        F.count(F.lit(1)).alias("n"), F.avg(F.size("_tokens").cast("double")).alias("mean_length")
-    )
+    words = docs.select("id", tokens(F.col("content")).alias("_tokens")).withColumn("_length", F.size("_tokens"))
+    totals = words.agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("_length").cast("double")).alias("mean_length"))
     terms = query_terms(queries, text_col)
     travels = at_most(terms, broadcast_terms)
     vocabulary = terms.select("term").distinct()
 
-    exploded = words.select("id", F.size("_tokens").alias("_length"), F.explode("_tokens").alias("term"))
+    # the plain explode would add a filter that splits every text a second time
+    exploded = words.select("id", "_length", F.explode_outer("_tokens").alias("term"))
     asked = exploded.join(F.broadcast(vocabulary) if travels else vocabulary, "term", "left_semi").repartition("id")
     counts = asked.groupBy("id", "_length", "term").agg(F.count(F.lit(1)).alias("_tf"))
 
