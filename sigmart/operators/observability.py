@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sigmart.functions.text import title_label
 from sigmart.functions.time import day_of, hour_of, hours_after, minutes_after, ntz
@@ -44,9 +44,9 @@ def signal_volume(signals: DataFrame, every: str = "day") -> DataFrame:
 
 
 def strategy_distribution(runs: DataFrame) -> DataFrame:
-    """Runs per strategy with its share. The window runs over the few aggregated rows."""
+    """Runs per strategy with its share of all runs."""
     counts = runs.groupBy("retrieval_strategy").agg(F.count(F.lit(1)).alias("runs"))
-    total = F.sum("runs").over(Window.partitionBy(F.lit(1)))
+    total = runs.select(F.count(F.lit(1))).scalar()
     return counts.withColumn("share", ratio(F.col("runs"), total))
 
 
