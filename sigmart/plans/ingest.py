@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.storagelevel import StorageLevel
 
@@ -15,11 +17,12 @@ TABLE_OF = {kind: table for table, kind in RAW_TABLES.items()}
 
 
 def ingest(
-    spark: SparkSession, paths: dict[str, str], out: str, source: str | None = None
+    spark: SparkSession, paths: dict[str, str], out: str, source: str | None = None, load_id: str | None = None
 ) -> DataFrame:
     """Load JSON-lines files by signal type and return the summary, valid, failed and total per type.
 
-    Under ``out``: ``envelopes/<type>`` and ``raw/<table>`` are replaced, ``dead_letters`` is appended to.
+    Under ``out``: ``envelopes/<type>`` holds this load alone; ``raw/<table>`` and ``dead_letters`` gain a folder
+    named by ``load_id``, new by default. Repeating a failed load under its id replaces what it had written.
     Records are checked once and kept on executor disks for the three writes; a lost executor's part is
     checked again. Generated ids are drawn once, when the envelopes are written, and the raw tables read
     those envelopes back.
@@ -28,17 +31,20 @@ def ingest(
     if unknown:
         raise ValueError(f"unknown signal types: {', '.join(sorted(unknown))}")
     prepare(spark)
+    load = f"load_id={load_id or uuid.uuid4().hex}"
     done: list[Batch] = []
     for kind, path in paths.items():
         batch = load_batch(read_records(spark, path), kind, source)
         batch.checked.persist(StorageLevel.DISK_ONLY)
         write_envelopes(batch.valid, f"{out}/envelopes/{kind}")
-        write_dead_letters(batch.dead, f"{out}/dead_letters")
+        write_dead_letters(batch.dead, f"{out}/dead_letters/{load}/signal_type={kind}", mode="overwrite")
         written = spark.read.schema(batch.valid.schema).json(f"{out}/envelopes/{kind}")
         table = written.select(f"{kind}.*").withColumn("_loaded_at", now_utc())
-        table.write.mode("overwrite").parquet(f"{out}/raw/{TABLE_OF[kind]}")
+        table.write.mode("overwrite").parquet(f"{out}/raw/{TABLE_OF[kind]}/{load}")
         done.append(batch)
-    summary = spark.createDataFrame(ingest_summary(done).collect(), "signal_type string, valid long, failed long, total long")
+    # five rows
+    rows = ingest_summary(done).collect()
+    summary = spark.createDataFrame(rows, "signal_type string, valid long, failed long, total long")
     for batch in done:
         batch.checked.unpersist()
     return summary

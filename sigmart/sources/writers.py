@@ -12,10 +12,10 @@ def write_envelopes(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def write_dead_letters(df: DataFrame, path: str, fmt: str = "json") -> None:
+def write_dead_letters(df: DataFrame, path: str, fmt: str = "json", mode: str = "append") -> None:
     """Append dead letters, partitioned by the day they failed, so that retention drops whole folders."""
     dated = df.withColumn("failed_on", F.col("failed_at").cast("date"))
-    dated.write.mode("append").partitionBy("failed_on").format(fmt).save(path)
+    dated.write.mode(mode).partitionBy("failed_on").format(fmt).save(path)
 
 
 def write_dim(df: DataFrame, path: str) -> None:

@@ -16,7 +16,7 @@ from sigmart.operators.quality import SchemaDrift
 from sigmart.plans.build import build, check, read_warehouse
 from sigmart.plans.ingest import ingest
 from sigmart.sources.readers import read_dead_letters, read_raw
-from sigmart.sources.writers import write_alerts, write_eval_set, write_fact
+from sigmart.sources.writers import register_views, write_alerts, write_dead_letters, write_eval_set, write_fact
 from tests.test_validation import BASE, record
 
 START = dt.datetime(2024, 1, 1)
@@ -183,11 +183,13 @@ def test_ingest_and_build_from_files(spark, tmp_path):
     assert not stale.success and stale.unsuccessful == 4
     assert {row.alert_type for row in spark.read.parquet(str(tmp_path / "alerts")).collect()} == {"freshness"}
 
-    (tmp_path / "classifier" / "more.json").write_text(record("classifier", {"entity_id": "user-2"}))
-    ingest(spark, {"classifier": str(tmp_path / "classifier")}, out)
+    (tmp_path / "later").mkdir()
+    (tmp_path / "later" / "more.json").write_text(record("classifier", {"entity_id": "user-2"}))
+    for _ in range(2):  # repeating a load replaces it
+        ingest(spark, {"classifier": str(tmp_path / "later")}, out, load_id="second")
     build(spark, f"{out}/raw", str(tmp_path / "marts"))
     fact = spark.read.parquet(str(tmp_path / "marts" / "fct_signals"))
-    assert fact.filter("entity_id = 'user-2' and was_enforced").count() >= 2
+    assert fact.count() == 3 and fact.filter("entity_id = 'user-2' and was_enforced").count() == 2
     assert fact.groupBy("signal_id").count().filter("count > 1").count() == 0
     assert read_warehouse(spark, f"{out}/raw").fct_signals_all.groupBy("signal_type").count().count() == 4
 
@@ -217,3 +219,17 @@ def test_append_sinks(spark, tmp_path):
         write(df, path)
         write(df, path)
         assert spark.read.parquet(path).count() == 2
+
+
+def test_dead_letters_append_by_day(spark, tmp_path):
+    df = spark.createDataFrame([("x", dt.datetime(2024, 1, 1, 5))], "error_type string, failed_at timestamp_ntz")
+    path = str(tmp_path / "dead")
+    write_dead_letters(df, path)
+    write_dead_letters(df, path)
+    assert read_dead_letters(spark, path).count() == 2
+    assert (tmp_path / "dead" / "failed_on=2024-01-01").is_dir()
+
+
+def test_views(spark):
+    assert register_views({"one_row": spark.range(1)}) == ["one_row"]
+    assert spark.sql("select * from one_row").count() == 1
