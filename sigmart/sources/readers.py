@@ -25,13 +25,13 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 def parse_dead_letter_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Dead-letter lines with their error type. A line that is no JSON is kept and marked malformed."""
     kept = lines.select(strip(F.col(column)).alias("line")).filter(F.length("line") > 0)
-    document = F.try_parse_json("line")
-    return kept.select(
-        "line",
-        document.isNull().alias("malformed"),
-        F.try_variant_get(document, "$.error_type", "string").alias("error_type"),
-        F.try_variant_get(document, "$.source", "string").alias("source"),
-        F.try_variant_get(document, "$.failed_at", "string").alias("failed_at"),
+    fields = "error_type STRING, source STRING, failed_at STRING, _corrupt STRING"
+    document = F.from_json("line", fields, {"columnNameOfCorruptRecord": "_corrupt"})
+    # JSON that is no object has no error type, but is not malformed
+    no_object = F.col("_d").isNull() | F.col("_d._corrupt").isNotNull()
+    malformed = F.when(no_object, F.try_parse_json("line").isNull()).otherwise(F.lit(False))
+    return kept.withColumn("_d", document).select(
+        "line", malformed.alias("malformed"), "_d.error_type", "_d.source", "_d.failed_at"
     )
 
 
