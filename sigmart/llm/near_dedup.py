@@ -7,8 +7,10 @@ set, so each coordinate is filled. Two sets agree in a coordinate with a probabi
 the number of agreements concentrates as for independent minima.
 
 Documents with equal sets are one class from the start. Classes that share a band are candidates, and their pairs are
-confirmed on the full sets. No pairs within a bucket are formed wholesale: each class is first compared with the one
-bucket head it shares the most bands with; then only members of one bucket that are not yet connected are compared.
+confirmed on the full sets. No pairs within a bucket are formed wholesale. The head of a bucket is its most central
+member, and each class is compared with the one head it shares the most bands with. Classes of one head are then joined
+exactly on the elements in which they differ from it. Last, members of one bucket with different heads that are not
+yet connected are compared.
 
 With 48 bands of 6 rows a pair at similarity 0.8 is missed with a probability of about 5e-7. Shingles are 64-bit hashes:
 two different shingles of one pair of documents collide with a probability below 1e-12 at 3,000 shingles each.
@@ -135,8 +137,9 @@ def connected(edges: DataFrame) -> DataFrame:
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(roots)
 
 
-def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity. ``texts``: doc_id, text."""
+def compared(pairs: DataFrame, texts: DataFrame, size: int, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) with the sizes of their full sets, whether these reach the similarity, and the elements that
+    only one of them has. ``texts``: doc_id, text."""
 
     def compare(batches):
         import pyarrow as pa
@@ -151,17 +154,57 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int = PERCE
             return seen[text]
 
         for batch in batches:
-            keep = []
+            sizes_a, sizes_b, linked, apart = [], [], [], []
             columns = [batch.column(name).to_pylist() for name in ("text_a", "text_b")]
             for text_a, text_b in zip(*columns, strict=True):
                 one, other = shingle_set(text_a, size, memo), cached(text_b)
-                shared = len(np.intersect1d(one, other, assume_unique=True))
-                keep.append(100 * shared >= percent * (len(one) + len(other) - shared) and shared > 0)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
+                apart.append(np.setxor1d(one, other, assume_unique=True).view(np.int64))
+                union = (len(one) + len(other) + len(apart[-1])) // 2
+                linked.append(100 * (union - len(apart[-1])) >= percent * union)
+                sizes_a.append(len(one))
+                sizes_b.append(len(other))
+            counts = [pa.array(values, type=pa.int64()) for values in (sizes_a, sizes_b)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), *counts, pa.array(linked, type=pa.bool_()), list_array(apart, pa.int64())],
+                ["a", "b", "n_a", "n_b", "linked", "apart"])
 
     side = lambda name: texts.select(F.col("doc_id").alias(name), F.col("text").cast("binary").alias(f"text_{name}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(
-        compare, "a long, b long").distinct()
+        compare, "a long, b long, n_a long, n_b long, linked boolean, apart array<long>")
+
+
+def links_around_heads(compared_: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """All links (a, b) among texts compared with one head of which one at least is not linked to it.
+
+    With D the elements in which a text differs from the head, two texts differ in |Da| + |Db| - 2 |Da and Db| elements.
+    A text b that is not linked to the head has so large a Db that any link needs shared elements of Da and Db: more
+    than ``percent`` / (100 + ``percent``) of Da, and a bound that follows from Db alone. So the rarest elements of
+    either side, as many as the bounds leave, have one in common: an exact join on them finds every link without
+    forming the pairs of a group.
+    """
+    whole, rest = 100 + percent, 100 - percent
+    groups = compared_.groupBy("b").agg(F.count("*").alias("members"), F.count_if(~F.col("linked")).alias("loose")).where(
+        "members > 1 AND loose > 0").select("b")
+    near = compared_.join(groups, "b", "left_semi").withColumn("d", F.size("apart").cast("long"))
+    elements = near.select("a", "b", "linked", F.explode("apart").alias("e"))
+    common = elements.groupBy("b", "e").agg(F.count("*").alias("f"), F.count_if(~F.col("linked")).alias("loose")).where(
+        "f > 1 AND loose > 0").select("b", "e", "f")
+    ranked = elements.join(common, ["b", "e"]).groupBy("a", "b").agg(F.sort_array(F.collect_list(F.struct("f", "e"))).alias("ranked"))
+    needed = F.when(F.col("linked"), F.expr(f"{percent} * d div {whole} + 1")).otherwise(
+        F.expr(f"greatest(1, ({whole} * d - {rest} * (n_a + n_b) + 199) div 200)"))
+    # Elements that no other text has stand before all others and match nothing.
+    taken = F.col("d") - needed + 1 - (F.col("d") - F.size("ranked"))
+    prefixes = ranked.join(near.select("a", "b", "linked", "n_a", "n_b", "d"), ["a", "b"]).select(
+        "a", "b", "linked", F.explode(F.slice("ranked", 1, F.greatest(taken, F.lit(0)).cast("int"))).alias("r")).select(
+        "a", "b", "linked", F.col("r.e").alias("e"))
+    candidates = prefixes.where("NOT linked").alias("x").join(prefixes.alias("y"), F.expr(
+        "x.b = y.b AND x.e = y.e AND x.a <> y.a AND (y.linked OR x.a < y.a)")).select(
+        F.col("x.b").alias("b"), F.col("x.a").alias("a1"), F.col("y.a").alias("a2")).distinct()
+    side = lambda name: near.select(F.col("a").alias(f"a{name}"), "b", F.col("n_a").alias(f"n{name}"),
+                                    F.col("apart").alias(f"d{name}"))
+    differing = F.expr("size(d1) + size(d2) - 2 * size(array_intersect(d1, d2))")
+    return candidates.join(side(1), ["b", "a1"]).join(side(2), ["b", "a2"]).withColumn("s", differing).where(
+        f"100 * (n1 + n2 - s) >= {percent} * (n1 + n2 + s)").select(F.col("a1").alias("a"), F.col("a2").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -177,33 +220,42 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT, band
             F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
         .where("rep IS NOT NULL"), "classes")
     entries = classes.select("rep", "n", F.explode("bands").alias("key"))
-    heads = entries.groupBy("key").agg(F.min("rep").alias("head"), F.max("rep").alias("tail")).where("head < tail")
-    shared = materialize(entries.join(heads.select("key", "head"), "key"), "buckets")
+    sizes = entries.groupBy("key").agg(F.count("*").alias("mates")).where("mates > 1")
+    shared = materialize(entries.join(sizes, "key"), "buckets")
+    # The member with the most bucket mates heads its buckets: the text that many near copies were made from.
+    central = shared.groupBy("rep").agg(F.sum("mates").alias("central"))
+    headed = shared.join(central, "rep")
+    heads = headed.groupBy("key").agg(F.max_by("rep", F.struct("central", -F.col("rep"))).alias("head"))
     needed = broadcast_ids(materialize(shared.select(F.col("rep").alias("doc_id")).distinct(), "candidates"))
     texts = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL")
                         .join(needed, "doc_id", "left_semi"), "texts")
 
     best = F.max_by("head", F.struct("bands", -F.col("head")))
-    stars = shared.where("rep <> head").groupBy("rep", "head").agg(F.count("*").alias("bands")).groupBy("rep").agg(
+    stars = shared.join(heads, "key").where("rep <> head").groupBy("rep", "head").agg(F.count("*").alias("bands")).groupBy("rep").agg(
         best.alias("b")).select(F.col("rep").alias("a"), "b")
     # Many members may share one head, so the join by head comes last: adaptive execution splits it.
-    links = materialize(verified(stars, texts, size, percent), "links")
+    around = materialize(compared(stars, texts, size, percent), "compared")
+    links = materialize(around.where("linked").select("a", "b").unionAll(links_around_heads(around, percent)), "links")
     component = connected(links)
 
-    located = shared.join(component, shared["rep"] == component["node"], "left").select(
-        "key", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    # What is left: texts of one bucket that were compared with different heads and are not connected.
+    located = shared.join(component, shared["rep"] == component["node"], "left").join(
+        stars.select(F.col("a").alias("rep"), F.col("b").alias("chosen")), "rep", "left").select(
+        "key", "rep", "n", F.coalesce("component", "rep").alias("component"), F.coalesce("chosen", "rep").alias("head"))
     mixed = located.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     apart = materialize(located.join(mixed.select("key"), "key", "left_semi"), "apart")
-    groups = apart.select("key", "component").distinct()
-    crossing = groups.alias("x").join(groups.alias("y"), F.expr("x.key = y.key AND x.component < y.component")).select(
-        F.col("x.key").alias("key"), F.col("x.component").alias("left"), F.col("y.component").alias("right"))
-    member = lambda side, name: apart.select("key", F.col("component").alias(side), F.col("rep").alias(name),
-                                             F.col("n").alias(f"n_{name}"))
-    fitting = F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    pairs = crossing.join(member("left", "a"), ["key", "left"]).join(member("right", "b"), ["key", "right"]).where(
-        fitting).select("a", "b").distinct()
-    pairs = pairs.join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    more = materialize(verified(materialize(pairs, "pairs"), texts, size, percent), "links")
+    groups = apart.groupBy("key", "head").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    crossing = groups.alias("x").join(groups.alias("y"), F.expr(
+        "x.key = y.key AND x.head < y.head AND NOT (x.low = y.high AND x.high = y.low)")).select(
+        F.col("x.key").alias("key"), F.col("x.head").alias("left"), F.col("y.head").alias("right"))
+    member = lambda side, name: apart.select("key", F.col("head").alias(side), F.col("rep").alias(name),
+                                             F.col("n").alias(f"n_{name}"), F.col("component").alias(f"c_{name}"))
+    fitting = F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b) AND c_a <> c_b")
+    left, right = crossing.join(member("left", "a"), ["key", "left"]), member("right", "b")
+    pairs = left.join(right, (left["key"] == right["key"]) & (left["right"] == right["right"]) & fitting).select("a", "b").distinct()
+    done = stars.select("a", "b").unionAll(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    pairs = materialize(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
+    more = materialize(compared(pairs, texts, size, percent).where("linked").select("a", "b"), "links")
     final = connected(links.unionAll(more))
 
     named = classes.select("digest", "rep").join(final, F.col("rep") == F.col("node"), "left").select(
