@@ -63,19 +63,19 @@ def without_repeats(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     n_lines, n_removed_lines or removed are replaced.
     """
     keep = [name for name in docs.columns if name.lower() not in ("n_lines", "n_removed_lines", "removed")]
-    plain = docs.select(*(F.col(f"`{name}`") for name in keep))
-    cuts = repeated(plain.where("doc_id IS NOT NULL"), divisor).withColumnRenamed("doc_id", "cut_id")
-    joined = plain.join(cuts, F.col("doc_id") == F.col("cut_id"), "left").drop("cut_id")
+    # Columns of the caller travel as one, so that no name clashes.
+    plain = docs.select(F.struct(*(F.col(f"`{name}`") for name in keep)).alias("row"), "doc_id", "text")
+    cuts = repeated(docs.select("doc_id", "text").where("doc_id IS NOT NULL"), divisor)
+    joined = plain.join(cuts, "doc_id", "left")
     lines = F.split(F.col("text"), "\n")
-    joined = joined.withColumn("n_lines", F.size(F.when(F.col("text").isNotNull(), lines).otherwise(
-        F.array().cast("array<string>"))).cast("long"))
     gone = F.flatten(F.transform("removed", lambda chunk: F.sequence(chunk["start"], chunk["stop"])))
     joined = joined.withColumn("gone", F.when(F.col("removed").isNotNull(), gone))
     left = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("gone", i)), "\n")
-    joined = joined.withColumn("text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(left))
-    joined = joined.withColumn("n_removed_lines", F.coalesce(F.size("gone"), F.lit(0)).cast("long")).withColumn(
-        "n_removed_lines", F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.col("n_removed_lines")).cast("long"))
-    if "n_chars" in [name.lower() for name in keep]:
-        joined = joined.withColumn("n_chars", F.length("text").cast("long"))
-    return joined.select(*(F.col(f"`{name}`") for name in keep), "n_lines", "n_removed_lines",
-                         F.sort_array(F.coalesce("removed", F.array().cast("array<struct<start:int,stop:int>>"))).alias("removed"))
+    joined = joined.withColumn("left", F.when(F.col("gone").isNull(), F.col("text")).otherwise(left))
+    fresh = {"text": F.col("left"), "n_chars": F.length("left").cast("long")}
+    nothing = F.array().cast("array<struct<start:int,stop:int>>")
+    return joined.select(
+        *(fresh.get(name.lower(), F.col(f"row.`{name}`")).alias(name) for name in keep),
+        F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+        F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size("gone")).cast("long").alias("n_removed_lines"),
+        F.sort_array(F.coalesce("removed", nothing)).alias("removed"))
