@@ -77,6 +77,19 @@ def _all_pairs(signals: DataFrame, actions: DataFrame, hours: int) -> DataFrame:
     )
 
 
+def reached_signals(signals: DataFrame, actions: DataFrame, hours: int = ACTION_WINDOW_HOURS) -> DataFrame:
+    """The signals with an action among ``actions`` in their interval, each once. Same keys as the join."""
+    left = signals.withColumn("_slice", signal_slice(F.col("signal_timestamp"), hours)).alias("s")
+    right = actions.select("entity_id", "action_timestamp", action_slices(F.col("action_timestamp"), hours).alias("_slice")).alias("a")
+    start = F.col("s.signal_timestamp")
+    condition = (
+        (F.col("s.entity_id") == F.col("a.entity_id"))
+        & (F.col("s._slice") == F.col("a._slice"))
+        & F.col("a.action_timestamp").between(start, hours_after(start, hours))
+    )
+    return left.join(right, condition, "left_semi").drop("_slice")
+
+
 def _first_action(signals: DataFrame, actions: DataFrame, hours: int) -> DataFrame:
     """Next action at or after each signal, without pairing signals with actions.
 

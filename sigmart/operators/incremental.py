@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sigmart.functions.time import day_of, hours_after, minutes_after
+from sigmart.operators.enrich import reached_signals
 from sigmart.operators.quality import schema_guard
+from sigmart.schemas import ACTION_WINDOW_HOURS
 from sigmart.sources.writers import path_exists, write_fact
 
 BEGINNING = "0001-01-01 00:00:00"
@@ -22,7 +26,8 @@ def since_watermark(
     """Rows loaded strictly after the target's newest load; all rows when the target is empty.
 
     ``lookback_minutes`` moves the mark back; ``reprocess_hours`` also takes rows whose event time is that
-    close to the mark, so that actions arriving later still attach. Merging by key makes both harmless.
+    close to the mark. Merging by key makes both harmless. Neither finds what arrives later still: a load
+    that must not miss anything follows :func:`changed_signals`.
     The mark is a scalar subquery of the plan, not a value fetched by the driver.
     """
     newest = target.select(F.coalesce(F.max(column), F.lit(BEGINNING).cast("timestamp_ntz"))).scalar()
@@ -33,6 +38,19 @@ def since_watermark(
     return df.filter(recent)
 
 
+def changed_signals(
+    signals: DataFrame, new_signals: DataFrame | None, new_actions: DataFrame | None, hours: int = ACTION_WINDOW_HOURS
+) -> DataFrame | None:
+    """The staged signals whose fact rows a load can change: new ones, and any that a new action reaches.
+
+    A signal may come twice, as new and as reached; the merge keeps one. None when nothing is new.
+    """
+    parts = [] if new_signals is None else [new_signals]
+    if new_actions is not None:
+        parts.append(reached_signals(signals, new_actions, hours).select(*signals.columns))
+    return reduce(lambda a, b: a.unionByName(b), parts) if parts else None
+
+
 def latest_per_key(df: DataFrame, key: str, order: tuple[str, ...] = ("_loaded_at",)) -> DataFrame:
     """One row per key, the latest by ``order``. Candidates combine before the shuffle."""
     row = F.max_by(F.struct(*df.columns), F.struct(*order))
@@ -77,8 +95,8 @@ def upsert_fact(
 
     staged = spark.read.schema(target.schema).parquet(f"{staging}/merged")
     emptied = touched - {row[0] for row in staged.select("signal_day").distinct().collect()}
-    if emptied:
-        raise ValueError(f"days {sorted(map(str, emptied))} would lose all rows: rebuild the fact instead")
     staged.hint("rebalance", "signal_day").write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy("signal_day").parquet(path)
+    for day in sorted(emptied):  # a day whose signals all moved to other days keeps a folder without rows
+        staged.drop("signal_day").limit(0).write.mode("overwrite").parquet(f"{path}/signal_day={day}")

@@ -14,11 +14,17 @@ from sigmart.schemas import SQL_ROW_LIMIT
 
 
 def in_range(df: DataFrame, column: str, start_date: str | None, end_date: str | None) -> DataFrame:
-    """Half-open time range; written on the bare column so it reaches the scan."""
+    """Half-open time range; written on the bare column so it reaches the scan.
+
+    On a written fact the range also bounds ``signal_day``, which leaves out the folders of other days.
+    """
+    by_day = column == "signal_timestamp" and "signal_day" in df.columns
     if start_date is not None:
         df = df.filter(F.col(column) >= ntz(start_date))
+        df = df.filter(F.col("signal_day") >= ntz(start_date).cast("date")) if by_day else df
     if end_date is not None:
         df = df.filter(F.col(column) < ntz(end_date))
+        df = df.filter(F.col("signal_day") <= ntz(end_date).cast("date")) if by_day else df
     return df
 
 

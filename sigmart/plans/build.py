@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sigmart.operators import staging
 from sigmart.operators.enrich import enrich_signals
-from sigmart.operators.incremental import since_watermark, upsert_fact
+from sigmart.operators.incremental import changed_signals, upsert_fact
 from sigmart.operators.marts import dim_actions, dim_entities, dim_models, fct_signals
 from sigmart.operators.observability import freshness
 from sigmart.operators.quality import alerts, run_checkpoint, signals_suite
@@ -19,6 +19,8 @@ from sigmart.sources.readers import read_raw
 from sigmart.sources.writers import path_exists, write_alerts, write_dim, write_fact
 
 DIMENSIONS = ("dim_actions", "dim_entities", "dim_models")
+FACT_INPUTS = ("classifier_outputs", "enforcement_logs")
+LOADS = "table string, file string"
 
 
 class Warehouse:
@@ -33,6 +35,9 @@ class Warehouse:
     ) -> None:
         self._raw, self._multi, self._hours, self._fact = raw, multi, hours, fact
 
+    def raw(self, table: str) -> DataFrame:
+        return self._raw(table)
+
     @cached_property
     def stg_signals(self) -> DataFrame:
         return staging.stg_signals(self._raw("classifier_outputs"))
@@ -65,6 +70,11 @@ class Warehouse:
     def fct_signals_all(self) -> DataFrame:
         return staging.all_signals(self.fct_signals, self.stg_reports, self.stg_enforcement, self.stg_model_outputs)
 
+    @property
+    def signals_once(self) -> DataFrame:
+        """Every signal of every type once, from staging: what counts and loading times are taken from."""
+        return staging.all_signals(self.stg_signals, self.stg_reports, self.stg_enforcement, self.stg_model_outputs)
+
     @property
     def reports(self) -> DataFrame:
         """The report side of ``fct_signals_all`` alone."""
@@ -92,21 +102,37 @@ def read_warehouse(spark: SparkSession, raw_root: str, fmt: str = "parquet", **o
     return Warehouse(lambda table: read_raw(prepare(spark), table, f"{raw_root}/{table}", fmt), **options)
 
 
+def _unseen_files(spark: SparkSession, warehouse: Warehouse, table: str, seen_path: str | None) -> list[str]:
+    """Files of a raw table that no earlier build has noted. File names only; the driver lists them for any scan."""
+    files = set(warehouse.raw(table).inputFiles())
+    if seen_path is not None and path_exists(spark, seen_path):
+        seen = spark.read.schema(LOADS).parquet(seen_path).filter(F.col("table") == table).select("file")
+        files -= {row.file for row in seen.toLocalIterator()}
+    return sorted(files)
+
+
 def build(spark: SparkSession, raw_root: str, mart_root: str, incremental: bool = True, fmt: str = "parquet") -> None:
     """Build or refresh the marts.
 
-    The fact is written first, by signal day, and every dimension reads the written fact. A fact that
-    exists is brought up to date from its own newest load. One action per signal, as a keyed merge needs.
+    The fact is written first, by signal day, and every dimension reads the written fact. A fact that exists is
+    brought up to date with the raw files it has not seen, whatever their loading times: signals of such files, and
+    earlier signals that an action of such files reaches. The files seen are noted under the marts after the merge, so a build that
+    fails is simply repeated. One action per signal, as a keyed merge needs.
     """
     warehouse = read_warehouse(spark, raw_root, fmt, multi="first")
-    fact_path = f"{mart_root}/fct_signals"
-    if incremental and path_exists(spark, fact_path):
-        target = spark.read.parquet(fact_path)
-        fresh = since_watermark(warehouse.stg_signals, target, reprocess_hours=ACTION_WINDOW_HOURS)
-        updates = fct_signals(enrich_signals(fresh, warehouse.stg_enforcement, multi="first"))
-        upsert_fact(spark, fact_path, updates, shared_dir(spark, "fact-upsert"))
+    fact_path, seen_path = f"{mart_root}/fct_signals", f"{mart_root}/loads"
+    fresh = {table: _unseen_files(spark, warehouse, table, seen_path if incremental else None) for table in FACT_INPUTS}
+    if incremental and path_exists(spark, fact_path) and path_exists(spark, seen_path):
+        stage = {"classifier_outputs": staging.stg_signals, "enforcement_logs": staging.stg_enforcement}
+        new = {table: stage[table](read_raw(spark, table, files, fmt)) for table, files in fresh.items() if files}
+        changed = changed_signals(warehouse.stg_signals, new.get("classifier_outputs"), new.get("enforcement_logs"))
+        if changed is not None:
+            updates = fct_signals(enrich_signals(changed, warehouse.stg_enforcement, multi="first"))
+            upsert_fact(spark, fact_path, updates, shared_dir(spark, "fact-upsert"))
     else:
         write_fact(warehouse.fct_signals, fact_path)
+    rows = [(table, file) for table, files in fresh.items() for file in files]
+    spark.createDataFrame(rows, LOADS).coalesce(1).write.mode("append" if incremental else "overwrite").parquet(seen_path)
     warehouse.use_fact(spark.read.parquet(fact_path))
     for name in DIMENSIONS:
         write_dim(getattr(warehouse, name), f"{mart_root}/{name}")
@@ -121,10 +147,10 @@ def check(
     """
     tables = {name: spark.read.parquet(f"{mart_root}/{name}") for name in ("fct_signals", *DIMENSIONS)}
     warehouse = read_warehouse(spark, raw_root, fmt, fact=tables["fct_signals"].drop("signal_day"))
-    signals = warehouse.fct_signals_all
+    signals = warehouse.signals_once
     rows = signals_suite(tables, signals, freshness(signals, as_of))
     rows.write.mode("overwrite").parquet(f"{mart_root}/quality_checks")
     written = spark.read.parquet(f"{mart_root}/quality_checks")
     if alerts_path is not None:
-        write_alerts(alerts(written, F.lit(as_of).cast("timestamp_ntz")), alerts_path)
+        write_alerts(alerts(written, F.lit(as_of).cast("timestamp_ntz")), alerts_path, run_id=as_of)
     return run_checkpoint(written)

@@ -87,6 +87,12 @@ UNION ALL
 SELECT output_id, model_id, NULL, output_timestamp, 'model_output', NULL, NULL, NULL, NULL, NULL, NULL,
   prompt_hash, latency_ms, NULL, NULL, NULL, _loaded_at FROM stg_model_outputs
 """)
+relation("signals_once", ["stg_signals", "stg_reports", "stg_enforcement", "stg_model_outputs"], """
+SELECT signal_type, signal_timestamp, _loaded_at FROM stg_signals
+UNION ALL SELECT 'report', report_timestamp, _loaded_at FROM stg_reports
+UNION ALL SELECT 'enforcement', action_timestamp, _loaded_at FROM stg_enforcement
+UNION ALL SELECT 'model_output', output_timestamp, _loaded_at FROM stg_model_outputs
+""")
 relation("dim_actions", ["fct_signals"], """
 SELECT DISTINCT action_id, entity_id, action_type, policy_id, enforced_by, enforcement_reason, action_timestamp,
   signal_id
@@ -415,17 +421,17 @@ SELECT item_id AS run_id, text AS query, CAST(NULL AS VARCHAR) AS signal_type,
 
 # -- dashboard -------------------------------------------------------------------------------
 
-oracle("signals_24h", ["fct_signals_all"], """
-SELECT count(*) AS signals FROM fct_signals_all
+oracle("signals_24h", ["signals_once"], """
+SELECT count(*) AS signals FROM signals_once
 WHERE _loaded_at > TIMESTAMP '2024-01-30 00:00:00' AND _loaded_at <= TIMESTAMP '2024-01-31 00:00:00'
 """)
 oracle("dead_letters_24h", ["checked_all"], "SELECT count(*) AS dead_letters FROM checked_all WHERE errors <> ''")
 oracle("avg_confidence", ["runs"], "SELECT round(avg(confidence_score), 6) AS avg_confidence FROM runs")
 _SHARE = "round(CAST(count(*) FILTER (retry_count > 0) AS DOUBLE) / count(*), 4) AS retry_rate"
 oracle("retry_rate", ["runs"], f"SELECT {_SHARE} FROM runs")
-oracle("signal_volume", ["fct_signals_all"], """
+oracle("signal_volume", ["signals_once"], """
 SELECT date_trunc('day', signal_timestamp)::TIMESTAMP AS day, signal_type, count(*) AS signals
-FROM fct_signals_all GROUP BY 1, 2
+FROM signals_once GROUP BY 1, 2
 """)
 oracle("strategy_distribution", ["runs"], """
 SELECT retrieval_strategy, count(*) AS runs,
@@ -438,8 +444,8 @@ FROM runs WHERE confidence_score IS NOT NULL GROUP BY 1
 oracle("retry_trend", ["runs"], f"""
 SELECT date_trunc('day', started_at)::TIMESTAMP AS day, count(*) AS runs, {_SHARE} FROM runs GROUP BY 1
 """)
-relation("latest_loaded", ["fct_signals_all"], """
-SELECT signal_type, max(_loaded_at) AS latest_timestamp FROM fct_signals_all GROUP BY 1
+relation("latest_loaded", ["signals_once"], """
+SELECT signal_type, max(_loaded_at) AS latest_timestamp FROM signals_once GROUP BY 1
 """)
 relation("freshness", ["latest_loaded"], """
 SELECT w.signal_type, coalesce(l.latest_timestamp >= TIMESTAMP '2024-01-31 00:00:00' - w.minutes * INTERVAL '1' MINUTE,
@@ -498,11 +504,11 @@ oracle("quality_accepted_values", ["fct_signals_all"], " UNION ALL ".join([
     _check("fct_signals_all", "accepted_values", "was_enforced", "was_enforced NOT IN (true, false)", _OFF),
     _check("fct_signals_all", "range", "score", "score NOT BETWEEN 0 AND 0.75", "outside [0, 0.75]"),
 ]))
-relation("judged", ["fct_signals_all"], """
+relation("judged", ["signals_once"], """
 SELECT signal_type, day, rows, count(rows) OVER w3 AS n3, avg(rows) OVER w3 AS e3, stddev_pop(rows) OVER w3 AS d3,
   count(rows) OVER w7 AS n7, avg(rows) OVER w7 AS e7, stddev_pop(rows) OVER w7 AS d7
 FROM (SELECT signal_type, date_trunc('day', signal_timestamp)::TIMESTAMP AS day, count(*) AS rows
-      FROM fct_signals_all GROUP BY 1, 2)
+      FROM signals_once GROUP BY 1, 2)
 WINDOW w3 AS (PARTITION BY signal_type ORDER BY day ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING),
   w7 AS (PARTITION BY signal_type ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)
 """)

@@ -16,7 +16,7 @@ from sigmart.operators import runs as R
 from sigmart.operators import staging as stg
 from sigmart.operators.embed import embed_documents, md5_hash
 from sigmart.operators.enrich import enrich_signals
-from sigmart.operators.incremental import merge_fact, since_watermark
+from sigmart.operators.incremental import changed_signals, since_watermark, upsert_fact
 from sigmart.operators.keyword import keyword_search
 from sigmart.operators.marts import fct_signals as fct
 from sigmart.operators.retrieval import vector_retrieve
@@ -25,6 +25,7 @@ from sigmart.operators.validate import validate
 from sigmart.plans.build import Warehouse
 from sigmart.plans.supplied import Supplied
 from sigmart.session import materialize, shared_dir
+from sigmart.sources.writers import write_fact
 from sigmart.sources.readers import parse_dead_letter_lines, read_documents, read_vectors, spread
 from sigmart.streaming import jobs as S
 
@@ -118,15 +119,24 @@ def dim_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- metrics ---------------------------------------------------------------------------------
 
 
+def written(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A warehouse whose fact is built once and written by day, as the dimensions and both sides of a metric read it."""
+    built = warehouse(spark, sf_dir)
+    path = shared_dir(spark, "fct_signals")
+    write_fact(built.fct_signals, path)
+    built.use_fact(spark.read.parquet(path))
+    return built
+
+
 @query
 def classifier_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = warehouse(spark, sf_dir)
+    w = written(spark, sf_dir)
     return M.classifier_precision(w.fct_signals, w.dim_actions)
 
 
 @query
 def classifier_precision_one_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = warehouse(spark, sf_dir)
+    w = written(spark, sf_dir)
     return M.metrics.run(
         "classifier_precision", w.relation,
         model_id="toxicity-v3", start_date="2024-01-05", end_date="2024-01-20",
@@ -135,14 +145,14 @@ def classifier_precision_one_model(spark: SparkSession, sf_dir: str) -> DataFram
 
 @query
 def enforcement_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = warehouse(spark, sf_dir)
+    w = written(spark, sf_dir)
     return M.enforcement_rate(w.fct_signals, w.dim_actions)
 
 
 @query
 def enforcement_rate_bans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.metrics.run(
-        "enforcement_rate", warehouse(spark, sf_dir).relation,
+        "enforcement_rate", written(spark, sf_dir).relation,
         action_type="ban", start_date="2024-01-05", end_date="2024-01-20",
     )
 
@@ -163,7 +173,7 @@ def report_volume_spam(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def sql_retrieve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.sql_retrieve(
-        "classifier_precision", warehouse(spark, sf_dir).relation,
+        "classifier_precision", written(spark, sf_dir).relation,
         model_id="spam-classifier-v4", start_date="2024-01-01", end_date="2024-02-01",
     )
 
@@ -264,11 +274,17 @@ CUT = "2024-01-20 00:00:00"
 
 @query
 def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact loaded up to a cut, then brought up to date; equal to one full load."""
+    """Signals and actions in three loads of no particular order, merged into a written fact; equal to one full load."""
     w = warehouse(spark, sf_dir, multi="first")
-    target = fct(enrich_signals(w.stg_signals.filter(F.col("_loaded_at") <= ntz(CUT)), w.stg_enforcement, multi="first"))
-    fresh = since_watermark(w.stg_signals, target)
-    return merge_fact(target, fct(enrich_signals(fresh, w.stg_enforcement, multi="first")))
+    load = lambda key: F.crc32(F.col(key).cast("binary")) % 3
+    root = shared_dir(spark, "incremental")
+    for step in range(3):
+        signals = w.stg_signals.filter(load("signal_id") <= step)
+        actions = w.stg_enforcement.filter(load("action_id") <= step)
+        changed = changed_signals(
+            signals, signals.filter(load("signal_id") == step), actions.filter(load("action_id") == step))
+        upsert_fact(spark, f"{root}/fact", fct(enrich_signals(changed, actions, multi="first")), f"{root}/load-{step}")
+    return spark.read.parquet(f"{root}/fact").drop("signal_day")
 
 
 @query
@@ -342,7 +358,7 @@ def initial_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def signals_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return K.signals_24h(warehouse(spark, sf_dir).fct_signals_all, AS_OF)
+    return K.signals_24h(warehouse(spark, sf_dir).signals_once, AS_OF)
 
 
 @query
@@ -362,7 +378,7 @@ def retry_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def signal_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return K.signal_volume(warehouse(spark, sf_dir).fct_signals_all)
+    return K.signal_volume(warehouse(spark, sf_dir).signals_once)
 
 
 @query
@@ -382,17 +398,17 @@ def retry_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def latest_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return K.latest_loaded(warehouse(spark, sf_dir).fct_signals_all)
+    return K.latest_loaded(warehouse(spark, sf_dir).signals_once)
 
 
 @query
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return K.freshness(warehouse(spark, sf_dir).fct_signals_all, AS_OF)
+    return K.freshness(warehouse(spark, sf_dir).signals_once, AS_OF)
 
 
 @query
 def freshness_gauges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return K.freshness_gauges(K.freshness(warehouse(spark, sf_dir).fct_signals_all, AS_OF))
+    return K.freshness_gauges(K.freshness(warehouse(spark, sf_dir).signals_once, AS_OF))
 
 
 # -- quality ---------------------------------------------------------------------------------
@@ -408,8 +424,8 @@ def _marts(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, dict[str, DataF
 
 def _suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     built, tables = _marts(spark, sf_dir)
-    fresh = K.freshness(built.fct_signals_all, AS_OF)
-    return Q.signals_suite(tables, built.fct_signals_all, fresh)
+    fresh = K.freshness(built.signals_once, AS_OF)
+    return Q.signals_suite(tables, built.signals_once, fresh)
 
 
 @query
@@ -451,7 +467,7 @@ def quality_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def row_count_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = Q.row_count_anomaly(warehouse(spark, sf_dir).fct_signals_all, days=3, deviations=2.0)
+    judged = Q.row_count_anomaly(warehouse(spark, sf_dir).signals_once, days=3, deviations=2.0)
     return judged.withColumns({name: F.round(name, 6) for name in ("expected", "deviation")})
 
 
@@ -596,6 +612,8 @@ def stream_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         stg.stg_signals(data.raw("raw_classifier_outputs")),
         lambda: stg.stg_enforcement(static.raw("raw_enforcement_logs")),
         f"{root}/fact", f"{root}/staging", f"{root}/cp",
+        arriving_actions=stg.stg_enforcement(data.raw("raw_enforcement_logs")),
+        all_signals=lambda: stg.stg_signals(static.raw("raw_classifier_outputs")),
     ).awaitTermination()
     return spark.read.parquet(f"{root}/fact").drop("signal_day")
 

@@ -104,6 +104,8 @@ def oracle_text(sql: str) -> str:
 class Supplied:
     """Relations over one folder of supplied tables, read as batch or as streams. Everything is lazy."""
 
+    files_per_batch = 1000  # a table of more files takes several batches
+
     def __init__(self, spark: SparkSession, sf_dir: str, stream: bool = False) -> None:
         self.spark = prepare(spark)
         self.stream = stream
@@ -114,8 +116,12 @@ class Supplied:
         if name not in self._tables:
             table = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
             if self.stream:
-                files = self.spark.readStream.schema(table.schema).option("pathGlobFilter", f"{name}.parquet")
-                table = files.parquet(self.sf_dir)
+                files = self.spark.readStream.schema(table.schema).option("maxFilesPerTrigger", self.files_per_batch)
+                path = f"{self.sf_dir}/{name}.parquet"
+                if any(file.endswith(f"/{name}.parquet") for file in table.inputFiles()):  # a table of one file
+                    table = files.option("pathGlobFilter", f"{name}.parquet").parquet(self.sf_dir)
+                else:
+                    table = files.parquet(path)
             self._tables[name] = table
         return self._tables[name]
 

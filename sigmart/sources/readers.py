@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sigmart.functions.text import strip
 from sigmart.schemas import RAW_SCHEMAS, RAW_TABLES
 
 
-def read_raw(spark: SparkSession, table: str, path: str, fmt: str = "parquet") -> DataFrame:
-    """A raw table under its fixed schema; nothing is inferred from the data."""
+def read_raw(spark: SparkSession, table: str, path: str | list[str], fmt: str = "parquet") -> DataFrame:
+    """A raw table, or some of its files, under its fixed schema; nothing is inferred from the data."""
     kind = RAW_TABLES.get(table)
     if kind is None:
         raise ValueError(f"unknown raw table {table!r}; known: {', '.join(RAW_TABLES)}")
@@ -36,7 +37,14 @@ def parse_dead_letter_lines(lines: DataFrame, column: str = "value") -> DataFram
 
 
 def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
-    return parse_dead_letter_lines(spark.read.text(path))
+    """The stored dead letters; none where nothing was ever stored."""
+    try:
+        lines = spark.read.text(path)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        lines = spark.createDataFrame([], "value string")
+    return parse_dead_letter_lines(lines)
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sigmart.functions.time import day_of
@@ -32,14 +34,22 @@ def write_fact(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     dated.hint("rebalance", "signal_day").write.mode(mode).partitionBy("signal_day").parquet(path)
 
 
-def write_eval_set(curated: DataFrame, path: str) -> None:
-    """Append curated runs to the evaluation set."""
-    curated.write.mode("append").parquet(path)
+def write_eval_set(curated: DataFrame, path: str, run_id: str | None = None) -> None:
+    """Add curated runs to the evaluation set; see :func:`write_run`."""
+    write_run(curated, path, run_id)
+
+
+def write_alerts(alert_rows: DataFrame, path: str, run_id: str | None = None) -> None:
+    """Add alert rows; see :func:`write_run`."""
+    write_run(alert_rows, path, run_id)
 
 
-def write_alerts(alert_rows: DataFrame, path: str) -> None:
-    """Append alert rows."""
-    alert_rows.write.mode("append").parquet(path)
+def write_run(df: DataFrame, path: str, run_id: str | None) -> None:
+    """Add the rows of one run. With a ``run_id`` they have a folder of their own, which a repeated run replaces."""
+    if run_id is None:
+        df.write.mode("append").parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(f"{path}/run_id={quote(run_id, safe='')}")
 
 
 def register_views(relations: dict[str, DataFrame]) -> list[str]:

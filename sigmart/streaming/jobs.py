@@ -14,12 +14,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sigmart.functions.time import hours_after
 from sigmart.operators.enrich import (
     ACTION_FIELDS, action_side, action_slices, enrich_signals, signal_slice, with_was_enforced,
 )
 from sigmart.operators.envelope import load_batch
-from sigmart.operators.incremental import upsert_fact
+from sigmart.operators.incremental import changed_signals, upsert_fact
 from sigmart.operators.marts import fct_signals
 from sigmart.operators.observability import freshness
 from sigmart.schemas import ACTION_WINDOW_HOURS
@@ -108,19 +107,34 @@ def unique_signals(signals: DataFrame, delay: str = "24 hours", key: str = "sign
 
 def fact_stream(
     signals: DataFrame, actions: Callable[[], DataFrame], fact_path: str, staging: str, checkpoint: str,
-    hours: int = ACTION_WINDOW_HOURS, every: str | None = None,
+    hours: int = ACTION_WINDOW_HOURS, every: str | None = None, arriving_actions: DataFrame | None = None,
+    all_signals: Callable[[], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Merge newly arrived signals into the fact. The checkpoint remembers what was loaded.
 
-    ``actions`` gives the enforcement table as it stands when a batch runs.
+    ``actions`` gives the enforcement table as it stands when a batch runs. With ``arriving_actions``, the same table
+    as a stream, and ``all_signals``, the signals as they stand, an action that arrives after its signal
+    attaches to it: each batch also merges the signals that its actions reach. One job writes the fact, so
+    both streams travel as one.
     """
     spark: SparkSession = signals.sparkSession
+    names = signals.columns
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        fact = fct_signals(enrich_signals(batch, actions(), hours, multi="first"))
+    def merge(changed: DataFrame, batch_id: int) -> None:
+        fact = fct_signals(enrich_signals(changed, actions(), hours, multi="first"))
         upsert_fact(spark, fact_path, fact, batch_path(staging, batch_id))
 
-    return start(signals, checkpoint, write, every=every)
+    if arriving_actions is None:
+        return start(signals, checkpoint, merge, every=every)
+    both = signals.select(F.struct(*names).alias("_signal")).unionByName(
+        arriving_actions.select(F.struct("entity_id", "action_timestamp").alias("_action")), allowMissingColumns=True)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        new = batch.filter(F.col("_signal").isNotNull()).select("_signal.*")
+        late = batch.filter(F.col("_action").isNotNull()).select("_action.*")
+        merge(changed_signals(all_signals().select(*names), new, late, hours), batch_id)
+
+    return start(both, checkpoint, write, every=every)
 
 
 # -- volume and freshness --------------------------------------------------------------------

@@ -151,13 +151,40 @@ def test_upsert_rewrites_only_touched_days(spark, tmp_path):
     assert changed == ["signal_day=2024-01-02"]
 
 
-def test_upsert_refuses_to_empty_a_day(spark, tmp_path):
+def test_upsert_empties_a_day_whose_signals_moved(spark, tmp_path):
     path = str(tmp_path / "fact")
     write_fact(fact_of(spark, [signal(1, "e", START)], []), path)
     moved = fact_of(spark, [signal(1, "e", START + dt.timedelta(days=1))], [])
-    with pytest.raises(ValueError, match="2024-01-01"):
-        upsert_fact(spark, path, moved, str(tmp_path / "staging"))
-    assert spark.read.parquet(path).count() == 1
+    upsert_fact(spark, path, moved, str(tmp_path / "staging"))
+    rows = spark.read.parquet(path).collect()
+    assert [(r.signal_id, str(r.signal_day)) for r in rows] == [("s1", "2024-01-02")]
+
+
+def test_build_attaches_an_action_that_is_loaded_late(spark, tmp_path):
+    """An action loaded long after it happened, and a load that carries an older loading time than the fact's."""
+    raw, marts = tmp_path / "raw", str(tmp_path / "marts")
+    hour = dt.timedelta(hours=1)
+
+    def load(number, signals=(), actions=()):
+        for table, rows in (("classifier_outputs", signals), ("enforcement_logs", actions)):
+            path = raw / table / f"load_id={number}"
+            path.mkdir(parents=True, exist_ok=True)
+            (path / "part.json").write_text("\n".join(json.dumps(row) for row in rows))
+
+    def classified(number, at, loaded):
+        return {"signal_id": f"s{number}", "model_id": "m", "entity_id": "e", "label": "x", "score": 0.9, "threshold": 0.5,
+                "is_positive": True, "timestamp": at.isoformat(), "_loaded_at": loaded.isoformat()}
+
+    enforced = {"action_id": "a1", "entity_id": "e", "action_type": "ban", "policy_id": "p", "enforced_by": "me",
+                "reason": "r", "timestamp": (START + hour / 3).isoformat(), "_loaded_at": (START + 26 * hour).isoformat()}
+    load(1, [classified(1, START, START + hour / 2), classified(2, START + 20 * hour, START + 25 * hour)])
+    build(spark, str(raw), marts, fmt="json")
+    load(2, [classified(3, START - 48 * hour, START - 47 * hour)], [enforced])
+    build(spark, str(raw), marts, fmt="json")
+    fact = {r.signal_id: r.action_id for r in spark.read.parquet(f"{marts}/fct_signals").collect()}
+    assert fact == {"s1": "a1", "s2": None, "s3": None}
+    build(spark, str(raw), marts, fmt="json")  # nothing new
+    assert spark.read.parquet(f"{marts}/fct_signals").count() == 3
 
 
 def test_ingest_and_build_from_files(spark, tmp_path):
@@ -212,6 +239,10 @@ def test_dead_letter_lines(spark, tmp_path):
         "ValidationError": 2, "unknown": 1, "_malformed_line": 1}
 
 
+def test_no_dead_letters_yet(spark, tmp_path):
+    assert read_dead_letters(spark, str(tmp_path / "never")).count() == 0
+
+
 def test_append_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1,)], "n int")
     for write in (write_eval_set, write_alerts):
@@ -219,6 +250,9 @@ def test_append_sinks(spark, tmp_path):
         write(df, path)
         write(df, path)
         assert spark.read.parquet(path).count() == 2
+        write(df, f"{path}-runs", run_id="2024-01-01 00:00:00")
+        write(df, f"{path}-runs", run_id="2024-01-01 00:00:00")
+        assert spark.read.parquet(f"{path}-runs").count() == 1
 
 
 def test_dead_letters_append_by_day(spark, tmp_path):
