@@ -1,3 +1,107 @@
-"""SQL for the corpus queries that SQL can express; the tests compare the others with brute force."""
+"""SQL for the corpus queries that SQL can express; the tests compare the others with brute force.
 
-ORACLES: dict[str, str] = {}
+Line hashes, learned scores, subword tokens, code point spans of patterns and sketches are beyond it.
+"""
+
+_SPACE = r"[^\x20\x09-\x0D]+"
+_FACTS = rf"""
+texts AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '{_SPACE}') AS w,
+    [x for x in string_split(coalesce(text, ''), chr(10)) if regexp_matches(x, '{_SPACE}')] AS lines FROM documents),
+places AS (SELECT r, unnest(range(1, len(w) - 6)) AS i FROM texts WHERE len(w) >= 8),
+windows AS (SELECT r, i, count(*) OVER (PARTITION BY r, array_to_string(w[i:i + 7], ' ')) AS n
+    FROM places JOIN texts USING (r)),
+covered AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM windows WHERE n > 1) GROUP BY 1),
+facts AS (SELECT r, doc_id, source, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words FROM texts LEFT JOIN covered c USING (r)),
+failed AS (SELECT *, n_words < 20 AS short, 100 * n_repeat_words > 30 * n_words AS repetitive,
+    10 * n_symbols > word_chars AS symbolic, 3 * n_dup_lines > n_lines AS echoing FROM facts)"""
+_RULES = ("short", "repetitive", "symbolic", "echoing")
+
+
+def _quality_rules() -> str:
+    sums = ", ".join(f"CAST(count(*) FILTER ({rule}) AS DOUBLE) AS {rule}" for rule in _RULES)
+    moments = ", ".join(f"(sum({rule}) + 0.5) / (sum(n) + 1.0) AS m_{rule}, sum({rule} * {rule} / n) / sum(n)"
+                        f" - (sum({rule}) / sum(n)) ^ 2 AS s_{rule}" for rule in _RULES)
+    chance = "m_{0} * (1 - m_{0}) * hosts / total"
+    weights = ", ".join(
+        f"CASE WHEN s_{rule} - {chance.format(rule)} <= 0 THEN 1000.0 ELSE least(1000.0, greatest(1.0,"
+        f" m_{rule} * (1 - m_{rule}) / (s_{rule} - {chance.format(rule)}) - 1)) END AS w_{rule}" for rule in _RULES)
+    rates = ", ".join(f"({rule} + m_{rule} * w_{rule}) / (n + w_{rule})" for rule in _RULES)
+    return f"""WITH {_FACTS},
+hosts AS (SELECT source, CAST(count(*) AS DOUBLE) AS n, {sums} FROM failed GROUP BY 1),
+moments AS (SELECT sum(n) AS total, count(*) AS hosts, {moments} FROM hosts),
+priors AS (SELECT *, {weights} FROM moments),
+verdicts AS (SELECT source, greatest({rates}) > 0.5 AS rejected FROM hosts, priors)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, short OR repetitive AS base_failed,
+  NOT (short OR repetitive) AND NOT rejected AS kept
+FROM failed f JOIN verdicts v ON f.source IS NOT DISTINCT FROM v.source"""
+
+
+_CHAT = """
+WITH turns AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
+    coalesce(turn // 256, 0) AS part FROM conversations),
+speakers AS (SELECT DISTINCT conv_id, role AS perspective FROM turns WHERE role <> 'system'),
+pieces AS (SELECT t.*, perspective, role = perspective AS own,
+    '<|' || CASE WHEN role = 'system' THEN 'system' WHEN role = perspective THEN 'assistant'
+      ELSE 'user name=' || role END || '|>' || chr(10) AS head
+  FROM turns t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
+placed AS (SELECT *, CAST(sum(length(head) + length(text) + 9) OVER (PARTITION BY conv_id, perspective, part
+    ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING) AS BIGINT) - length(text) - 9 AS start FROM pieces)
+SELECT conv_id, perspective, CAST(part AS BIGINT) AS part, count(*) AS n_turns,
+  string_agg(head || text || chr(10) || '<|end|>' || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS text,
+  coalesce(string_agg(CAST(start AS VARCHAR) || ':' || CAST(start + length(text) AS VARCHAR), ','
+    ORDER BY turn NULLS FIRST, role, text) FILTER (own), '') AS mask
+FROM placed GROUP BY ALL"""
+
+_MIXTURE = rf"""
+WITH sized AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{_SPACE}')) AS BIGINT) AS size,
+    substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS hash FROM documents),
+sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY 1),
+weighed AS (SELECT *, 2 * source_size AS bound, [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+  FROM sources),
+levels AS (SELECT *, bound / weight AS ratio,
+    (1.5 * sum(source_size) OVER () - coalesce(sum(bound) OVER (ORDER BY bound / weight, source NULLS LAST
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY bound / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighed),
+targets AS (SELECT source, source_size, least(CAST(bound AS DOUBLE), weight *
+    (SELECT min_by(level, ratio) FROM levels WHERE level <= ratio)) AS target FROM levels),
+placed AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY hash, doc_id, size
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM sized),
+passed AS (SELECT p.doc_id, p.size, p.start, t.source_size, t.target,
+    CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS passes
+  FROM placed p JOIN targets t ON p.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target, CAST(size * (passes + CASE WHEN target - passes * source_size > 0
+    AND 2 * start + size <= 2 * (target - passes * source_size) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM passed"""
+
+_ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_BENCHMARK = rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_ITEM_WORD}') AS w FROM documents),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all({_LOWER}, '{_ITEM_WORD}') AS w FROM benchmark),
+sizes AS (SELECT *, least(13, len(w)) AS size FROM items WHERE len(w) > 0),
+item_places AS (SELECT item_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM sizes),
+grams AS (SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS gram FROM item_places),
+doc_places AS (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS i
+  FROM docs CROSS JOIN (SELECT DISTINCT size FROM sizes) WHERE len(w) >= size),
+found AS (SELECT r, i, size, item_id FROM (SELECT r, i, size, array_to_string(w[i:i + size - 1], ' ') AS gram FROM doc_places)
+  JOIN grams USING (size, gram)),
+hits AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + size)) AS p FROM found) GROUP BY 1),
+named AS (SELECT r, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT r, item_id FROM found) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(m.n, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(h.n, 0) > 0 AND 20 * coalesce(h.n, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hits h USING (r) LEFT JOIN named m USING (r)"""
+
+ORACLES: dict[str, str] = {
+    "op1_quality_rules": _quality_rules(),
+    "op3_chat_formatting": _CHAT.strip(),
+    "op6_source_mixture": _MIXTURE.strip(),
+    "op8_benchmark_decontamination": _BENCHMARK.strip(),
+}
