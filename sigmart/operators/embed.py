@@ -26,22 +26,20 @@ def embed_documents(
 ) -> DataFrame:
     """(id, embedding): every token adds +1 or -1 to the slot its hash names; vectors have length 1.
 
-    A document's tokens combine to one vector inside the task that reads it, so what is shuffled is one
-    vector per document. A text without tokens becomes the zero vector.
+    One row becomes one row and nothing is shuffled. A token's slot and sign are one small code, and the two codes of
+    a slot are counted by how much shorter the codes get without them, which stays in generated code. A text
+    without tokens becomes the zero vector.
     """
-    words = df.select(F.col(id_col).alias("id"), F.explode_outer(tokens(F.col(text_col))).alias("_token"))
-    hashed = words.select(
-        "id", F.when(F.col("_token").isNotNull(), token_hash(F.col("_token"))).alias("_hash")
-    )
-    # no token, no hash: the sign is then 0
-    placed = hashed.selectExpr(
-        "id",
-        f"pmod(_hash, {dimensions}) AS _slot",
-        f"CASE WHEN _hash IS NULL THEN 0D WHEN pmod(_hash DIV {dimensions}, 2) = 0 THEN 1D ELSE -1D END AS _sign",
-    )
+    def code(token: Column) -> Column:
+        hashed = token_hash(token)
+        sign = F.when(F.pmod(F.call_function("div", hashed, F.lit(dimensions)), F.lit(2)) == 0, 0).otherwise(dimensions)
+        return (F.pmod(hashed, F.lit(dimensions)) + sign).cast("int")
+
+    codes = df.select(F.col(id_col).alias("id"), F.transform(tokens(F.coalesce(text_col, F.lit(""))), code).alias("_codes"))
     slots = range(dimensions)
-    sums = [F.expr(f"sum(CASE WHEN _slot = {i} THEN _sign ELSE 0D END) AS _{i}") for i in slots]
-    counted = placed.groupBy("id").agg(*sums).selectExpr(
+    counted = codes.selectExpr("id", *[
+        f"CAST(size(array_remove(_codes, {i + dimensions})) - size(array_remove(_codes, {i})) AS DOUBLE) AS _{i}" for i in slots
+    ]).selectExpr(
         "id",
         *[f"_{i}" for i in slots],
         # dividing a zero vector by 1 keeps it zero
