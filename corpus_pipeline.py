@@ -37,15 +37,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of whose words a twentieth or more stand in passages of the benchmark; others stay whole."""
-    judged = decontaminate.judged(decontaminate.matches(docs, table(spark, sf_dir, "benchmark")))
-    return judged.where("NOT contaminated").select(*docs.columns)
+    plain = docs.toDF(*(f"c{place}" for place in range(len(docs.columns))))  # no name of the caller's clashes then
+    text = plain.columns[docs.columns.index("text")]
+    judged = decontaminate.judged(decontaminate.matches(plain, table(spark, sf_dir, "benchmark"), text=text))
+    return judged.where("NOT contaminated").select(*plain.columns).toDF(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per draw: the document with size, source_size, target, copy, shard and the key that orders the shard."""
     mixed = mixing.mix(mixing.sized(docs))
-    return mixed.select("*", F.explode("draws").alias("draw")).select(
-        *(name for name in mixed.columns if name != "draws"), "draw.copy", "draw.shard", "draw.key")
+    kept = [name for name in mixed.columns if name not in ("draws", "copy", "shard", "key")]
+    return mixed.select(*kept, F.inline("draws"))
 
 
 STAGES = [("quality", quality), ("repeated_lines", repeated_lines), ("near_duplicates", near_duplicates),

@@ -231,14 +231,15 @@ def item_blocks(benchmark: DataFrame, window: int, block_words: int = BLOCK_WORD
     yield ItemAutomaton(block, window)
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS,
+            text: str = "text") -> DataFrame:
     """``docs`` with n_words, spans (hit word intervals, merged, stop exclusive) and items (item ids, sorted).
 
-    Every column of ``docs`` is kept unless it has one of those names. Null and empty texts have no words and no
+    Every column of ``docs`` is kept unless it has one of those names or is called scanned. Null and empty texts have no words and no
     hits; repeated documents and items are judged alike, and an item id counts once. An empty benchmark hits nothing.
     """
     kept = [F.col(f"`{name}`") for name in docs.columns if name.lower() not in ("n_words", "spans", "items", "scanned")]
-    current = docs.select(*kept, F.col("text").cast("binary").alias("scanned"), F.lit(0).cast("long").alias("n_words"),
+    current = docs.select(*kept, F.col(text).cast("binary").alias("scanned"), F.lit(0).cast("long").alias("n_words"),
                           F.array().cast(FOUND).alias("spans"), F.array().cast("array<string>").alias("items"))
     current = current.sparkSession.createDataFrame([], current.schema).unionAll(current)  # all columns nullable
     first = True
