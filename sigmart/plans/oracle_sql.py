@@ -5,6 +5,7 @@ Each text is a chain of common table expressions over the supplied tables and a
 
 from __future__ import annotations
 
+from sigmart.operators.envelope import source_name
 from sigmart.plans.supplied import RAW_VIEWS, oracle_text
 
 # Relations in dependency order: name -> (what it reads, SQL).
@@ -124,6 +125,11 @@ def oracle(name: str, needs: list[str], final: str | None = None) -> None:
 for _name in ("stg_signals", "stg_enforcement", "stg_reports", "stg_model_outputs", "int_signals_enriched",
               "fct_signals", "fct_signals_first", "fct_signals_all", "dim_actions", "dim_entities"):
     oracle(_name, [_name])
+oracle("dim_actions_written", ["dim_actions"], "SELECT * FROM dim_actions")
+oracle("stg_signals_with_offsets", ["stg_signals"], """
+SELECT signal_id, signal_timestamp - CASE CAST(substr(signal_id, 5) AS BIGINT) % 3 WHEN 0 THEN INTERVAL '0' MINUTE
+  WHEN 1 THEN INTERVAL '120' MINUTE ELSE INTERVAL '-330' MINUTE END AS signal_timestamp FROM stg_signals
+""")
 oracle("dim_models", ["dim_models"], """
 SELECT model_id, signal_type, first_seen_at, last_seen_at, total_signals,
   round(avg_score, 6) AS avg_score, round(positive_rate, 6) AS positive_rate
@@ -165,6 +171,8 @@ oracle("enforcement_rate_bans", ["dim_actions"], _RATE.format(
     where="WHERE a.action_type = 'ban' AND a.action_timestamp >= TIMESTAMP '2024-01-05'"
           " AND a.action_timestamp < TIMESTAMP '2024-01-20'"))
 oracle("report_volume", ["fct_signals_all"], _VOLUME.format(where=""))
+oracle("report_volume_first_100", ["fct_signals_all"], _VOLUME.format(where="")
+       + "ORDER BY hour DESC, report_count DESC, report_type, severity LIMIT 100")
 oracle("report_volume_spam", ["fct_signals_all"], _VOLUME.format(
     where="AND report_type = 'spam' AND signal_timestamp >= TIMESTAMP '2024-01-30 06:00:00'"
           " AND signal_timestamp < TIMESTAMP '2024-01-30 18:00:00'"))
@@ -370,6 +378,28 @@ SELECT coalesce(signal_type, 'TOTAL') AS signal_type, CAST(count(*) FILTER (erro
   CAST(count(*) FILTER (errors <> '') AS BIGINT) AS failed, CAST(count(*) AS BIGINT) AS total
 FROM checked_all GROUP BY ROLLUP (signal_type)
 """)
+oracle("ingest_mixed", ["checked_all"], """
+SELECT coalesce(signal_type, 'TOTAL') AS signal_type, CAST(count(*) FILTER (errors = '') AS BIGINT) AS valid,
+  CAST(count(*) FILTER (errors <> '') AS BIGINT) AS failed, CAST(count(*) AS BIGINT) AS total
+FROM checked_all GROUP BY ROLLUP (signal_type)
+""")
+oracle("envelopes_of_wrong_type", ["checked_all"], """
+SELECT CASE signal_type WHEN 'report' THEN 'enforcement' ELSE signal_type END AS signal_type,
+  signal_type <> 'report' AS payload_matches, count(*) AS records
+FROM checked_all WHERE errors = '' GROUP BY 1, 2
+""")
+oracle("envelopes_written", ["checked_all"], """
+SELECT 'report' AS signal_type, '{source}' AS source, TIMESTAMP '2024-01-31 00:00:00' AS ingested_at, count(*) AS records
+FROM checked_all WHERE errors = '' AND signal_type = 'report'
+""".replace("{source}", source_name("report", None)))
+oracle("dead_letters_written", ["checked_all"], """
+SELECT 'ValidationError' AS error_type, 'nightly-batch' AS source,
+  CASE signal_type WHEN 'report' THEN '2024-01-29' ELSE '2024-01-31' END AS day, count(*) AS records
+FROM checked_all WHERE errors <> '' AND signal_type IN ('report', 'enforcement') GROUP BY 1, 2, 3
+""")
+oracle("dead_letters_of_last_day", ["checked_all"], """
+SELECT count(*) AS dead_letters FROM checked_all WHERE errors <> '' AND signal_type = 'enforcement'
+""")
 oracle("envelopes", ["checked_all"], """
 SELECT signal_type, 'nightly-batch' AS source, TIMESTAMP '2024-01-31 00:00:00' AS ingested_at,
   true AS payload_matches, CAST(count(*) AS BIGINT) AS records
@@ -413,6 +443,10 @@ FROM runs
 oracle("curate_runs", ["runs"], """
 SELECT run_id, query, confidence_score, retry_count FROM runs WHERE confidence_score < 0.5 OR retry_count > 0
 """)
+oracle("eval_set_written", ["runs"], """
+SELECT run_id, query, confidence_score, retry_count FROM runs WHERE retry_count > 0
+UNION ALL SELECT run_id, query, confidence_score, retry_count FROM runs WHERE retry_count = 0 AND confidence_score < 0.5
+""")
 oracle("initial_runs", [], """
 SELECT item_id AS run_id, text AS query, CAST(NULL AS VARCHAR) AS signal_type,
   CAST(NULL AS VARCHAR) AS retrieval_strategy, CAST(NULL AS DOUBLE) AS confidence_score,

@@ -25,8 +25,8 @@ from sigmart.operators.validate import validate
 from sigmart.plans.build import Warehouse
 from sigmart.plans.supplied import Supplied
 from sigmart.session import materialize, shared_dir
-from sigmart.sources.writers import write_fact
-from sigmart.sources.readers import parse_dead_letter_lines, read_documents, read_vectors, spread
+from sigmart.sources.readers import parse_dead_letter_lines, read_dead_letters, read_documents, read_vectors, spread
+from sigmart.sources.writers import write_dead_letters, write_dim, write_envelopes, write_eval_set, write_fact
 from sigmart.streaming import jobs as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,25 @@ def dim_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse(spark, sf_dir).dim_actions
 
 
+@query
+def dim_actions_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension after two full refreshes of a written one."""
+    w, path = written(spark, sf_dir), shared_dir(spark, "dim_actions")
+    for _ in range(2):
+        write_dim(w.dim_actions, path)
+    return spark.read.parquet(path)
+
+
+@query
+def stg_signals_with_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signal times as text in three zones, staged as UTC."""
+    raw = Supplied(spark, sf_dir).raw("raw_classifier_outputs")
+    number = F.substring("signal_id", 5, 20).cast("long")
+    zone = F.when(number % 3 == 0, "Z").when(number % 3 == 1, "+02:00").otherwise("-05:30")
+    text = F.concat(F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), zone)
+    return stg.stg_signals(raw.withColumn("timestamp", text)).select("signal_id", "signal_timestamp")
+
+
 @query
 def dim_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse(spark, sf_dir).dim_entities
@@ -162,6 +181,12 @@ def report_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.report_volume(warehouse(spark, sf_dir).reports)
 
 
+@query
+def report_volume_first_100(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest and largest hundred rows, as retrieval context takes them."""
+    return M.report_volume(warehouse(spark, sf_dir).reports, row_limit=100)
+
+
 @query
 def report_volume_spam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.metrics.run(
@@ -257,11 +282,56 @@ def dead_letter_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Over the dead letters as JSON lines, and the raw texts themselves for lines without an error type."""
     loaded = batches(spark, sf_dir)
     lines = E.union_dead_letters(loaded).select(F.to_json(F.struct("*")).alias("value"))
-    for batch in loaded:
-        lines = lines.unionByName(batch.checked.select(F.col("raw").alias("value")))
+    for view in JSON_KINDS:
+        lines = lines.unionByName(records(spark, sf_dir, view).select(F.col("raw").alias("value")))
     return E.dead_letter_stats(parse_dead_letter_lines(lines))
 
 
+@query
+def ingest_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All four kinds in one relation, split by type again and loaded each by its contract."""
+    parts = [records(spark, sf_dir, view).select(F.lit(kind).alias("signal_type"), "raw") for view, kind in JSON_KINDS.items()]
+    mixed = parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3])
+    return E.ingest_summary(list(E.load_mixed(mixed, at=AS_OF).values()))
+
+
+@query
+def envelopes_of_wrong_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes whose type was exchanged for another one hold a payload that does not match."""
+    rows = E.union_envelopes(batches(spark, sf_dir)).withColumn(
+        "signal_type", F.when(F.col("signal_type") == "report", "enforcement").otherwise(F.col("signal_type")))
+    return rows.groupBy("signal_type", E.payload_matches_type(rows).alias("payload_matches")).agg(
+        F.count(F.lit(1)).alias("records"))
+
+
+@query
+def envelopes_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes as JSON lines, written twice and read back."""
+    path = shared_dir(spark, "envelopes")
+    for _ in range(2):
+        write_envelopes(E.load_batch(records(spark, sf_dir, "json_reports"), "report", at=AS_OF).valid, path)
+    return spark.read.schema("signal_type STRING, source STRING, ingested_at TIMESTAMP_NTZ").json(path).groupBy(
+        "signal_type", "source", "ingested_at").agg(F.count(F.lit(1)).alias("records"))
+
+
+@query
+def dead_letters_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead letters of two days, written by day and read back as lines."""
+    path = shared_dir(spark, "dead-letters")
+    for view, at in (("json_reports", "2024-01-29 12:00:00"), ("json_enforcement", AS_OF)):
+        write_dead_letters(E.load_batch(records(spark, sf_dir, view), JSON_KINDS[view], BATCH_SOURCE, at=at).dead, path)
+    return read_dead_letters(spark, path).groupBy("error_type", "source", F.substring("failed_at", 1, 10).alias("day")).agg(
+        F.count(F.lit(1)).alias("records"))
+
+
+@query
+def dead_letters_of_last_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of two loads, one a day and a half ago, the last 24 hours hold one."""
+    loads = [E.load_batch(records(spark, sf_dir, view), JSON_KINDS[view], BATCH_SOURCE, at=at)
+             for view, at in (("json_reports", "2024-01-29 12:00:00"), ("json_enforcement", AS_OF))]
+    return K.dead_letters_24h(E.union_dead_letters(loads), AS_OF)
+
+
 @query
 def ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.ingest_summary(batches(spark, sf_dir))
@@ -344,6 +414,16 @@ def curate_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.curate_runs(runs(spark, sf_dir)).select("run_id", "query", "confidence_score", "retry_count")
 
 
+@query
+def eval_set_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Curated runs of two runs of the job, one of them repeated."""
+    path = shared_dir(spark, "eval-set")
+    curated = R.curate_runs(runs(spark, sf_dir)).select("run_id", "query", "confidence_score", "retry_count")
+    for run_id, part in (("first", "retry_count > 0"), ("second", "retry_count = 0"), ("second", "retry_count = 0")):
+        write_eval_set(curated.filter(part).withColumnRenamed("run_id", "id"), path, run_id=run_id)
+    return spark.read.parquet(path).drop("run_id").withColumnRenamed("id", "run_id")
+
+
 @query
 def initial_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = Supplied(spark, sf_dir).table("benchmark").select(F.col("item_id").alias("run_id"), "text")

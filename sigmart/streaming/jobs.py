@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -53,8 +54,10 @@ def ingest_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         loaded = load_batch(batch, kind, source, raw)
+        loaded.checked.persist(StorageLevel.DISK_ONLY)  # both outputs read it; a lost block is validated again
         loaded.valid.write.mode("overwrite").parquet(batch_path(valid_path, batch_id))
         loaded.dead.write.mode("overwrite").parquet(batch_path(dead_path, batch_id))
+        loaded.checked.unpersist()
 
     return start(records, checkpoint, write, every=every)
 
