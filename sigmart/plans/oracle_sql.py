@@ -711,9 +711,9 @@ oracle("keyword_retrieval_filtered", ["english_scores"],
 
 # -- streaming -------------------------------------------------------------------------------
 
-oracle("stream_ingest", ["checked_classifier"], """
-SELECT CASE WHEN e = '' THEN 'valid' ELSE 'dead' END AS outcome, e AS problem, count(*) AS records
-FROM (SELECT unnest(string_split(errors, '|')) AS e FROM checked_classifier) GROUP BY 1, 2
+oracle("stream_ingest", ["checked_all"], """
+SELECT signal_type, CASE WHEN e = '' THEN 'valid' ELSE 'dead' END AS outcome, e AS problem, count(*) AS records
+FROM (SELECT signal_type, unnest(string_split(errors, '|')) AS e FROM checked_all) GROUP BY 1, 2, 3
 """)
 oracle("stream_enriched_pairs", ["int_signals_enriched"], """
 SELECT signal_id, action_id, signal_timestamp, action_timestamp, was_enforced
@@ -721,16 +721,9 @@ FROM int_signals_enriched WHERE action_id IS NOT NULL
 """)
 oracle("stream_unique_signals", ["stg_signals"], "SELECT signal_id, entity_id, signal_timestamp FROM stg_signals")
 oracle("stream_fact", ["fct_signals_first"])
-oracle("stream_volume", ["stg_reports"], """
-SELECT date_trunc('hour', report_timestamp)::TIMESTAMP AS window_start,
-  date_trunc('hour', report_timestamp)::TIMESTAMP + INTERVAL '1' HOUR AS window_end,
-  'report' AS signal_type, report_type, count(*) AS signals
-FROM stg_reports GROUP BY 1, 2, 3, 4
-""")
-oracle("stream_freshness", ["stg_reports", "stg_enforcement"], """
-SELECT w.signal_type, coalesce(l.at >= TIMESTAMP '2024-01-31 00:00:00' - w.minutes * INTERVAL '1' MINUTE, false)
-    AS is_fresh, l.at AS latest_timestamp, w.minutes AS window_minutes, TIMESTAMP '2024-01-31 00:00:00' AS checked_at
-FROM (VALUES ('classifier', 15), ('report', 60), ('enforcement', 60), ('model_output', 30)) w(signal_type, minutes)
-LEFT JOIN (SELECT 'report' AS kind, max(_loaded_at) AS at FROM stg_reports
-           UNION ALL SELECT 'enforcement', max(_loaded_at) FROM stg_enforcement) l ON l.kind = w.signal_type
+oracle("stream_volume", ["signals_once"], """
+SELECT date_trunc('hour', signal_timestamp)::TIMESTAMP AS window_start,
+  date_trunc('hour', signal_timestamp)::TIMESTAMP + INTERVAL '1' HOUR AS window_end, signal_type, count(*) AS signals
+FROM signals_once GROUP BY 1, 2, 3
 """)
+oracle("stream_freshness", ["freshness"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -650,16 +651,31 @@ def _save(path: str):
     return lambda batch, batch_id: batch.write.mode("overwrite").parquet(S.batch_path(path, batch_id))
 
 
+def _all_streamed(data: Supplied) -> DataFrame:
+    """Every signal of every type once, as one stream."""
+    labels = F.create_map(F.lit("toxicity"), "toxicity", F.lit("pii"), "pii")
+    return stg.all_signals(
+        stg.stg_signals(data.raw("raw_classifier_outputs")), stg.stg_reports(data.raw("raw_user_reports")),
+        stg.stg_enforcement(data.raw("raw_enforcement_logs")),
+        stg.stg_model_outputs(data.raw("raw_model_outputs").withColumn("safety_labels", labels)),
+    )
+
+
 @query
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All four kinds, each by its own job."""
     data, root = _streamed(spark, sf_dir)
-    records = data.raw("json_classifier")
-    S.ingest_stream(records, "classifier", f"{root}/valid", f"{root}/dead", f"{root}/cp").awaitTermination()
-    valid = spark.read.parquet(f"{root}/valid").select(F.lit("valid").alias("outcome"), F.lit("").alias("problem"))
-    dead = spark.read.parquet(f"{root}/dead").select(F.explode("error_details").alias("e")).select(
-        F.lit("dead").alias("outcome"), F.concat("e.field", F.lit(":"), "e.type").alias("problem")
-    )
-    return valid.union(dead).groupBy("outcome", "problem").agg(F.count(F.lit(1)).alias("records"))
+    counts = []
+    for view, kind in JSON_KINDS.items():
+        out = f"{root}/{kind}"
+        S.ingest_stream(data.raw(view), kind, f"{out}/valid", f"{out}/dead", f"{out}/cp").awaitTermination()
+        valid = spark.read.parquet(f"{out}/valid").select(F.lit("valid").alias("outcome"), F.lit("").alias("problem"))
+        dead = spark.read.parquet(f"{out}/dead").select(F.explode("error_details").alias("e")).select(
+            F.lit("dead").alias("outcome"), F.concat("e.field", F.lit(":"), "e.type").alias("problem")
+        )
+        counts.append(valid.union(dead).groupBy(F.lit(kind).alias("signal_type"), "outcome", "problem").agg(
+            F.count(F.lit(1)).alias("records")))
+    return reduce(DataFrame.unionByName, counts)
 
 
 @query
@@ -700,22 +716,17 @@ def stream_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signals of every type by hour."""
     data, root = _streamed(spark, sf_dir)
-    signals = stg.all_signals(reports=stg.stg_reports(data.raw("raw_user_reports")))
-    volume = S.volume_stream(signals, by=("signal_type", "report_type"))
     write = lambda batch, _: batch.write.mode("overwrite").parquet(f"{root}/out")
-    S.start(volume, f"{root}/cp", write, mode="complete").awaitTermination()
+    S.start(S.volume_stream(_all_streamed(data)), f"{root}/cp", write, mode="complete").awaitTermination()
     return spark.read.parquet(f"{root}/out").drop("entities")
 
 
 @query
 def stream_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     data, root = _streamed(spark, sf_dir)
-    signals = stg.all_signals(
-        reports=stg.stg_reports(data.raw("raw_user_reports")),
-        actions=stg.stg_enforcement(data.raw("raw_enforcement_logs")),
-    )
-    S.freshness_stream(signals, lambda: AS_OF, f"{root}/out", f"{root}/cp").awaitTermination()
+    S.freshness_stream(_all_streamed(data), lambda: AS_OF, f"{root}/out", f"{root}/cp").awaitTermination()
     rows = spark.read.parquet(f"{root}/out")
     newest = rows.select(F.max("batch_id")).scalar()
     return rows.filter(F.col("batch_id") == newest).drop("batch_id")
