@@ -22,8 +22,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from sigmart.functions.vectors import RANK_DECIMALS, best_per_row, unit_rows
 from sigmart.schemas import VECTOR_TOP_K
+from sigmart.session import materialize
 
 QUERY_BYTES = 8 << 20  # query matrix that may travel to the tasks
+RESULT_ROW_BYTES = 64  # of a result row that travels
 SCORE_CELLS = 4 << 20  # scores held at once in a task
 PIVOTS = 64
 CHUNK_ROWS = 20_000
@@ -101,8 +103,8 @@ def similarity_search(
     best = rank_within(found, "score", top_k)
     if not carry:
         return best
-    # a bounded query set has at most top_k rows each, so its result is small enough to travel too
-    small = F.broadcast(best) if travels else best
+    # a bounded query set has at most top_k rows each; the result travels if that bound is small enough too
+    small = F.broadcast(best) if travels and len(fetched) * top_k * RESULT_ROW_BYTES <= query_bytes else best
     return docs.select("id", *carry).join(small, "id").select("query_id", "id", *carry, "score", "rank")
 
 
@@ -148,7 +150,7 @@ def _search_by_cell(asked: DataFrame, vectors: DataFrame, k: int, schema: T.Stru
 
     placed_schema = T.StructType([*vectors.schema.fields, T.StructField("cell", T.LongType()),
                                   T.StructField("angle", T.DoubleType())])
-    placed = vectors.mapInPandas(place, placed_schema)
+    placed = materialize(vectors.mapInPandas(place, placed_schema), "placed-vectors")  # read twice
     # one row per cell
     cells = placed.groupBy("cell").agg(
         F.count(F.lit(1)).alias("n"), F.min("angle").alias("near"), F.max("angle").alias("far")
@@ -182,7 +184,8 @@ def _search_by_cell(asked: DataFrame, vectors: DataFrame, k: int, schema: T.Stru
                 "embedding": [batch["embedding"].iloc[r] for r in rows], "cell": index[columns],
             })
 
-    visits = asked.mapInPandas(reach, T.StructType([*asked.schema.fields, T.StructField("cell", T.LongType())]))
+    visiting = T.StructType([*asked.schema.fields, T.StructField("cell", T.LongType())])
+    visits = materialize(asked.mapInPandas(reach, visiting), "visits")  # read twice
     # again one row per cell
     visitors = {row["cell"]: row["count"] for row in visits.groupBy("cell").count().collect()}
     blocks = {cell: math.ceil(visitors.get(cell, 0) / BLOCK_QUERIES) for cell in chunks}
