@@ -1,9 +1,11 @@
 """Removal of repeated line chunks, cut where the content says so.
 
-A text's lines are hashed, and a hash rolling over two neighbouring line hashes decides whether a chunk ends there. The
-decision depends on those lines alone, so a passage that is shifted, or stands in another document, is cut alike inside.
-Chunks of two lines or more are compared across the whole corpus: first by hash, then, where a hash occurs again, byte
-by byte. Of equal chunks the first one in the document with the smallest id stays, the others are removed.
+A text's lines are hashed, and a hash rolls over every two neighbouring line hashes. A chunk ends where the rolling hash
+is smaller than its neighbours on both sides. That depends on four lines alone, so a passage that is shifted, or stands
+in another document, is cut alike inside; and no two ends are adjacent, so chunks have two lines or more (save at the
+ends of a text) and three on average. Chunks of two lines or more are compared across the whole corpus: first by hash,
+then, where a hash occurs again, byte by byte. Of equal chunks the first one in the document with the smallest id stays,
+the others are removed.
 """
 
 from __future__ import annotations
@@ -13,32 +15,34 @@ from pyspark.sql import functions as F
 
 from sigmart.llm.common import broadcast_ids, materialize
 
-DIVISOR = 2  # one line in so many ends a chunk
-
-
-def chunked(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
+def chunked(docs: DataFrame) -> DataFrame:
     """``docs`` with lines (array) and chunks (array of start, stop: first and last line, counted from 0).
 
     Only chunks of two lines or more, one of them with a word, are listed, each chunk text once: the first.
     """
-    rolling = lambda hashes, i: F.pmod(F.xxhash64(F.get(hashes, i - 1), F.get(hashes, i)), F.lit(divisor)) == 0
     last = F.size("lines") - 1
+    places = F.sequence(F.lit(0), last)
+    at = lambda array, i: F.get(F.col(array), i)
     current = docs.withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n"))
     current = current.withColumn("hashes", F.transform("lines", lambda line: F.xxhash64(line)))
-    current = current.withColumn("ends", F.filter(F.sequence(F.lit(0), last), lambda i: (i == last) | ((i > 0) & rolling(F.col("hashes"), i))))
+    current = current.withColumn("rolled", F.transform(places, lambda i: F.xxhash64(at("hashes", i - 1), at("hashes", i))))
+    low = lambda i: (at("rolled", i) < at("rolled", i - 1)) & (at("rolled", i) <= at("rolled", i + 1))
+    current = current.withColumn("ends", F.filter(places, lambda i: (i == last) | low(i)))
     pieces = F.transform("ends", lambda end, k: F.struct(
         F.when(k > 0, F.get(F.col("ends"), k - 1) + 1).otherwise(F.lit(0)).alias("start"), end.alias("stop")))
     current = current.withColumn("chunks", F.filter(pieces, lambda piece: piece["stop"] > piece["start"]))
-    return current.drop("hashes", "ends")
+    return current.drop("hashes", "rolled", "ends")
 
 
 def _text_of(lines: str, start, stop):
     return F.array_join(F.slice(F.col(lines), start + 1, stop - start + 1), "\n")
 
 
-def repeated(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
+def repeated(docs: DataFrame) -> DataFrame:
     """(doc_id, chunks to remove): arrays of (start, stop), for documents that have any. Materialised."""
-    pieces = chunked(docs.select("doc_id", "text"), divisor).select("doc_id", "lines", F.explode("chunks").alias("chunk")).select(
+    # The outer form, because the optimiser would check the inner one's array beforehand and cut every text many times.
+    pieces = chunked(docs.select("doc_id", "text")).select("doc_id", "lines", F.explode_outer("chunks").alias("chunk")).where(
+        "chunk IS NOT NULL").select(
         "doc_id", "chunk", _text_of("lines", F.col("chunk.start"), F.col("chunk.stop")).alias("content")).where(
         F.col("content").rlike(r"[^\x20\x09-\x0D]")).withColumn("hash", F.xxhash64("content"))
     # Hashes first: most chunks occur once, and their text never leaves the scan.
@@ -55,7 +59,7 @@ def repeated(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     return materialize(removed.groupBy("doc_id").agg(F.collect_set("chunk").alias("removed")), "removed")
 
 
-def without_repeats(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
+def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs``, all columns, with text free of repeated chunks, and n_lines, n_removed_lines, removed (their places).
 
     Null texts stay null, and a text may become empty. Rows with a null doc_id keep their text whole and are nobody's
@@ -65,7 +69,7 @@ def without_repeats(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     keep = [name for name in docs.columns if name.lower() not in ("n_lines", "n_removed_lines", "removed")]
     # Columns of the caller travel as one, so that no name clashes.
     plain = docs.select(F.struct(*(F.col(f"`{name}`") for name in keep)).alias("row"), "doc_id", "text")
-    cuts = repeated(docs.select("doc_id", "text").where("doc_id IS NOT NULL"), divisor)
+    cuts = repeated(docs.select("doc_id", "text").where("doc_id IS NOT NULL"))
     joined = plain.join(cuts, "doc_id", "left")
     lines = F.split(F.col("text"), "\n")
     gone = F.flatten(F.transform("removed", lambda chunk: F.sequence(chunk["start"], chunk["stop"])))

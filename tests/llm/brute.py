@@ -103,13 +103,14 @@ def targets(sizes, share=1.5, weights=(3, 1, 2), most=2):
     return fixed
 
 
-def without_repeats(rows, cut):
-    """rows: (doc_id, text), ids distinct. ``cut(previous line, line)``: whether a chunk ends after the line."""
+def without_repeats(rows, rolling):
+    """rows: (doc_id, text), ids distinct. ``rolling(line before or None, line)``: the rolling hash at a line."""
     pieces, seen = {}, {}
     for doc_id, text in sorted(rows):
         lines, start, found = (text or "").split("\n"), 0, []
+        rolled = [rolling(before, line) for before, line in zip([None, *lines], lines)]
         for i in range(len(lines)):
-            if i == len(lines) - 1 or (i > 0 and cut(lines[i - 1], lines[i])):
+            if i == len(lines) - 1 or (i > 0 and rolled[i - 1] > rolled[i] <= rolled[i + 1]):
                 if i > start and WORD.search("\n".join(lines[start:i + 1])):
                     found.append((start, i, "\n".join(lines[start:i + 1])))
                 start = i + 1

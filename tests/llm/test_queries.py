@@ -9,7 +9,6 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
-from sigmart.llm import line_dedup
 from sigmart.llm.queries import QUERIES
 from tests.llm import brute
 
@@ -38,11 +37,11 @@ def test_quality_rules(spark, docs):
 
 def test_line_dedup(spark, docs):
     got = {r.doc_id: (r.text, r.n_removed_lines) for r in result(spark, "op4_line_dedup").itertuples()}
-    pairs = {pair for t in docs.text for pair in zip(t.split("\n"), t.split("\n")[1:])}
-    frame = spark.createDataFrame(pd.DataFrame(sorted(pairs), columns=["a", "b"]))
-    ends = frame.selectExpr("a", "b", f"pmod(xxhash64(xxhash64(a), xxhash64(b)), {line_dedup.DIVISOR}) = 0 AS cut").collect()
-    cut = {(r.a, r.b): r.cut for r in ends}
-    assert got == brute.without_repeats(zip(docs.doc_id, docs.text), lambda a, b: cut[a, b])
+    pairs = {pair for t in docs.text for pair in zip([None, *t.split("\n")], t.split("\n"))}
+    frame = spark.createDataFrame(sorted(pairs, key=repr), "a string, b string")
+    rolled = frame.selectExpr("a", "b", "xxhash64(if(a IS NULL, NULL, xxhash64(a)), xxhash64(b)) AS h").collect()
+    hashes = {(r.a, r.b): r.h for r in rolled}
+    assert got == brute.without_repeats(zip(docs.doc_id, docs.text), lambda a, b: hashes[a, b])
     assert sum(removed for _, removed in got.values()) > 0
 
 
