@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigmart.llm.common import broadcast_ids, materialize
+from sigmart.llm.common import BROADCAST_BYTES, broadcast_ids, materialize
 
 def chunked(docs: DataFrame) -> DataFrame:
     """``docs`` with lines (array) and chunks (array of start, stop: first and last line, counted from 0).
@@ -68,15 +68,19 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """
     keep = [name for name in docs.columns if name.lower() not in ("n_lines", "n_removed_lines", "removed")]
     # Columns of the caller travel as one, so that no name clashes.
-    plain = docs.select(F.struct(*(F.col(f"`{name}`") for name in keep)).alias("row"), "doc_id", "text")
+    others = [F.col(f"`{name}`") for name in keep if name.lower() not in ("doc_id", "text")]
+    plain = docs.select(F.struct(F.lit(0).alias("0"), *others).alias("row"), "doc_id", "text")
     cuts = repeated(docs.select("doc_id", "text").where("doc_id IS NOT NULL"))
+    size = cuts.agg(F.count("*").alias("rows"), F.sum(F.size("removed")).alias("chunks")).first()
+    # Small lists go to the texts; large ones meet them by id, which moves every text once.
+    cuts = F.broadcast(cuts) if 64 * size.rows + 24 * (size.chunks or 0) <= BROADCAST_BYTES else cuts
     joined = plain.join(cuts, "doc_id", "left")
     lines = F.split(F.col("text"), "\n")
     gone = F.flatten(F.transform("removed", lambda chunk: F.sequence(chunk["start"], chunk["stop"])))
     joined = joined.withColumn("gone", F.when(F.col("removed").isNotNull(), gone))
     left = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("gone", i)), "\n")
     joined = joined.withColumn("left", F.when(F.col("gone").isNull(), F.col("text")).otherwise(left))
-    fresh = {"text": F.col("left"), "n_chars": F.length("left").cast("long")}
+    fresh = {"doc_id": F.col("doc_id"), "text": F.col("left"), "n_chars": F.length("left").cast("long")}
     nothing = F.array().cast("array<struct<start:int,stop:int>>")
     return joined.select(
         *(fresh.get(name.lower(), F.col(f"row.`{name}`")).alias(name) for name in keep),
