@@ -36,7 +36,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     tokenizer = token_counts.TokenizerFile(public_tokenizers.path("word_bpe_49k.json"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return token_counts.token_counts(docs, tokenizer, trim=True).withColumn("over_limit", F.expr("n_tokens > 2048"))
+    return token_counts.token_counts(docs, tokenizer, by_word=True).withColumn("over_limit", F.expr("n_tokens > 2048"))
 
 
 def op6_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:

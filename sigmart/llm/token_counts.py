@@ -4,6 +4,9 @@ A text is known by the digest of its normalised content, a tokenizer by the dige
 whose digest is in the cache for that tokenizer are not encoded; of the others every distinct content is encoded
 once, and its count is appended to the cache. A cache is a folder on shared storage with one subfolder per tokenizer, so
 several runs and several tokenizers use it side by side.
+
+A tokenizer that drops white space and never looks across it counts a text as the sum over its words. For such a
+tokenizer (``by_word``) a task encodes each distinct word once and remembers its count.
 """
 
 from __future__ import annotations
@@ -52,17 +55,35 @@ class TokenizerFile:
         return lambda texts: [len(one.ids) for one in model.encode_batch_fast(texts, add_special_tokens=False)]
 
 
-def normalised(text: Column, trim: bool) -> Column:
-    """Null as empty; with ``trim``, white space at both ends cut, for tokenizers that drop it anyway."""
+WORDS = 400_000  # word counts a task remembers; it starts anew beyond
+
+
+def word_counter(count):
+    """A function from texts to counts that encodes each distinct word once."""
+    memo: dict[bytes, int] = {}
+
+    def by_word(texts):
+        split = [text.encode().split() for text in texts]  # bytes split at the six ASCII spaces alone
+        if len(memo) > WORDS:
+            memo.clear()
+        fresh = list(set().union(*split) - memo.keys())
+        memo.update(zip(fresh, count([word.decode() for word in fresh]), strict=True))
+        return [sum(map(memo.__getitem__, found)) for found in split]
+
+    return by_word
+
+
+def normalised(text: Column, by_word: bool) -> Column:
+    """Null as empty; with ``by_word``, white space at both ends cut, as it makes no token."""
     text = F.coalesce(text, F.lit(""))
-    return F.trim(text, F.lit(SPACE_CHARACTERS)) if trim else text
+    return F.trim(text, F.lit(SPACE_CHARACTERS)) if by_word else text
 
 
 def digest(content: Column) -> Column:
     return F.unhex(F.sha2(content, 256))
 
 
-def encoded(contents: DataFrame, tokenizer: TokenizerFile) -> DataFrame:
+def encoded(contents: DataFrame, tokenizer: TokenizerFile, by_word: bool) -> DataFrame:
     """(digest, content) to (digest, n_tokens)."""
     shared = contents.sparkSession.sparkContext.broadcast((tokenizer.content, tokenizer.kind))
 
@@ -71,7 +92,7 @@ def encoded(contents: DataFrame, tokenizer: TokenizerFile) -> DataFrame:
 
         one = TokenizerFile.__new__(TokenizerFile)
         one.content, one.kind = shared.value
-        count = one.counter()
+        count = word_counter(one.counter()) if by_word else one.counter()
         for batch in batches:
             texts, counts = batch.column("content").to_pylist(), []
             at = 0
@@ -97,7 +118,7 @@ def read_cache(spark, cache: str, tokenizer: TokenizerFile) -> DataFrame:
         return spark.createDataFrame([], CACHE)
 
 
-def token_counts(docs: DataFrame, tokenizer: TokenizerFile, cache: str | None = None, trim: bool = False) -> DataFrame:
+def token_counts(docs: DataFrame, tokenizer: TokenizerFile, cache: str | None = None, by_word: bool = False) -> DataFrame:
     """Columns of ``docs`` other than text, with n_bytes (UTF-8) and n_tokens of the whole text; one row per row.
 
     ``cache`` is a folder on shared storage; without one the run keeps a cache of its own in the checkpoint folder.
@@ -108,11 +129,11 @@ def token_counts(docs: DataFrame, tokenizer: TokenizerFile, cache: str | None =
     cache = cache or shared_dir(spark, "token-cache")
     own = [F.col(f"`{name}`") for name in docs.columns
            if name.lower() not in ("text", "digest", "content", "n_bytes", "n_tokens")]
-    content = docs.select(normalised(F.col("text"), trim).alias("content")).select(digest(F.col("content")).alias("digest"), "content")
+    content = docs.select(normalised(F.col("text"), by_word).alias("content")).select(digest(F.col("content")).alias("digest"), "content")
     # One row for each content and task survives the first step, so a much repeated text is not gathered anywhere.
     missing = content.join(read_cache(spark, cache, tokenizer), "digest", "left_anti").dropDuplicates(["digest"])
-    encoded(missing, tokenizer).write.mode("append").parquet(f"{cache}/tokenizer={tokenizer.digest}")
+    encoded(missing, tokenizer, by_word).write.mode("append").parquet(f"{cache}/tokenizer={tokenizer.digest}")
     stored = read_cache(spark, cache, tokenizer).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     known = docs.select(*own, F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
-                        digest(normalised(F.col("text"), trim)).alias("digest"))
+                        digest(normalised(F.col("text"), by_word)).alias("digest"))
     return known.join(stored, "digest", "left").drop("digest")
