@@ -194,11 +194,16 @@ def links_around_heads(compared_: DataFrame, percent: int = PERCENT) -> DataFram
         F.expr(f"greatest(1, ({whole} * d - {rest} * (n_a + n_b) + 199) div 200)"))
     # Elements that no other text has stand before all others and match nothing.
     taken = F.col("d") - needed + 1 - (F.col("d") - F.size("ranked"))
+    before = (F.col("d") - F.size("ranked")).alias("before")
     prefixes = ranked.join(near.select("a", "b", "linked", "n_a", "n_b", "d"), ["a", "b"]).select(
-        "a", "b", "linked", F.explode(F.slice("ranked", 1, F.greatest(taken, F.lit(0)).cast("int"))).alias("r")).select(
-        "a", "b", "linked", F.col("r.e").alias("e"))
+        "a", "b", "linked", "d", "n_a", before,
+        F.posexplode(F.slice("ranked", 1, F.greatest(taken, F.lit(0)).cast("int"))).alias("place", "r")).select(
+        "a", "b", "linked", "d", "n_a", (F.col("before") + F.col("place")).alias("place"), F.col("r.e").alias("e"))
+    # From the first common element on, either side must still have as many elements as the two texts need to share.
+    enough = " AND ".join(f"{2 * whole} * ({side}.d - {side}.place) >= {whole} * (x.d + y.d) - {rest} * (x.n_a + y.n_a)"
+                          for side in "xy")
     candidates = prefixes.where("NOT linked").alias("x").join(prefixes.alias("y"), F.expr(
-        "x.b = y.b AND x.e = y.e AND x.a <> y.a AND (y.linked OR x.a < y.a)")).select(
+        f"x.b = y.b AND x.e = y.e AND x.a <> y.a AND (y.linked OR x.a < y.a) AND {enough}")).select(
         F.col("x.b").alias("b"), F.col("x.a").alias("a1"), F.col("y.a").alias("a2")).distinct()
     side = lambda name: near.select(F.col("a").alias(f"a{name}"), "b", F.col("n_a").alias(f"n{name}"),
                                     F.col("apart").alias(f"d{name}"))
