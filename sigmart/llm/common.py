@@ -19,7 +19,14 @@ __all__ = ["BROADCAST_BYTES", "SPACE", "HashedWords", "broadcast_ids", "document
            "materialize", "mix64", "prepare", "sha256_hex", "sum_blobs", "table", "words"]
 
 
+# What a Python worker holds at a time; whole texts travel in these batches.
+ARROW_SETTINGS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "16777216"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A supplied table. Also bounds the batches between executors and their Python workers, for the session."""
+    for key, value in ARROW_SETTINGS.items():
+        spark.conf.set(key, value)
     return prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -53,7 +60,7 @@ def mix64(values: np.ndarray) -> np.ndarray:
 class HashedWords(dict):
     """64-bit hash of a word, remembered; forgets everything at ``limit`` words."""
 
-    limit = 500_000
+    limit = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.limit:

@@ -55,7 +55,7 @@ class TokenizerFile:
         return lambda texts: [len(one.ids) for one in model.encode_batch_fast(texts, add_special_tokens=False)]
 
 
-WORDS = 400_000  # word counts a task remembers; it starts anew beyond
+WORDS = 200_000  # word counts a task remembers; it starts anew beyond
 
 
 def word_counter(count):
