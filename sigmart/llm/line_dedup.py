@@ -6,6 +6,11 @@ in another document, is cut alike inside; and no two ends are adjacent, so chunk
 ends of a text) and three on average. Chunks of two lines or more are compared across the whole corpus: first by hash,
 then, where a hash occurs again, byte by byte. Of equal chunks the first one in the document with the smallest id stays,
 the others are removed.
+
+Ends near the edge of a passage depend on foreign lines, so chunks miss short passages and the edges of long ones. Every
+run of whole lines of more than ``PASSAGE_WORDS`` words that stands twice is found exactly, one line included: each line
+opens the shortest window of more words that begins with it, and closes the shortest one that ends with it. Windows
+depend on their own lines alone, and those inside a passage cover it. Windows are compared by hash, then by SHA-256.
 """
 
 from __future__ import annotations
@@ -13,7 +18,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigmart.llm.common import BROADCAST_BYTES, broadcast_ids, materialize
+from sigmart.llm.common import BROADCAST_BYTES, SPACE, broadcast_ids, materialize
+
+PASSAGE_WORDS = 50  # passages of more words are removed wherever they stand
+
 
 def chunked(docs: DataFrame) -> DataFrame:
     """``docs`` with lines (array) and chunks (array of start, stop: first and last line, counted from 0).
@@ -38,8 +46,60 @@ def _text_of(lines: str, start, stop):
     return F.array_join(F.slice(F.col(lines), start + 1, stop - start + 1), "\n")
 
 
+def windows(docs: DataFrame, digests: bool) -> DataFrame:
+    """doc_id, start, stop and hash (and digest) of the shortest windows of more than ``PASSAGE_WORDS`` words.
+
+    Lines without words neither open nor close a window, but count for its content.
+    """
+    steps = [1 << power for power in range(PASSAGE_WORDS.bit_length())]
+    current = docs.withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n"))
+    current = current.withColumn("weights", F.transform("lines", lambda line: F.size(F.array_remove(F.split(line, SPACE), ""))))
+    places = F.sequence(F.lit(0), F.size("lines") - 1)
+    current = current.withColumn("full", F.filter(places, lambda i: F.get("weights", i) > 0))
+    # sums1, sums2, sums4 ...: words of so many lines from each on; null where the text ends before.
+    current = current.withColumn("sums1", F.transform("full", lambda i: F.get("weights", i)))
+    for step in steps[:-1]:
+        double = lambda n, k: n + F.get(f"sums{step}", k + step)  # noqa: B023, E731
+        current = current.withColumn(f"sums{2 * step}", F.transform(f"sums{step}", double))
+    current = current.withColumn("levels", F.array(*(
+        F.struct(F.lit(step).alias("step"), F.col(f"sums{step}").alias("sums")) for step in reversed(steps))))
+    current = current.withColumn("hashes", F.transform("lines", lambda line: F.xxhash64(line)))
+
+    def fitting(place):
+        """The largest number of lines whose words are not above the limit; ``place(lines so far, step)``: the next ones."""
+        def take(seen, level):
+            more = seen["words"] + F.get(level["sums"], place(seen["n"], level["step"]))
+            return F.when(more <= PASSAGE_WORDS, F.struct((seen["n"] + level["step"]).alias("n"), more.alias("words"))).otherwise(seen)
+
+        return F.aggregate("levels", F.struct(F.lit(0).alias("n"), F.lit(0).alias("words")), take, lambda seen: seen["n"])
+
+    current = current.withColumn("closes", F.transform("full", lambda i, k: k + fitting(lambda n, step: k + n)))
+    current = current.withColumn("opens", F.transform("full", lambda i, k: k - fitting(lambda n, step: k - n - step + 1)))
+    span = lambda start, stop: F.struct(start.alias("start"), stop.alias("stop"))
+    forward = F.filter(F.transform("closes", lambda stop, k: span(k, stop)), lambda x: x["stop"] < F.size("full"))
+    backward = F.filter(F.transform("opens", lambda start, k: span(start, k)),
+                        lambda x: (x["start"] >= 0) & (F.get("closes", x["start"]) != x["stop"]))
+    current = current.withColumn("spans", F.transform(F.concat(forward, backward), lambda x: span(
+        F.get("full", x["start"]), F.get("full", x["stop"]))))
+    cut = lambda array, x: F.slice(F.col(array), x["start"] + 1, x["stop"] - x["start"] + 1)
+    digest = lambda x: [F.unhex(F.sha2(F.array_join(cut("lines", x), "\n"), 256)).alias("digest")] if digests else []
+    found = F.transform("spans", lambda x: F.struct(
+        x["start"].alias("start"), x["stop"].alias("stop"), F.xxhash64(cut("hashes", x)).alias("hash"), *digest(x)))
+    return current.select("doc_id", F.explode_outer(found).alias("w")).where("w IS NOT NULL").select("doc_id", "w.*")
+
+
+def passages(docs: DataFrame) -> DataFrame:
+    """doc_id and chunk (start, stop) of every window that stands earlier, by document and place. May overlap."""
+    again = materialize(windows(docs, False).groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "window-hashes")
+    suspects = materialize(windows(docs, True).join(broadcast_ids(again), "hash", "left_semi"), "windows")
+    known = suspects.groupBy("digest").agg(F.min(F.struct("doc_id", "start", "stop")).alias("first"))
+    # A window that overlaps the first one of its kind in the same text is part of that occurrence.
+    later = suspects.join(known, "digest").where("doc_id != first.doc_id OR start > first.stop")
+    return later.select("doc_id", F.struct("start", "stop").alias("chunk"))
+
+
 def repeated(docs: DataFrame) -> DataFrame:
-    """(doc_id, chunks to remove): arrays of (start, stop), for documents that have any. Materialised."""
+    """(doc_id, what to remove): arrays of (start, stop), for documents that have any. Materialised."""
     # The outer form, because the optimiser would check the inner one's array beforehand and cut every text many times.
     pieces = chunked(docs.select("doc_id", "text")).select("doc_id", "lines", F.explode_outer("chunks").alias("chunk")).where(
         "chunk IS NOT NULL").select(
@@ -56,11 +116,12 @@ def repeated(docs: DataFrame) -> DataFrame:
     first = marked.where("own").groupBy("doc_id", "hash", "second").agg(F.min("chunk").alias("chunk")).select(
         "doc_id", "chunk", F.lit(True).alias("stays"))
     removed = marked.select("doc_id", "chunk", "own").join(first, ["doc_id", "chunk"], "left").where("stays IS NULL")
+    removed = removed.select("doc_id", "chunk").unionByName(passages(docs))
     return materialize(removed.groupBy("doc_id").agg(F.collect_set("chunk").alias("removed")), "removed")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs``, all columns, with text free of repeated chunks, and n_lines, n_removed_lines, removed (their places).
+    """``docs``, all columns, with text free of repeated chunks and passages, and n_lines, n_removed_lines, removed (their places).
 
     Null texts stay null, and a text may become empty. Rows with a null doc_id keep their text whole and are nobody's
     first. Rows that repeat a doc_id count as one document and are cut alike. An n_chars column is counted anew; columns called
@@ -76,7 +137,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     cuts = F.broadcast(cuts) if 64 * size.rows + 24 * (size.chunks or 0) <= BROADCAST_BYTES else cuts
     joined = plain.join(cuts, "doc_id", "left")
     lines = F.split(F.col("text"), "\n")
-    gone = F.flatten(F.transform("removed", lambda chunk: F.sequence(chunk["start"], chunk["stop"])))
+    gone = F.array_distinct(F.flatten(F.transform("removed", lambda chunk: F.sequence(chunk["start"], chunk["stop"]))))
     joined = joined.withColumn("gone", F.when(F.col("removed").isNotNull(), gone))
     left = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("gone", i)), "\n")
     joined = joined.withColumn("left", F.when(F.col("gone").isNull(), F.col("text")).otherwise(left))

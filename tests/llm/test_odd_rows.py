@@ -113,6 +113,30 @@ def test_a_shifted_passage_is_found(spark):
     assert all(f"end {i}" in got[i].text for i in got)
 
 
+def test_passages_of_few_lines_are_found(spark):
+    """Passages of 1 to 8 lines and 52 to 64 words, each planted twice at random places of differing documents."""
+    import random
+
+    chance = random.Random(3)
+    line = lambda tag, n: " ".join(f"{tag}{chance.randrange(10 ** 9)}" for _ in range(n))
+    rows, planted = [], {}
+    for k in range(80):
+        n = k % 8 + 1
+        passage = [line("p", -(-52 // n)) for _ in range(n)]
+        if n > 2:
+            passage[1] += "\n"  # a line without words inside
+        for i in (k, 1000 + k):
+            before, after = ([line("o", chance.randrange(1, 9)) for _ in range(chance.randrange(6))] for _ in range(2))
+            rows.append((i, "\n".join([*before, *passage, *after])))
+            planted[i] = ("\n".join([*before, *after]), rows[-1][1])
+    rows.append((2000, "\n".join(["once " * 60, "own words", "once " * 60])))
+    rows.append((2002, "\n".join(["ha"] * 100)))
+    got = {r.doc_id: r.text for r in line_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[k] == planted[k][1] and got[1000 + k] == planted[1000 + k][0] for k in range(80))
+    assert got[2000] == "once " * 60 + "\nown words"
+    assert got[2002].count("ha") >= 51, "the first passage of a text that repeats one line stays"
+
+
 def test_token_counts(spark, docs, nothing, tmp_path):
     import public_tokenizers
     from tokenizers import Tokenizer
