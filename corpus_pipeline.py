@@ -36,11 +36,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents of whose words a twentieth or more stand in passages of the benchmark; others stay whole."""
+    """Drops documents of whose words a twentieth or more stand in passages of the benchmark; cuts them out of others."""
     plain = docs.toDF(*(f"c{place}" for place in range(len(docs.columns))))  # no name of the caller's clashes then
     text = plain.columns[docs.columns.index("text")]
     judged = decontaminate.judged(decontaminate.matches(plain, table(spark, sf_dir, "benchmark"), text=text))
-    return judged.where("NOT contaminated").select(*plain.columns).toDF(*docs.columns)
+    kept = materialize(judged.where("NOT contaminated").select(*plain.columns, "spans"), "clean")
+    # Few documents have spans; the others do not travel through Python again.
+    cut = decontaminate.cut_spans(kept.where("size(spans) > 0"), 0, text=text)
+    if "n_chars" in docs.columns:
+        counted = plain.columns[docs.columns.index("n_chars")]
+        cut = cut.withColumn(counted, F.length(text).cast(plain.schema[counted].dataType))
+    return kept.where("size(spans) = 0").unionByName(cut).select(*plain.columns).toDF(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

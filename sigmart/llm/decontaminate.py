@@ -256,14 +256,16 @@ def judged(found: DataFrame) -> DataFrame:
         "contaminated", F.expr("n_hit > 0 AND 20 * n_hit >= n_words"))
 
 
-def cut_spans(found: DataFrame, longest: int) -> DataFrame:
-    """``found`` with ``text`` free of the hit intervals of more than ``longest`` words, whatever their share."""
+def cut_spans(found: DataFrame, longest: int, text: str = "text") -> DataFrame:
+    """``found`` with column ``text`` free of the hit intervals of more than ``longest`` words, whatever their share."""
+    name_of_text = text
+
     def cut(batches):
         import pyarrow as pa
 
         for batch in batches:
             texts = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+            for text, spans in zip(batch.column(name_of_text).to_pylist(), batch.column("spans").to_pylist(), strict=True):
                 far = [span for span in spans if span["stop"] - span["start"] > longest]
                 if far:
                     raw = text.encode()
@@ -272,7 +274,7 @@ def cut_spans(found: DataFrame, longest: int) -> DataFrame:
                         raw = raw[:places[span["start"]][0]] + raw[places[span["stop"] - 1][1]:]
                     text = raw.decode()
                 texts.append(text)
-            columns = [pa.array(texts, type=pa.string()) if name == "text" else batch.column(name)
+            columns = [pa.array(texts, type=pa.string()) if name == name_of_text else batch.column(name)
                        for name in batch.schema.names]
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 

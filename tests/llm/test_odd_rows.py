@@ -253,3 +253,16 @@ def test_pipeline_stages(spark, docs, nothing, labels, tmp_path):
             current = common.materialize(stage(spark, current, sf_dir), "odd-stage")
             assert set(frame.columns) <= set(current.columns), name
     assert corpus_pipeline.run(spark, sf_dir).count() >= 0
+
+
+def test_benchmark_spans_go_from_clean_documents(spark, tmp_path):
+    sf_dir = str(tmp_path)
+    item = " ".join(f"item{i}" for i in range(20))
+    spark.createDataFrame([(1, item), (2, "four short words here")], "item_id long, text string").write.parquet(f"{sf_dir}/benchmark.parquet")
+    own = [" ".join(f"é{k}own{i}" for i in range(400)) for k in range(3)]
+    rows = [(1, f"{own[0]}, {item}. {own[1]}\nFour short words here! {own[2]}"), (2, own[0]), (3, f"{own[0][:600]} {item}"), (4, None), (5, "")]
+    docs = spark.createDataFrame([(t, i, 7) for i, t in rows], "text string, doc_id long, n_chars long")
+    got = {r.doc_id: r for r in corpus_pipeline.benchmark_passages(spark, docs, sf_dir).collect()}
+    assert set(got) == {1, 2, 4, 5}, "a contaminated document goes"
+    assert got[1].text == f"{own[0]}, . {own[1]}\n! {own[2]}" and got[1].n_chars == len(got[1].text)
+    assert (got[2].text, got[2].n_chars) == (own[0], 7) and got[4].text is None and got[5].text == ""
