@@ -1,10 +1,10 @@
 """Secrets in texts, with weak candidates reported only where complementary parts stand together.
 
 Strong parts are found by their form alone: assigned secrets, access identifiers and long hexadecimal strings. Weak
-parts (bare 40-character keys, endpoints, logins) mean little alone. A text is cut into scopes at blank lines. Within a
-scope every strong part's interval is widened by ``reach`` code points on both sides and joined with the weak parts: one
-sorted pass, which looks at the nearest complement before and after each candidate, so no pairs are formed. The scan
-reads each text once in its own task and shuffles nothing.
+parts (bare 40-character keys, endpoints, logins) mean little alone. A text is cut into scopes at blank lines. A weak
+part is reported if a part of a kind that completes it, strong or weak, stands in its scope (or within ``reach`` code
+points there, if the caller gives a number): one sorted pass, which looks at the nearest complement before and after
+each candidate, so no pairs are formed. The scan reads each text once in its own task and shuffles nothing.
 """
 
 from __future__ import annotations
@@ -26,10 +26,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 # Weak parts and the strong or weak kinds that complete them.
-KEY = re.compile(r"(?<![A-Za-z0-9/+=])(?=[A-Za-z/+]*[0-9])(?=[^A-Z]*[A-Z])(?=[^a-z]*[a-z])[A-Za-z0-9/+]{40}(?![A-Za-z0-9/+=])")
+KEY = re.compile(r"(?<![A-Za-z0-9/+=])(?=[A-Za-z/+]*[0-9])[A-Za-z0-9/+]{40}(?![A-Za-z0-9/+=])")
+KEY_LETTERS = re.compile("[A-Z]"), re.compile("[a-z]")  # one of each stands at the key's start or later
 ENDPOINT = re.compile(r"[A-Za-z][A-Za-z0-9+.-]{1,20}://[^\s\"'<>]{4,}")
 LOGIN = re.compile(r"(?:user(?:name)?|login|client_id|account)[\"']?\x20*[:=]\x20*[\"']?([^\s\"',;]{2,})", re.I | re.A)
-COMPLETED_BY = {"key": ("access",), "endpoint": ("assign", "access", "hex", "key"), "login": ("assign", "hex", "key")}
+COMPLETED_BY = {"key": ("access", "endpoint", "login"), "endpoint": ("assign", "access", "hex", "key", "login"),
+                "login": ("assign", "hex", "key", "endpoint")}
 BLANK_LINE = re.compile(r"\n[ \t\r]*\n")
 
 
@@ -45,10 +47,21 @@ def strong_parts(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def linked_parts(text: str, strong: list[tuple[str, int, int]], reach: int) -> list[tuple[str, int, int]]:
-    """The weak parts that a complementary part completes within their scope."""
-    if not strong:
-        return []
+def _keys(text: str) -> list[tuple[int, int]]:
+    found, seen = [], [-1, -1]
+    for match in KEY.finditer(text):
+        for place, letter in enumerate(KEY_LETTERS):  # each search goes on where the last one ended: linear in all
+            if seen[place] < match.start():
+                after = letter.search(text, match.start())
+                if not after:
+                    return found
+                seen[place] = after.start()
+        found.append(match.span())
+    return found
+
+
+def linked_parts(text: str, strong: list[tuple[str, int, int]], reach: int | None) -> list[tuple[str, int, int]]:
+    """The weak parts that a complementary part completes within their scope, as far as ``reach`` (None: all of it)."""
     walls = [0, *(m.start() for m in BLANK_LINE.finditer(text)), len(text)]
     parts: dict[str, list[tuple[int, int]]] = {kind: [] for kind in KINDS}
     for kind, start, stop in strong:
@@ -60,24 +73,34 @@ def linked_parts(text: str, strong: list[tuple[str, int, int]], reach: int) -> l
         at = bisect_left(begins, stop) - 1
         return at < 0 or taken[at][1] <= start
 
-    def near(start: int, stop: int, others: list[tuple[int, int]]) -> bool:
+    def apart(kind: str, start: int, stop: int, other: tuple[int, int]) -> bool:
+        # The value of a login, or the login in an address, is no second part.
+        return kind in BASE or other[1] <= start or stop <= other[0]
+
+    def near(start: int, stop: int, kind: str) -> bool:
         scope = bisect_right(walls, start) - 1
-        low, high = max(walls[scope], start - reach), min(walls[min(scope + 1, len(walls) - 1)], stop + reach)
+        low, high = walls[scope], walls[min(scope + 1, len(walls) - 1)]
+        if reach is not None:
+            low, high = max(low, start - reach), min(high, stop + reach)
+        others = parts[kind]
+        at = bisect_left(others, (start, stop))
+        while at > 0 and others[at - 1][0] >= low and not apart(kind, start, stop, others[at - 1]):
+            at -= 1
+        if at > 0 and low <= others[at - 1][0] and others[at - 1][1] <= high:
+            return True
         at = bisect_left(others, (start, stop))
-        return any(low <= a and b <= high for a, b in others[max(0, at - 1):at + 1])
+        while at < len(others) and others[at][1] <= high and not apart(kind, start, stop, others[at]):
+            at += 1
+        return at < len(others) and low <= others[at][0] and others[at][1] <= high
 
-    out = []
-    for kind, pattern in (("key", KEY), ("endpoint", ENDPOINT), ("login", LOGIN)):
-        for match in pattern.finditer(text):
-            start, stop = match.span()
-            if (kind == "endpoint" or free(start, stop)) and any(
-                    near(start, stop, parts[other]) for other in COMPLETED_BY[kind]):
-                parts[kind].append((start, stop))
-                out.append((kind, start, stop))
-    return out
+    parts["key"] = [span for span in _keys(text) if free(*span)]
+    parts["endpoint"] = [m.span() for m in ENDPOINT.finditer(text)]
+    parts["login"] = [m.span() for m in LOGIN.finditer(text) if free(*m.span())]
+    return [(kind, start, stop) for kind, complements in COMPLETED_BY.items() for start, stop in parts[kind]
+            if any(near(start, stop, other) for other in complements)]
 
 
-def findings(docs: DataFrame, reach: int = REACH) -> DataFrame:
+def findings(docs: DataFrame, reach: int | None = None) -> DataFrame:
     """``docs`` with column findings: (kind, start, stop) in code points, by start, then in the order of ``KINDS``.
 
     Null and empty texts have no findings, repeated rows the same ones; all columns of ``docs`` but one called
@@ -96,7 +119,7 @@ def findings(docs: DataFrame, reach: int = REACH) -> DataFrame:
             rows = []
             for text in batch.column(batch.num_columns - 1).to_pylist():
                 strong = strong_parts(text) if text else []
-                parts = strong + linked_parts(text, strong, reach) if strong else []
+                parts = strong + linked_parts(text, strong, reach) if text else []
                 parts.sort(key=lambda part: (part[1], rank[part[0]]))
                 rows.append([{"kind": kind, "start": start, "stop": stop} for kind, start, stop in parts])
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(rows, type=kind_type)], schema.names)
