@@ -102,9 +102,11 @@ def oracle_text(sql: str) -> str:
 
 
 class Supplied:
-    """Relations over one folder of supplied tables, read as batch or as streams. Everything is lazy."""
+    """Relations over one folder of supplied tables, read as batch or as streams. Everything is lazy.
 
-    files_per_batch = 1000  # a table of more files takes several batches
+    The tables are bounded and their files in no order of time, so a stream takes all files in one batch: between
+    batches the watermark would move on and drop the older rows of later files.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str, stream: bool = False) -> None:
         self.spark = prepare(spark)
@@ -116,7 +118,7 @@ class Supplied:
         if name not in self._tables:
             table = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
             if self.stream:
-                files = self.spark.readStream.schema(table.schema).option("maxFilesPerTrigger", self.files_per_batch)
+                files = self.spark.readStream.schema(table.schema)
                 path = f"{self.sf_dir}/{name}.parquet"
                 if any(file.endswith(f"/{name}.parquet") for file in table.inputFiles()):  # a table of one file
                     table = files.option("pathGlobFilter", f"{name}.parquet").parquet(self.sf_dir)

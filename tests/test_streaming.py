@@ -110,3 +110,26 @@ def test_freshness_after_each_batch(spark, tmp_path):
     S.freshness_stream(stream, lambda: "2024-01-01 02:10:00", str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     judged = spark.read.parquet(str(tmp_path / "out")).filter(F.col("signal_type") == "classifier").orderBy("batch_id").collect()
     assert [r.is_fresh for r in judged] == [False, False, True]
+
+
+def test_queries_keep_old_rows_of_late_files(spark, tmp_path):
+    """A table of 1,001 files, the newest rows first and the oldest day in the last file."""
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from sigmart.plans.queries import QUERIES
+
+    schema = pq.read_schema("/root/testdata/sf0.001/events.parquet")
+    folder = tmp_path / "events.parquet"
+    folder.mkdir()
+    for n in range(1001):
+        ts = START + dt.timedelta(days=90) if n < 1000 else START
+        pair = [{"event_id": 2 * n + k, "user_id": n, "event_type": kind, "ts": ts, "props": "{}"} for k, kind in enumerate(("click", "error"))]
+        pq.write_table(pa.Table.from_pylist([{name: row.get(name) for name in schema.names} for row in pair], schema), folder / f"{n:04}.parquet")
+        os.utime(folder / f"{n:04}.parquet", (1_700_000_000 + n, 1_700_000_000 + n))
+    unique = QUERIES["stream_unique_signals"](spark, str(tmp_path))
+    assert unique.count() == 1001 and unique.where("signal_id = 'sig-2000'").count() == 1
+    pairs = QUERIES["stream_enriched_pairs"](spark, str(tmp_path))
+    assert pairs.count() == 1001 and pairs.where("signal_id = 'sig-2000' AND action_id = 'act-2001'").count() == 1
