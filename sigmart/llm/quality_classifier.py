@@ -8,14 +8,16 @@ the folds calibrate; the others fit.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from operator import eq
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sigmart.llm.calibration import Isotonic, fit_isotonic
-from sigmart.llm.common import held_out, materialize, sum_blobs
+from sigmart.llm.common import broadcast_ids, held_out, materialize, sum_blobs
 
 STATISTICS = ["words", "characters_per_word", "upper", "digits", "marks", "symbols", "stops", "distinct_words",
               "distinct_pairs", "echoes", "bare", "lines", "words_per_line", "distinct_lines", "non_ascii", "longest_word"]
@@ -170,11 +172,22 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return with_raw(featured, model, "score").select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score")
 
 
+def score_of(text: Column, model: QualityModel) -> Column:
+    """The score of a text. Only the text travels to Python and only the score comes back."""
+
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            rows = np.array([statistics(text) for text in texts.to_pylist()], dtype=np.float64)
+            yield pa.array(model.score(rows.reshape(-1, len(STATISTICS))), type=pa.float64())
+
+    return score(text.cast("binary"))
+
+
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
-    """The rows of ``docs``, all columns, whose score reaches the threshold."""
-    columns = docs.columns
-    model = fit(materialize(with_statistics(docs, ["doc_id"]), "features"), labels)
-    renamed = docs.toDF(*(f"c{place}" for place in range(len(columns))))
-    text = f"c{[name.lower() for name in columns].index('text')}"
-    scored = with_raw(with_statistics(renamed.withColumn("text", F.col(text)), renamed.columns), model, "score")
-    return scored.where(F.col("score") >= threshold).drop("score").toDF(*columns)
+    """The rows of ``docs``, all columns, whose score reaches the threshold. Learns from labelled documents alone."""
+    known = materialize(labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").where(~held_out(F.col("doc_id"))).select(
+        F.col("doc_id").cast("long").alias("doc_id")).distinct(), "known")
+    labelled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(broadcast_ids(known), "doc_id", "left_semi")
+    model = fit(with_statistics(labelled, ["doc_id"]), labels)
+    return docs.where(score_of(F.col("text"), model) >= threshold)
