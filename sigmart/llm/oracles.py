@@ -99,9 +99,58 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS BIGIN
   coalesce(h.n, 0) > 0 AND 20 * coalesce(h.n, 0) >= len(w) AS contaminated
 FROM docs LEFT JOIN hits h USING (r) LEFT JOIN named m USING (r)"""
 
+def _encoded(value: str) -> str:
+    return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+
+_LEAF = " || ".join(_encoded(value) for value in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)"))
+# CRC-32 bit by bit: eight steps for each digit of the id.
+_CRC = ("xor(4294967295, list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)), lambda c, b:"
+        " list_reduce([CAST(i AS BIGINT) FOR i IN range(8)], lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)), CAST(4294967295 AS BIGINT)))")
+_STEPS = "coalesce(string_agg(s.d, '' ORDER BY s.pos) FILTER (s.pos {} o.pos // CAST(pow(3, s.level) AS BIGINT)), '')"
+_SIBLINGS = "s.n > 1 AND s.pos // 3 = o.pos // CAST(pow(3, s.level + 1) AS BIGINT)"
+_MERKLE = f"""
+WITH RECURSIVE hashed AS (SELECT row_number() OVER () AS r, doc_id, source, sha256({_LEAF} || {_encoded("text")}) AS leaf,
+    CASE WHEN {_CRC} % 2 = 0 THEN sha256({_LEAF} || {_encoded("replace(text, chr(10), '')")}) END AS changed FROM documents),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS pos,
+    count(*) OVER (PARTITION BY source) AS n FROM hashed),
+nodes AS (SELECT 0 AS level, source, pos, n, leaf AS d FROM leaves
+  UNION ALL SELECT level + 1, source, pos // 3, any_value((n + 2) // 3), sha256(string_agg(d, '' ORDER BY pos))
+    FROM nodes WHERE n > 1 GROUP BY level, source, pos // 3),
+subroots AS (SELECT source, d, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+above AS (SELECT 0 AS level, pos, n, d FROM subroots
+  UNION ALL SELECT level + 1, pos // 3, any_value((n + 2) // 3), sha256(string_agg(d, '' ORDER BY pos))
+    FROM above WHERE n > 1 GROUP BY level, pos // 3),
+steps AS (SELECT o.r, s.level, {_STEPS.format("<")} AS l, {_STEPS.format(">")} AS g
+    FROM leaves o JOIN nodes s ON o.source IS NOT DISTINCT FROM s.source AND {_SIBLINGS} GROUP BY o.r, s.level
+  UNION ALL SELECT f.r, 1000 + s.level, {_STEPS.format("<")}, {_STEPS.format(">")}
+    FROM leaves f JOIN subroots o ON f.source IS NOT DISTINCT FROM o.source JOIN above s ON {_SIBLINGS} GROUP BY f.r, s.level),
+ways AS (SELECT r, list(l || '|' || g ORDER BY level) AS way, string_agg(l || g, '' ORDER BY level) AS proof FROM steps GROUP BY r),
+judged AS (SELECT f.doc_id, f.leaf, s.d AS subroot, a.d AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+    list_reduce(coalesce(way, []), lambda d, x: sha256(split_part(x, '|', 1) || d || split_part(x, '|', 2)), coalesce(changed, leaf)) AS folded_root
+  FROM leaves f JOIN subroots s ON f.source IS NOT DISTINCT FROM s.source JOIN (SELECT d FROM above WHERE n = 1) a ON true
+  LEFT JOIN ways w ON w.r = f.r)
+SELECT *, folded_root = root AS verified FROM judged"""
+
+_UNIT = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+"
+_MIDDLE = rf"""
+WITH drawn AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_UNIT}') AS u,
+    [CAST('0x' || sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), ''))[8 * i + 1:8 * i + 8] AS BIGINT) FOR i IN range(4)] AS h FROM documents),
+cut AS (SELECT *, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 50
+      THEN 'plain' WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form,
+    least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS a, greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS b FROM drawn),
+parts AS (SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:], '') AS suffix FROM cut)
+SELECT doc_id, CAST(len(u) AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
+FROM parts"""
+
 ORACLES: dict[str, str] = {
     "op1_quality_rules": _quality_rules(),
     "op3_chat_formatting": _CHAT.strip(),
     "op6_source_mixture": _MIXTURE.strip(),
     "op8_benchmark_decontamination": _BENCHMARK.strip(),
+    "op11_merkle_manifest": _MERKLE.strip(),
+    "op12_fill_in_middle": _MIDDLE.strip(),
 }

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigmart.llm import (chat_format, decontaminate, line_dedup, mixing, near_dedup, quality_classifier, quality_rules,
-                         secret_scan, token_counts, toxicity)
+from sigmart.llm import (chat_format, decontaminate, fill_in_middle, line_dedup, merkle, mixing, near_dedup, pii,
+                         quality_classifier, quality_rules, secret_scan, token_counts, toxicity)
 from sigmart.llm.common import materialize, table
 
 
@@ -69,8 +69,27 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.withColumn("predicted", F.expr("int(score >= 0.3)"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents")).drop("steps")
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.transformed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rebuilt = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(rebuilt, 256).alias("restored_sha256"))
+
+
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.findings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", *(pii.count_of("findings", kind).alias(f"n_{kind}") for kind in pii.KINDS),
+        F.sha2(pii.spans("findings", base=True), 256).alias("base_sha256"), pii.spans("findings").alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_quality_rules, op2_quality_classifier, op3_chat_formatting, op4_line_dedup, op5_token_counts,
-        op6_source_mixture, op7_secret_scan, op8_benchmark_decontamination, op9_near_duplicates, op10_toxicity)
+        op6_source_mixture, op7_secret_scan, op8_benchmark_decontamination, op9_near_duplicates, op10_toxicity,
+        op11_merkle_manifest, op12_fill_in_middle, op13_personal_data)
 }
