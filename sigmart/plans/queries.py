@@ -29,6 +29,7 @@ from sigmart.session import materialize, shared_dir
 from sigmart.sources.readers import parse_dead_letter_lines, read_dead_letters, read_documents, read_vectors, spread
 from sigmart.sources.writers import write_dead_letters, write_dim, write_envelopes, write_eval_set, write_fact
 from sigmart.streaming import jobs as S
+from sigmart.streaming import late as L
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -642,9 +643,12 @@ def keyword_retrieval_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Each job runs to the end of its input, into the shared folder, and the query reads its sink.
 
 
-def _streamed(spark: SparkSession, sf_dir: str) -> tuple[Supplied, str]:
+BATCHES = 3  # of streams whose newest rows come first
+
+
+def _streamed(spark: SparkSession, sf_dir: str, batches: int = 1) -> tuple[Supplied, str]:
     """The supplied tables as streams, and a new folder for the job's sinks and checkpoint."""
-    return Supplied(spark, sf_dir, stream=True), shared_dir(spark, "stream")
+    return Supplied(spark, sf_dir, stream=True, batches=batches), shared_dir(spark, "stream")
 
 
 def _save(path: str):
@@ -723,6 +727,50 @@ def stream_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out").drop("entities")
 
 
+@query
+def stream_enriched_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The interval join over batches in reverse time order, unmatched signals included."""
+    data, root = _streamed(spark, sf_dir, BATCHES)
+    job = L.EnrichJob(
+        stg.stg_signals(data.raw("raw_classifier_outputs")), stg.stg_enforcement(data.raw("raw_enforcement_logs")), root)
+    job.start(f"{root}/cp").awaitTermination()
+    return job.result(closed=True).select("signal_id", "action_id", "signal_timestamp", "action_timestamp", "was_enforced")
+
+
+@query
+def stream_unique_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every signal delivered twice, in batches in reverse time order, and kept once."""
+    data, root = _streamed(spark, sf_dir, BATCHES)
+    staged = stg.stg_signals(data.raw("raw_classifier_outputs"))
+    job = L.UniqueJob(staged.union(staged), root)
+    job.start(f"{root}/cp").awaitTermination()
+    return job.result().select("signal_id", "entity_id", "signal_timestamp")
+
+
+@query
+def stream_volume_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signals and distinct entities of every type by hour, over batches in reverse time order."""
+    data, root = _streamed(spark, sf_dir, BATCHES)
+    job = L.VolumeJob(_all_streamed(data), root)
+    job.start(f"{root}/cp").awaitTermination()
+    return job.result(closed=True)
+
+
+@query
+def stream_fact_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact after several batches in reverse time order: later ones merge into what earlier ones wrote."""
+    data, root = _streamed(spark, sf_dir, BATCHES)
+    static = Supplied(spark, sf_dir)
+    S.fact_stream(
+        stg.stg_signals(data.raw("raw_classifier_outputs")),
+        lambda: stg.stg_enforcement(static.raw("raw_enforcement_logs")),
+        f"{root}/fact", f"{root}/staging", f"{root}/cp",
+        arriving_actions=stg.stg_enforcement(data.raw("raw_enforcement_logs")),
+        all_signals=lambda: stg.stg_signals(static.raw("raw_classifier_outputs")),
+    ).awaitTermination()
+    return spark.read.parquet(f"{root}/fact").drop("signal_day")
+
+
 @query
 def stream_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     data, root = _streamed(spark, sf_dir)

@@ -6,10 +6,12 @@ The texts run unchanged in Spark and in the SQL engine used as the oracle, apart
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sigmart.plans.supplied_json import JSON_VIEWS
-from sigmart.session import prepare
+from sigmart.session import prepare, shared_dir
+
+TIME_COLUMN = {"events": "ts", "conversations": "conv_id"}  # what gives a table's rows their place in time
 
 SPARK_TOKENS = {"ts": "TIMESTAMP_NTZ", "sha256": "sha2(text, 256)", "text_type": "STRING"}
 ORACLE_TOKENS = {"ts": "TIMESTAMP", "sha256": "sha256(text)", "text_type": "VARCHAR"}
@@ -105,19 +107,22 @@ class Supplied:
     """Relations over one folder of supplied tables, read as batch or as streams. Everything is lazy.
 
     The tables are bounded and their files in no order of time, so a stream takes all files in one batch: between
-    batches the watermark would move on and drop the older rows of later files.
+    batches the watermark would move on and drop the older rows of later files. With ``batches``, a table is dealt by time
+    first, and streamed in so many batches, the newest rows in the first one.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, stream: bool = False) -> None:
+    def __init__(self, spark: SparkSession, sf_dir: str, stream: bool = False, batches: int = 1) -> None:
         self.spark = prepare(spark)
-        self.stream = stream
+        self.stream, self.batches = stream, batches
         self.sf_dir = sf_dir.rstrip("/")
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             table = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-            if self.stream:
+            if self.stream and self.batches > 1:
+                table = self._newest_first(name, table)
+            elif self.stream:
                 files = self.spark.readStream.schema(table.schema)
                 path = f"{self.sf_dir}/{name}.parquet"
                 if any(file.endswith(f"/{name}.parquet") for file in table.inputFiles()):  # a table of one file
@@ -127,6 +132,20 @@ class Supplied:
             self._tables[name] = table
         return self._tables[name]
 
+    def _newest_first(self, name: str, table: DataFrame) -> DataFrame:
+        column = F.col(TIME_COLUMN[name])
+        at = F.unix_micros(column.cast("timestamp")) if name == "events" else column
+        ends = table.agg(F.min(at).alias("low"), F.max(at).alias("high")).first()
+        low, span = ends.low or 0, (ends.high or 0) - (ends.low or 0) + 1
+        path = shared_dir(self.spark, name)
+        for part in reversed(range(self.batches)):  # files are streamed in the order they were written
+            begin, stop = low + span * part // self.batches, low + span * (part + 1) // self.batches
+            inside = (at >= begin) & (at < stop)
+            table.filter(inside if part else inside | column.isNull()).write.mode("append").parquet(path)
+        files = len(self.spark.read.schema(table.schema).parquet(path).inputFiles())
+        return self.spark.readStream.schema(table.schema).option(
+            "maxFilesPerTrigger", max(1, -(-files // self.batches))).parquet(path)
+
     def view(self, text: str) -> DataFrame:
         """A view text over the supplied tables; the tables bind as DataFrames, not as global names."""
         sql = spark_text(text).replace("{", "{{").replace("}", "}}")
