@@ -15,12 +15,17 @@ depend on their own lines alone, and those inside a passage cover it. Windows ar
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sigmart.llm.common import BROADCAST_BYTES, SPACE, broadcast_ids, materialize
 
 PASSAGE_WORDS = 50  # passages of more words are removed wherever they stand
+DOCUMENT = ["doc_id", "version"]  # places in a text belong to the text, not to whatever else has its id
+
+
+def version_of(text: Column) -> Column:
+    return F.xxhash64(text)
 
 
 def chunked(docs: DataFrame) -> DataFrame:
@@ -47,7 +52,7 @@ def _text_of(lines: str, start, stop):
 
 
 def windows(docs: DataFrame, digests: bool) -> DataFrame:
-    """doc_id, start, stop and hash (and digest) of the shortest windows of more than ``PASSAGE_WORDS`` words.
+    """DOCUMENT, start, stop and hash (and digest) of the shortest windows of more than ``PASSAGE_WORDS`` words.
 
     Lines without words neither open nor close a window, but count for its content.
     """
@@ -85,57 +90,64 @@ def windows(docs: DataFrame, digests: bool) -> DataFrame:
     digest = lambda x: [F.unhex(F.sha2(F.array_join(cut("lines", x), "\n"), 256)).alias("digest")] if digests else []
     found = F.transform("spans", lambda x: F.struct(
         x["start"].alias("start"), x["stop"].alias("stop"), F.xxhash64(cut("hashes", x)).alias("hash"), *digest(x)))
-    return current.select("doc_id", F.explode_outer(found).alias("w")).where("w IS NOT NULL").select("doc_id", "w.*")
+    return current.select(*DOCUMENT, F.explode_outer(found).alias("w")).where("w IS NOT NULL").select(*DOCUMENT, "w.*")
 
 
 def passages(docs: DataFrame) -> DataFrame:
-    """doc_id and chunk (start, stop) of every window that stands earlier, by document and place. May overlap."""
+    """DOCUMENT and chunk (start, stop) of every window that stands earlier, by document and place. May overlap."""
     again = materialize(windows(docs, False).groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "window-hashes")
     suspects = materialize(windows(docs, True).join(broadcast_ids(again), "hash", "left_semi"), "windows")
-    known = suspects.groupBy("digest").agg(F.min(F.struct("doc_id", "start", "stop")).alias("first"))
+    # Written first, so that a digest with many windows can be split when they are joined with it.
+    known = materialize(suspects.groupBy("digest").agg(F.min(F.struct(*DOCUMENT, "start", "stop")).alias("first")), "first-windows")
     # A window that overlaps the first one of its kind in the same text is part of that occurrence.
-    later = suspects.join(known, "digest").where("doc_id != first.doc_id OR start > first.stop")
-    return later.select("doc_id", F.struct("start", "stop").alias("chunk"))
+    later = suspects.join(broadcast_ids(known, row_bytes=96), "digest").where(
+        "doc_id != first.doc_id OR version != first.version OR start > first.stop")
+    return later.select(*DOCUMENT, F.struct("start", "stop").alias("chunk"))
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """(doc_id, what to remove): arrays of (start, stop), for documents that have any. Materialised."""
+    """(DOCUMENT, what to remove): arrays of (start, stop), for documents that have any. Materialised."""
+    docs = docs.select("doc_id", "text", version_of(F.col("text")).alias("version"))
     # The outer form, because the optimiser would check the inner one's array beforehand and cut every text many times.
-    pieces = chunked(docs.select("doc_id", "text")).select("doc_id", "lines", F.explode_outer("chunks").alias("chunk")).where(
+    pieces = chunked(docs).select(*DOCUMENT, "lines", F.explode_outer("chunks").alias("chunk")).where(
         "chunk IS NOT NULL").select(
-        "doc_id", "chunk", _text_of("lines", F.col("chunk.start"), F.col("chunk.stop")).alias("content")).where(
+        *DOCUMENT, "chunk", _text_of("lines", F.col("chunk.start"), F.col("chunk.stop")).alias("content")).where(
         F.col("content").rlike(r"[^\x20\x09-\x0D]")).withColumn("hash", F.xxhash64("content"))
     # Hashes first: most chunks occur once, and their text never leaves the scan.
     again = materialize(pieces.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "hashes")
     suspects = materialize(pieces.join(broadcast_ids(again), "hash", "left_semi"), "suspects")
     # Bytes: the text itself is part of the key, so chunks that only share a hash stay apart.
-    known = suspects.groupBy("hash", "content").agg(F.min("doc_id").alias("owner"))
+    known = materialize(suspects.groupBy("hash", "content").agg(F.min(F.struct(*DOCUMENT)).alias("owner")), "owners")
+    size = known.agg(F.count("*").alias("rows"), F.sum(F.octet_length("content")).alias("bytes")).first()
+    known = F.broadcast(known) if 64 * size.rows + (size.bytes or 0) <= BROADCAST_BYTES else known
+    own = F.struct(*DOCUMENT) == F.col("owner")
     marked = suspects.join(known, ["hash", "content"]).select(
-        "doc_id", "chunk", "hash", (F.col("doc_id") == F.col("owner")).alias("own"), F.xxhash64("content", F.lit(1)).alias("second"))
+        *DOCUMENT, "chunk", "hash", own.alias("own"), F.xxhash64("content", F.lit(1)).alias("second"))
     # Within the owner the first of equal chunks stays; a chunk's place in its own document bounds this group.
-    first = marked.where("own").groupBy("doc_id", "hash", "second").agg(F.min("chunk").alias("chunk")).select(
-        "doc_id", "chunk", F.lit(True).alias("stays"))
-    removed = marked.select("doc_id", "chunk", "own").join(first, ["doc_id", "chunk"], "left").where("stays IS NULL")
-    removed = removed.select("doc_id", "chunk").unionByName(passages(docs))
-    return materialize(removed.groupBy("doc_id").agg(F.collect_set("chunk").alias("removed")), "removed")
+    first = marked.where("own").groupBy(*DOCUMENT, "hash", "second").agg(F.min("chunk").alias("chunk")).select(
+        *DOCUMENT, "chunk", F.lit(True).alias("stays"))
+    removed = marked.select(*DOCUMENT, "chunk", "own").join(first, [*DOCUMENT, "chunk"], "left").where("stays IS NULL")
+    removed = removed.select(*DOCUMENT, "chunk").unionByName(passages(docs))
+    return materialize(removed.groupBy(*DOCUMENT).agg(F.collect_set("chunk").alias("removed")), "removed")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs``, all columns, with text free of repeated chunks and passages, and n_lines, n_removed_lines, removed (their places).
 
     Null texts stay null, and a text may become empty. Rows with a null doc_id keep their text whole and are nobody's
-    first. Rows that repeat a doc_id count as one document and are cut alike. An n_chars column is counted anew; columns called
+    first. Rows that repeat a doc_id and its text count as one document and are cut alike; those that repeat the id alone are
+    documents of their own, in the order of a hash of the text. An n_chars column is counted anew; columns called
     n_lines, n_removed_lines or removed are replaced.
     """
     keep = [name for name in docs.columns if name.lower() not in ("n_lines", "n_removed_lines", "removed")]
     # Columns of the caller travel as one, so that no name clashes.
     others = [F.col(f"`{name}`") for name in keep if name.lower() not in ("doc_id", "text")]
-    plain = docs.select(F.struct(F.lit(0).alias("0"), *others).alias("row"), "doc_id", "text")
+    plain = docs.select(F.struct(F.lit(0).alias("0"), *others).alias("row"), "doc_id", "text", version_of(F.col("text")).alias("version"))
     cuts = repeated(docs.select("doc_id", "text").where("doc_id IS NOT NULL"))
     size = cuts.agg(F.count("*").alias("rows"), F.sum(F.size("removed")).alias("chunks")).first()
     # Small lists go to the texts; large ones meet them by id, which moves every text once.
-    cuts = F.broadcast(cuts) if 64 * size.rows + 24 * (size.chunks or 0) <= BROADCAST_BYTES else cuts
-    joined = plain.join(cuts, "doc_id", "left")
+    cuts = F.broadcast(cuts) if 72 * size.rows + 24 * (size.chunks or 0) <= BROADCAST_BYTES else cuts
+    joined = plain.join(cuts, DOCUMENT, "left")
     lines = F.split(F.col("text"), "\n")
     gone = F.array_distinct(F.flatten(F.transform("removed", lambda chunk: F.sequence(chunk["start"], chunk["stop"]))))
     joined = joined.withColumn("gone", F.when(F.col("removed").isNotNull(), gone))

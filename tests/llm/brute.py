@@ -103,6 +103,22 @@ def targets(sizes, share=1.5, weights=(3, 1, 2), most=2):
     return fixed
 
 
+def line_runs(lines, most=50):
+    """Every run of whole lines that has more words than ``most`` and none to spare at one end, blank lines left aside."""
+    counts = [len(words(line)) for line in lines]
+    full = [i for i, n in enumerate(counts) if n]
+    runs = set()
+    for places, step in ((full, 1), (full[::-1], -1)):
+        for k, i in enumerate(places):
+            total = 0
+            for j in places[k:]:
+                total += counts[j]
+                if total > most:
+                    runs.add((i, j)[::step])
+                    break
+    return runs
+
+
 def without_repeats(rows, rolling):
     """rows: (doc_id, text), ids distinct. ``rolling(line before or None, line)``: the rolling hash at a line."""
     pieces, seen = {}, {}
@@ -117,9 +133,17 @@ def without_repeats(rows, rolling):
         pieces[doc_id] = (lines, found)
         for _, _, content in found:
             seen[content] = seen.get(content, doc_id)
-    out = {}
+    out, first = {}, {}
+    runs = {doc_id: line_runs(lines) for doc_id, (lines, _) in pieces.items()}
+    for doc_id, (lines, _) in pieces.items():
+        for start, stop in sorted(runs[doc_id]):
+            first.setdefault("\n".join(lines[start:stop + 1]), (doc_id, stop))
     for doc_id, (lines, found) in pieces.items():
         gone, own = set(), set()
+        for start, stop in runs[doc_id]:
+            owner, end = first["\n".join(lines[start:stop + 1])]
+            if owner != doc_id or start > end:
+                gone.update(range(start, stop + 1))
         for start, stop, content in found:
             if seen[content] != doc_id or content in own:
                 gone.update(range(start, stop + 1))

@@ -277,3 +277,11 @@ def test_benchmark_spans_go_from_clean_documents(spark, tmp_path):
     assert set(got) == {1, 2, 4, 5}, "a contaminated document goes"
     assert got[1].text == f"{own[0]}, . {own[1]}\n! {own[2]}" and got[1].n_chars == len(got[1].text)
     assert (got[2].text, got[2].n_chars) == (own[0], 7) and got[4].text is None and got[5].text == ""
+
+
+def test_rows_of_one_id_are_cut_by_their_own_text(spark):
+    a = "\n".join(f"line {i} of the first text with a few more words in it" for i in range(12))
+    b = "\n".join(f"line {i} of the second text that stands nowhere else at all" for i in range(12))
+    rows = spark.createDataFrame([(1, a), (2, a), (2, b), (2, b)], "doc_id long, text string")
+    got = multiset(line_dedup.without_repeats(rows), "doc_id", "text", "n_removed_lines")
+    assert got == sorted([(1, a, 0), (2, "", 12), (2, b, 0), (2, b, 0)], key=repr)
