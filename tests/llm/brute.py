@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -150,3 +151,82 @@ def without_repeats(rows, rolling):
             own.add(content)
         out[doc_id] = ("\n".join(line for i, line in enumerate(lines) if i not in gone), len(gone))
     return out
+
+
+def sha(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def merkle(rows):
+    """rows: (doc_id, source, lang, n_chars, text). Rows of (doc_id, leaf, subroot, root, proof, folded root, verified)."""
+
+    def leaf(row):
+        return sha(*("-" if value is None else f"{len(str(value).encode())}:{value}" for value in row))
+
+    def climb(digests):
+        """The root, and for every digest the (left, right) siblings on its way up."""
+        ways, places, level = [[] for _ in digests], list(range(len(digests))), list(digests)
+        while len(level) > 1:
+            for way, place in zip(ways, places):
+                begin = place // 3 * 3
+                way.append(("".join(level[begin:place]), "".join(level[place + 1:begin + 3])))
+            level = [sha(*level[i:i + 3]) for i in range(0, len(level), 3)]
+            places = [place // 3 for place in places]
+        return level[0], ways
+
+    sources = {}
+    for row in rows:
+        sources.setdefault(row[1], []).append(row)
+    order = sorted(sources, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {}
+    for source in order:
+        members = sorted(sources[source], key=lambda row: (row[0] is not None, row[0] or 0, leaf(row)))
+        trees[source] = members, *climb([leaf(row) for row in members])
+    root, above = climb([trees[source][1] for source in order]) if order else (None, [])
+    out = []
+    for source, last in zip(order, above):
+        members, subroot, ways = trees[source]
+        for row, way in zip(members, ways):
+            current = leaf(row)
+            if row[0] is not None and zlib.crc32(str(row[0]).encode()) % 2 == 0 and row[4] is not None:
+                current = leaf((*row[:4], row[4].replace("\n", "")))
+            for left, right in way + last:
+                current = sha(left, current, right)
+            proof = sha(*(left + right for left, right in way + last))
+            out.append((row[0], leaf(row), subroot, root, proof, current, current == root))
+    return out
+
+
+UNIT = re.compile("[\x20\x09-\x0d]*[^\x20\x09-\x0d]+|[\x20\x09-\x0d]+")
+
+
+def middle(doc_id, text, seed=42):
+    """n, form, prefix_chars, middle_chars, output."""
+    text = text or ""
+    units = UNIT.findall(text)
+    digest = sha(f"{seed}:{'' if doc_id is None else doc_id}")
+    draw = [int(digest[8 * i:8 * i + 8], 16) for i in range(4)]
+    if not text or any(mark in text for mark in ("<P>", "<S>", "<M>")) or draw[2] % 100 >= 50:
+        return len(units), "plain", None, None, text
+    a, b = sorted(h % (len(units) + 1) for h in draw[:2])
+    prefix, inner, suffix = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if draw[3] % 100 < 80:
+        return len(units), "spm", len(prefix), len(inner), f"<S>{suffix}<P>{prefix}<M>{inner}"
+    return len(units), "psm", len(prefix), len(inner), f"<P>{prefix}<S>{suffix}<M>{inner}"
+
+
+def personal(text):
+    """The base spans: (kind, start, stop), in order."""
+    text = text or ""
+    digits = lambda s: [int(c) for c in s if c in "0123456789"]
+
+    def luhn(ds):
+        return sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(reversed(ds))) % 10 == 0
+
+    spans = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    spans += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text)
+              if all(int(part) <= 255 for part in m[0].split("."))]
+    spans += [("card", *m.span()) for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text)
+              if 12 <= len(digits(m[0])) <= 19 and luhn(digits(m[0]))]
+    spans += [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 9 <= len(digits(m[0])) <= 15]
+    return sorted(spans, key=lambda s: (s[1], ["email", "ip", "card", "phone"].index(s[0])))

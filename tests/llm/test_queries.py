@@ -25,7 +25,7 @@ def result(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
@@ -121,6 +121,37 @@ def test_chat_formatting(spark):
     assert {(r.conv_id, r.perspective): (r.text, r.mask, r.n_turns) for r in got.itertuples()} == want
 
 
+def test_merkle_manifest(spark, docs):
+    columns = ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+    got = result(spark, "op11_merkle_manifest")
+    rows = zip(docs.doc_id, docs.source, docs.lang, docs.n_chars, docs.text)
+    assert sorted(got[columns].itertuples(index=False, name=None)) == sorted(brute.merkle(rows))
+    assert 0 < got.verified.sum() < len(got)
+
+
+def test_fill_in_middle(spark, docs):
+    forms = set()
+    for row in result(spark, "op12_fill_in_middle").itertuples():
+        text = docs.text[docs.doc_id == row.doc_id].iloc[0]
+        n, form, prefix, inner, output = brute.middle(row.doc_id, text)
+        assert (row.n, row.form, row.output_sha256, row.restored_sha256) == (n, form, brute.sha(output), brute.sha(text))
+        assert (prefix is None and pd.isna(row.prefix_chars)) or (row.prefix_chars, row.middle_chars) == (prefix, inner)
+        forms.add(form)
+    assert forms == {"plain", "psm", "spm"}
+
+
+def test_personal_data(spark, docs):
+    some = 0
+    for row in result(spark, "op13_personal_data").itertuples():
+        base = brute.personal(docs.text[docs.doc_id == row.doc_id].iloc[0])
+        joined = [f"{kind}:{start}:{stop}" for kind, start, stop in base]
+        assert row.base_sha256 == brute.sha(",".join(joined))
+        assert [row.n_email, row.n_ip, row.n_card, row.n_phone] == [sum(k == kind for k, _, _ in base) for kind in ("email", "ip", "card", "phone")]
+        assert set(joined) <= set(row.spans.split(","))
+        some += bool(base)
+    assert some > 5
+
+
 def test_pipeline(spark, docs):
     import corpus_pipeline
 
