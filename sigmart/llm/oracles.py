@@ -57,6 +57,16 @@ SELECT conv_id, perspective, CAST(part AS BIGINT) AS part, count(*) AS n_turns,
     ORDER BY turn NULLS FIRST, role, text) FILTER (own), '') AS mask
 FROM placed GROUP BY ALL"""
 
+
+
+def _tree(levels: int = 4) -> str:
+    """Each level: half of a node's blocks, first in the order of a digest, goes left."""
+    return "\n".join(f"""tree{n + 1} AS (SELECT source, block, 2 * node + CASE WHEN 2 * row_number() OVER (PARTITION BY node ORDER BY digest, source, block)
+    > count(*) OVER (PARTITION BY node) + node % 2 THEN 1 ELSE 0 END AS node
+  FROM (SELECT *, md5('{n}|' || (source IS NULL) || '|' || coalesce(source, '') || '|' || block) AS digest FROM tree{n})),"""
+                     for n in range(levels))
+
+
 _MIXTURE = rf"""
 WITH sized AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{_SPACE}')) AS BIGINT) AS size,
     substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS hash FROM documents),
@@ -72,12 +82,19 @@ targets AS (SELECT source, source_size, least(CAST(bound AS DOUBLE), weight *
     (SELECT min_by(level, ratio) FROM levels WHERE level <= ratio)) AS target FROM levels),
 placed AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY hash, doc_id, size
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM sized),
-passed AS (SELECT p.doc_id, p.size, p.start, t.source_size, t.target,
+passed AS (SELECT p.doc_id, p.source, p.size, p.start, t.source_size, t.target,
     CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS passes
-  FROM placed p JOIN targets t ON p.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target, CAST(size * (passes + CASE WHEN target - passes * source_size > 0
-    AND 2 * start + size <= 2 * (target - passes * source_size) THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM passed"""
+  FROM placed p JOIN targets t ON p.source IS NOT DISTINCT FROM t.source),
+taken AS (SELECT *, CAST(passes + CASE WHEN target - passes * source_size > 0
+    AND 2 * start + size <= 2 * (target - passes * source_size) THEN 1 ELSE 0 END AS BIGINT) AS copies FROM passed),
+blocks AS (SELECT greatest(1, CAST(ceil(1.5 * sum(source_size) / 1024) AS BIGINT)) AS words FROM sources),
+tree0 AS (SELECT source, unnest(range(0, CAST(floor(target / words) AS BIGINT) + 1)) AS block, 0 AS node FROM targets, blocks),
+{{levels}}
+draws AS (SELECT r, string_agg(CAST(t.node AS VARCHAR), ',' ORDER BY copy) AS shards
+  FROM (SELECT row_number() OVER () AS r, * FROM taken) d, blocks, unnest(range(0, copies)) AS c(copy)
+  JOIN tree4 t ON t.source IS NOT DISTINCT FROM d.source AND t.block = (copy * source_size + start) // words GROUP BY r)
+SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken, coalesce(shards, '') AS shards
+FROM (SELECT row_number() OVER () AS r, * FROM taken) LEFT JOIN draws USING (r)""".replace("{levels}", _tree())
 
 _ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -41,8 +41,9 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = materialize(mixing.sized(table(spark, sf_dir, "documents")).select("doc_id", "source", "size"), "sizes")
+    shards = F.array_join(F.transform("draws", lambda draw: draw["shard"].cast("string")), ",")
     return mixing.mix(sizes).select("doc_id", "size", "source_size", "target",
-                                    (F.col("size") * F.size("draws")).alias("taken"))
+                                    (F.col("size") * F.size("draws")).alias("taken"), shards.alias("shards"))
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
