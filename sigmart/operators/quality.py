@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from sigmart.functions.time import day_of
 from sigmart.operators.marts import count_where
+from sigmart.operators.validate import contract
 from sigmart.schemas import ACTION_TYPES, SIGNAL_TYPES
 
 SUITE = "signals"
@@ -154,6 +155,38 @@ def schema_guard(df: DataFrame, expected: T.StructType) -> DataFrame:
     return df
 
 
+# JSON types by the first letters of their variant type's name, and what the contract's fields hold where it is not text.
+JSON_TYPES = {"ST": "text", "BI": "integer", "DE": "number", "DO": "number", "FL": "number", "BO": "flag", "OB": "object", "AR": "list"}
+USUAL_TYPES = {"score": ["number", "integer"], "threshold": ["number", "integer"], "is_positive": ["flag"], "metadata": ["object"],
+               "safety_labels": ["object"], "latency_ms": ["integer"]}
+
+
+def field_drift(records: DataFrame, kind: str, raw: str = "raw") -> DataFrame:
+    """How the JSON objects among raw records differ from the contract: one row for each field and type found.
+
+    ``signal_type``, ``field``, ``found`` (JSON type, or nothing), ``records`` and ``change``: added for a field the
+    contract does not know, retyped for a type that is not the field's usual one, missing for a required field that is
+    left out. Texts that are no object are none of this check's business. Counts combine before the shuffle.
+    """
+    fields = contract(kind).fields
+    entries = F.from_json(F.col(raw), "map<string, variant>")
+    objects = records.select(entries.alias("_entries")).filter(F.col("_entries").isNotNull())
+    prefix = F.expr("left(schema_of_variant(value), 2)")
+    found = F.coalesce(*(F.when(prefix == start, name) for start, name in JSON_TYPES.items()), F.lit("null"))
+    required = [field.name for field in fields if field.required]
+    # One more entry per record and required field that it leaves out.
+    missing = F.filter(F.array(*map(F.lit, required)), lambda name: ~F.map_contains_key("_entries", name))
+    present = objects.select(F.explode("_entries").alias("field", "value")).select("field", found.alias("found"))
+    absent = objects.select(F.explode(missing).alias("field")).withColumn("found", F.lit("nothing"))
+    usual = F.coalesce(*(F.when(F.col("field") == name, F.array(*map(F.lit, types))) for name, types in USUAL_TYPES.items()),
+                       F.array(F.lit("text")))
+    change = F.when(F.col("found") == "nothing", "missing").when(~F.col("field").isin([field.name for field in fields]), "added").when(
+        ~F.array_contains(usual, F.col("found")), "retyped")
+    counts = present.unionAll(absent).groupBy("field", "found").agg(F.count(F.lit(1)).alias("records"))
+    return counts.select(F.lit(kind).alias("signal_type"), "field", "found", "records", change.alias("change")).filter(
+        F.col("change").isNotNull())
+
+
 def table_checks(df: DataFrame, table: str) -> DataFrame:
     """All declared checks of one mart table."""
     rows = column_checks(df, table, NOT_NULL.get(table), ACCEPTED.get(table), RANGES.get(table))

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from sigmart.operators import staging
 from sigmart.operators.enrich import enrich_signals
-from sigmart.operators.incremental import changed_signals, upsert_fact
+from sigmart.operators.incremental import load_changes, stage_by_day, write_key_index
 from sigmart.operators.marts import dim_actions, dim_entities, dim_models, fct_signals
 from sigmart.operators.observability import freshness
 from sigmart.operators.quality import alerts, run_checkpoint, signals_suite
@@ -20,7 +22,10 @@ from sigmart.sources.writers import path_exists, write_alerts, write_dim, write_
 
 DIMENSIONS = ("dim_actions", "dim_entities", "dim_models")
 FACT_INPUTS = ("classifier_outputs", "enforcement_logs")
-LOADS = "table string, file string"
+LOADS = "table string, file string, load string"
+# How a raw table is staged, and the time and day columns of what comes out.
+STAGES = {"classifier_outputs": (staging.stg_signals, "signal_timestamp", "signal_day"),
+          "enforcement_logs": (staging.stg_enforcement, "action_timestamp", "action_day")}
 
 
 class Warehouse:
@@ -102,13 +107,12 @@ def read_warehouse(spark: SparkSession, raw_root: str, fmt: str = "parquet", **o
     return Warehouse(lambda table: read_raw(prepare(spark), table, f"{raw_root}/{table}", fmt), **options)
 
 
-def _unseen_files(spark: SparkSession, warehouse: Warehouse, table: str, seen_path: str | None) -> list[str]:
+def _unseen_files(spark: SparkSession, warehouse: Warehouse, table: str, loads: DataFrame | None) -> list[str]:
     """Files of a raw table that no earlier build has noted. File names only; the driver lists them for any scan."""
-    files = set(warehouse.raw(table).inputFiles())
-    if seen_path is not None and path_exists(spark, seen_path):
-        seen = spark.read.schema(LOADS).parquet(seen_path).filter(F.col("table") == table).select("file")
-        files -= {row.file for row in seen.toLocalIterator()}
-    return sorted(files)
+    files = spark.createDataFrame([(file,) for file in warehouse.raw(table).inputFiles()], "file string")
+    if loads is not None:
+        files = files.join(loads.filter(F.col("table") == table), "file", "left_anti")
+    return sorted(row.file for row in files.collect())
 
 
 def build(spark: SparkSession, raw_root: str, mart_root: str, incremental: bool = True, fmt: str = "parquet") -> None:
@@ -116,28 +120,53 @@ def build(spark: SparkSession, raw_root: str, mart_root: str, incremental: bool
 
     The fact is written first, by signal day, and every dimension reads the written fact. A fact that exists is
     brought up to date with the raw files it has not seen, whatever their loading times: signals of such files, and
-    earlier signals that an action of such files reaches. The files seen are noted under the marts after the merge, so a build that
-    fails is simply repeated. One action per signal, as a keyed merge needs.
+    earlier signals that an action of such files reaches. Every load is staged by event day, so that the next one reads the
+    staged days it touches and the raw files that are new. The files seen are noted under the marts after the merge, with
+    the load that staged them; staged loads that are not noted do not count, so a build that fails is simply repeated.
+    One action per signal, as a keyed merge needs.
     """
     warehouse = read_warehouse(spark, raw_root, fmt, multi="first")
-    fact_path, seen_path = f"{mart_root}/fct_signals", f"{mart_root}/loads"
-    fresh = {table: _unseen_files(spark, warehouse, table, seen_path if incremental else None) for table in FACT_INPUTS}
-    if incremental and path_exists(spark, fact_path) and path_exists(spark, seen_path):
-        stage = {"classifier_outputs": staging.stg_signals, "enforcement_logs": staging.stg_enforcement}
-        new = {table: stage[table](read_raw(spark, table, files, fmt)) for table, files in fresh.items() if files}
-        changed = changed_signals(warehouse.stg_signals, new.get("classifier_outputs"), new.get("enforcement_logs"))
-        if changed is not None:
-            updates = fct_signals(enrich_signals(changed, warehouse.stg_enforcement, multi="first"))
-            upsert_fact(spark, fact_path, updates, shared_dir(spark, "fact-upsert"))
-    else:
+    fact_path, seen_path, staged_path = f"{mart_root}/fct_signals", f"{mart_root}/loads", f"{mart_root}/staged"
+    merging = incremental and path_exists(spark, fact_path) and path_exists(spark, seen_path)
+    loads = spark.read.schema(LOADS).parquet(seen_path) if merging else None
+    fresh = {table: _unseen_files(spark, warehouse, table, loads) for table in FACT_INPUTS}
+    load = uuid.uuid4().hex
+    new: dict[str, DataFrame] = {}
+    for table, files in fresh.items():
+        if files:
+            stage, column, day = STAGES[table]
+            path = f"{staged_path}/{table}/load={load}"
+            rows = stage(read_raw(spark, table, files, fmt))
+            stage_by_day(rows, column, day, path)
+            new[table] = spark.read.schema(StructType([*rows.schema.fields]).add(day, "date")).parquet(path)
+    if new:
+        noted = [] if loads is None else [row.load for row in loads.select("load").distinct().collect()]  # one for each build
+        staged = {table: _staged(spark, f"{staged_path}/{table}", STAGES[table][0](warehouse.raw(table)), STAGES[table][2], [*noted, load])
+                  for table in FACT_INPUTS}
+        if merging:
+            load_changes(spark, fact_path, staged["classifier_outputs"], staged["enforcement_logs"], new.get("classifier_outputs"),
+                         new.get("enforcement_logs"), shared_dir(spark, "fact-upsert"))
+        else:
+            signals, actions = (staged[table].drop(STAGES[table][2], "load") for table in FACT_INPUTS)
+            write_fact(fct_signals(enrich_signals(signals, actions, multi="first")), fact_path)
+            write_key_index(spark, fact_path)
+    elif not merging:
         write_fact(warehouse.fct_signals, fact_path)
-    rows = [(table, file) for table, files in fresh.items() for file in files]
-    spark.createDataFrame(rows, LOADS).coalesce(1).write.mode("append" if incremental else "overwrite").parquet(seen_path)
+    rows = [(table, file, load) for table, files in fresh.items() for file in files]
+    spark.createDataFrame(rows, LOADS).coalesce(1).write.mode("append" if merging else "overwrite").parquet(seen_path)
     warehouse.use_fact(spark.read.parquet(fact_path))
     for name in DIMENSIONS:
         write_dim(getattr(warehouse, name), f"{mart_root}/{name}")
 
 
+def _staged(spark: SparkSession, path: str, like: DataFrame, day: str, loads: list[str]) -> DataFrame:
+    """The staged rows of these loads, with the columns ``day`` and load that their folders carry."""
+    schema = StructType([*like.schema.fields]).add("load", "string").add(day, "date")
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).filter(F.col("load").isin(loads))
+
+
 def check(
     spark: SparkSession, raw_root: str, mart_root: str, as_of: str, alerts_path: str | None = None, fmt: str = "parquet"
 ) -> DataFrame:

@@ -17,7 +17,7 @@ from sigmart.operators import runs as R
 from sigmart.operators import staging as stg
 from sigmart.operators.embed import embed_documents, md5_hash
 from sigmart.operators.enrich import enrich_signals
-from sigmart.operators.incremental import changed_signals, since_watermark, upsert_fact
+from sigmart.operators.incremental import load_changes, since_watermark, stage_by_day
 from sigmart.operators.keyword import keyword_search
 from sigmart.operators.marts import fct_signals as fct
 from sigmart.operators.retrieval import vector_retrieve
@@ -289,6 +289,12 @@ def dead_letter_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.dead_letter_stats(parse_dead_letter_lines(lines))
 
 
+@query
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of the raw records that the contracts do not know, that have another type than usual, or that are left out."""
+    return reduce(DataFrame.unionByName, (Q.field_drift(records(spark, sf_dir, view), kind) for view, kind in JSON_KINDS.items()))
+
+
 @query
 def ingest_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All four kinds in one relation, split by type again and loaded each by its contract."""
@@ -348,14 +354,17 @@ CUT = "2024-01-20 00:00:00"
 def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signals and actions in three loads of no particular order, merged into a written fact; equal to one full load."""
     w = warehouse(spark, sf_dir, multi="first")
-    load = lambda key: F.crc32(F.col(key).cast("binary")) % 3
     root = shared_dir(spark, "incremental")
+    tables = {"signals": (w.stg_signals, "signal_id", "signal_timestamp", "signal_day"),
+              "actions": (w.stg_enforcement, "action_id", "action_timestamp", "action_day")}
     for step in range(3):
-        signals = w.stg_signals.filter(load("signal_id") <= step)
-        actions = w.stg_enforcement.filter(load("action_id") <= step)
-        changed = changed_signals(
-            signals, signals.filter(load("signal_id") == step), actions.filter(load("action_id") == step))
-        upsert_fact(spark, f"{root}/fact", fct(enrich_signals(changed, actions, multi="first")), f"{root}/load-{step}")
+        new = {}
+        for name, (rows, key, time, day) in tables.items():
+            path = f"{root}/{name}/load={step}"
+            stage_by_day(rows.filter(F.crc32(F.col(key).cast("binary")) % 3 == step), time, day, path)
+            new[name] = spark.read.parquet(path)
+        signals, actions = (spark.read.parquet(f"{root}/{name}") for name in tables)
+        load_changes(spark, f"{root}/fact", signals, actions, new["signals"], new["actions"], f"{root}/staging-{step}")
     return spark.read.parquet(f"{root}/fact").drop("signal_day")
 
 

@@ -66,7 +66,7 @@ SELECT concat('out-', CAST(conv_id AS {text_type}), '-', CAST(turn AS {text_type
   {ts} '2024-01-01 00:00:00' + (conv_id * 60 + turn) * INTERVAL '1' MINUTE AS timestamp,
   {ts} '2024-01-01 00:00:00' + (conv_id * 60 + turn + conv_id % 30) * INTERVAL '1' MINUTE AS _loaded_at,
   '{{}}' AS metadata
-FROM conversations WHERE role = 'assistant' AND length(text) > 0
+FROM conversations WHERE role = 'assistant'
 """
 
 RUNS = """

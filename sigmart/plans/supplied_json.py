@@ -19,6 +19,14 @@ def _quoted(expression: str) -> str:
     return f"concat('\"', {expression}, '\"')"
 
 
+def _real(column: str, shown: str | None = None) -> str:
+    """A text column (or what is shown of it) as JSON: quotes, backslashes and control characters escaped, null kept."""
+    text = shown or column
+    for plain, escaped in (("chr(92)", "chr(92)"), ("chr(34)", "chr(34)"), ("chr(10)", "'n'"), ("chr(13)", "'r'"), ("chr(9)", "'t'")):
+        text = f"replace({text}, {plain}, concat(chr(92), {escaped}))"
+    return f"CASE WHEN {column} IS NULL THEN 'null' ELSE {_quoted(text)} END"
+
+
 def _record(number: str, fields: dict[str, tuple[str, dict[int, str]]], whole: dict[int, str]) -> str:
     """SQL for one JSON object. A special of ``''`` leaves the field out."""
     parts = []
@@ -109,15 +117,15 @@ JSON_MODEL_OUTPUTS = f"""
 SELECT conv_id * 1000 + turn AS raw_id, {_record("(conv_id + turn) % 13", {
     "output_id": (_quoted(_uuid(f"concat('out-', {_text('conv_id')}, '-', {_text('turn')})")), {}),
     "model_id": (_quoted("CASE conv_id % 2 WHEN 0 THEN 'model-a' ELSE 'model-b' END"), {1: "''"}),
-    "prompt_hash": (_quoted("{sha256}"), {2: "'\"zz\"'", 3: _quoted("concat({sha256}, '0')")}),
-    "output_text": (_quoted(f"concat('turn ', {_text('turn')}, ' of ', {_text('conv_id')})"), {4: "'\"\"'"}),
+    "prompt_hash": (_real("text", "{sha256}"), {2: "'\"zz\"'", 3: _quoted("concat({sha256}, '0')")}),
+    "output_text": (_real("text"), {4: "'\"\"'"}),
     "safety_labels": (f"concat('{{{{\"toxicity\": 0.', lpad({_HUNDREDTHS}, 2, '0'), ', \"pii\": 0.5}}}}')",
                       {5: "'{{\"toxicity\": 0.1, \"pii\": 1.5}}'", 6: "'{{\"pii\": -0.1}}'", 7: "'{{}}'",
                        8: "'{{\"pii\": \"high\"}}'", 9: "''"}),
     "latency_ms": (_text("50 + (conv_id * 13 + turn) % 451"), {10: "'-1'", 11: "'1.5'", 12: "'\"300\"'"}),
     "timestamp": (f"concat('\"2024-01-', lpad({_text('1 + conv_id % 28')}, 2, '0'), 'T10:00:00Z\"')", {}),
 }, {})} AS raw
-FROM conversations WHERE role = 'assistant' AND length(text) > 0
+FROM conversations WHERE role = 'assistant'
 """
 
 JSON_VIEWS = {

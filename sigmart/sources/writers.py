@@ -28,7 +28,8 @@ def write_dim(df: DataFrame, path: str) -> None:
 def write_fact(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """The fact by signal day: time-range filters on ``signal_day`` prune folders.
 
-    Rows of a day go to as many tasks as adaptive execution finds worth the size; a heavy day is split.
+    Rows of a day go to as many tasks as adaptive execution finds worth the size; a heavy day is split. An index of keys
+    that upserts have left beside the table does not hold for a rewritten one; ``upsert_fact`` and ``build`` renew it.
     """
     dated = df.withColumn("signal_day", day_of(F.col("signal_timestamp")).cast("date"))
     dated.hint("rebalance", "signal_day").write.mode(mode).partitionBy("signal_day").parquet(path)
