@@ -710,6 +710,7 @@ _bm25("all", "")
 _bm25("english", "WHERE lang = 'en'")
 oracle("keyword_retrieval", ["all_scores"],
        "SELECT query_id, id, lang, round(score, 6) AS score, rank FROM (" + _ranked("all_scores", 10, ", lang") + ")")
+ORACLES["keyword_retrieval_indexed"] = ORACLES["keyword_retrieval"]
 oracle("keyword_retrieval_filtered", ["english_scores"],
        "SELECT query_id, id, round(score, 6) AS score, rank FROM (" + _ranked("english_scores", 3) + ")")
 

@@ -20,6 +20,7 @@ from sigmart.operators.enrich import enrich_signals
 from sigmart.operators.incremental import load_changes, since_watermark, stage_by_day
 from sigmart.operators.keyword import keyword_search
 from sigmart.operators.marts import fct_signals as fct
+from sigmart.operators.postings import search_postings, write_postings
 from sigmart.operators.retrieval import vector_retrieve
 from sigmart.operators.similarity import mmr_rerank, similarity_search
 from sigmart.operators.validate import validate
@@ -648,6 +649,14 @@ def keyword_retrieval_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(found, "score")
 
 
+@query
+def keyword_retrieval_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same answers from a written index, which holds no texts."""
+    path = shared_dir(spark, "postings")
+    write_postings(_documents(spark, sf_dir), path, carry=["lang"])
+    return _rounded(search_postings(spark, path, _questions(spark, sf_dir), carry=["lang"]), "score")
+
+
 # -- streaming -------------------------------------------------------------------------------
 # Each job runs to the end of its input, into the shared folder, and the query reads its sink.
 

@@ -15,6 +15,7 @@ from sigmart.functions.vectors import cosine_col
 from sigmart.operators import similarity as S
 from sigmart.operators.embed import embed_documents, embed_with
 from sigmart.operators.keyword import keyword_search
+from sigmart.operators.postings import search_postings, write_postings
 from sigmart.operators.retrieval import vector_retrieve
 
 
@@ -152,3 +153,22 @@ def test_vector_retrieve(spark):
     questions = spark.createDataFrame([("q", "spam volume report")], "query_id string, text string")
     rows = vector_retrieve(questions, embedded, final_k=2).orderBy("mmr_rank").collect()
     assert rows[0].id == 2 and len(rows) == 2 and rows[0].source == "vector"
+
+
+def test_postings_give_the_same_answers_and_skip_blocks(spark, tmp_path):
+    """Some words stand in every document, some in few; blocks of 8 documents, so that bounds decide."""
+    random = np.random.RandomState(7)
+    words = [f"w{n}" for n in range(300)]
+    share = 1.0 / np.arange(1, 301)
+    share /= share.sum()
+    rows = [(n, " ".join(random.choice(words, size=random.randint(0, 60), p=share))) for n in range(400)]
+    docs = spark.createDataFrame([*rows, (400, None), (401, "w1 " * 200), (402, "w290 w291 w292")], "id long, content string")
+    queries = spark.createDataFrame([(n, " ".join(random.choice(words, size=4))) for n in range(20)] + [
+        (20, "w290 w291 w292"), (21, "nowhere"), (22, ""), (23, "w1 w1 w2")], "query_id long, text string")
+    path = str(tmp_path / "index")
+    write_postings(docs, path, block_documents=8)
+    want = sorted(map(tuple, keyword_search(queries, docs, top_k=5).selectExpr("query_id", "id", "round(score, 7)", "rank").collect()))
+    for limit, blocks in ((500_000, 2), (0, 1), (500_000, 1000)):
+        found = search_postings(spark, path, queries, top_k=5, broadcast_terms=limit, first_blocks=blocks)
+        assert sorted(map(tuple, found.selectExpr("query_id", "id", "round(score, 7)", "rank").collect())) == want
+    assert "content" not in found._jdf.queryExecution().optimizedPlan().toString()
