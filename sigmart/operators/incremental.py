@@ -6,6 +6,7 @@ import math
 import re
 from datetime import date, timedelta
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -101,8 +102,8 @@ def held_days(spark: SparkSession, path: str, fresh: DataFrame, key: str = "sign
 def upsert_fact(
     spark: SparkSession, path: str, updates: DataFrame, staging: str, key: str = "signal_id",
     order: tuple[str, ...] = ("_loaded_at", "action_id"),
-) -> None:
-    """Merge into a fact written by ``write_fact``, rewriting only the days that hold an updated key.
+) -> set[date | None]:
+    """Merge into a fact written by ``write_fact``, rewriting only the days that hold an updated key; returns these days.
 
     An index beside the fact tells the days of a key, so the other days are not read. ``staging`` is a new folder on shared
     storage. The merged days are written there first and replace the table's days in a second write that no
@@ -113,7 +114,7 @@ def upsert_fact(
     if not path_exists(spark, path):
         write_fact(latest_per_key(updates, key, order), path)
         write_key_index(spark, path, key)
-        return
+        return days_of(spark.read.parquet(path), "signal_day")
     if not path_exists(spark, keys_path(path)):
         write_key_index(spark, path, key)
     target = spark.read.parquet(path)
@@ -127,7 +128,7 @@ def upsert_fact(
     # one value per touched day partition
     touched = {row[0] for row in held.select("signal_day").union(fresh.select("signal_day")).distinct().collect()}
     if not touched:
-        return
+        return touched
     new = fresh.select(F.col(key).alias("key"), "signal_day").join(held, ["key", "signal_day"], "left_anti")
     _bucketed(new, "key", buckets).hint("rebalance", "bucket").write.mode("append").partitionBy("buckets", "bucket").parquet(keys_path(path))
 
@@ -140,6 +141,7 @@ def upsert_fact(
     ).partitionBy("signal_day").parquet(path)
     for day in sorted(day for day in emptied if day is not None):  # a day whose signals all moved keeps a folder without rows
         staged.drop("signal_day").limit(0).write.mode("overwrite").parquet(f"{path}/signal_day={day}")
+    return touched
 
 
 # -- loads that read what they touch -----------------------------------------------------------
@@ -166,11 +168,18 @@ def stage_by_day(rows: DataFrame, column: str, day: str, path: str) -> None:
     dated.hint("rebalance", day).write.mode("overwrite").partitionBy(day).parquet(path)
 
 
+class LoadDays(NamedTuple):
+    """The signals' days that a load has read, and those of the fact that it has written."""
+
+    read: set[date | None]
+    written: set[date | None]
+
+
 def load_changes(
     spark: SparkSession, fact_path: str, signals: DataFrame, actions: DataFrame, new_signals: DataFrame | None,
     new_actions: DataFrame | None, staging: str, hours: int = ACTION_WINDOW_HOURS,
-) -> set[date | None]:
-    """Bring a fact up to date with a load, reading only the days it touches; returns the signals' days read.
+) -> LoadDays:
+    """Bring a fact up to date with a load, reading only the days it touches.
 
     ``signals`` and ``actions`` hold everything staged so far, the load included, and are partitioned by ``signal_day`` and
     ``action_day``. An action reaches signals of its own day and of the days its interval goes back to; a signal asks for
@@ -183,8 +192,7 @@ def load_changes(
     changed = changed_signals(signals.filter(in_days("signal_day", reached)).select(*names),
                               None if new_signals is None else new_signals.select(*names), new_actions, hours)
     if changed is None:
-        return set()
+        return LoadDays(set(), set())
     asked = days_around(reached | own, 0, reach)
     enriched = enrich_signals(changed, actions.filter(in_days("action_day", asked)), hours, multi="first")
-    upsert_fact(spark, fact_path, fct_signals(enriched), staging)
-    return reached | own
+    return LoadDays(reached | own, upsert_fact(spark, fact_path, fct_signals(enriched), staging))

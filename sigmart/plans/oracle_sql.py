@@ -158,6 +158,13 @@ oracle("classifier_precision", ["dim_actions"], _PRECISION.format(where=""))
 oracle("classifier_precision_one_model", ["dim_actions"], _PRECISION.format(
     where="WHERE s.model_id = 'toxicity-v3' AND s.signal_timestamp >= TIMESTAMP '2024-01-05'"
           " AND s.signal_timestamp < TIMESTAMP '2024-01-20'"))
+oracle("kept_precision", ["fct_signals_first"], """
+SELECT CAST(signal_timestamp AS DATE) AS signal_day, model_id, count(*) AS total_signals,
+  count(*) FILTER (is_positive) AS predicted_positives, count(*) FILTER (is_positive AND action_id IS NOT NULL) AS true_positives,
+  round(count(*) FILTER (is_positive AND action_id IS NOT NULL) / nullif(CAST(count(*) FILTER (is_positive) AS DOUBLE), 0), 4) AS precision,
+  count(DISTINCT entity_id) AS entities
+FROM fct_signals_first GROUP BY ALL
+""")
 oracle("enforcement_rate", ["dim_actions"], _RATE.format(inner="", where=""))
 oracle("enforcement_rate_bans", ["dim_actions"], _RATE.format(
     inner="WHERE signal_timestamp >= TIMESTAMP '2024-01-05' AND signal_timestamp < TIMESTAMP '2024-01-20'",

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from sigmart.functions.time import ntz
 from sigmart.functions.vectors import cosine_col
 from sigmart.operators import envelope as E
+from sigmart.operators import kept as P
 from sigmart.operators import metrics as M
 from sigmart.operators import observability as K
 from sigmart.operators import quality as Q
@@ -354,8 +355,21 @@ CUT = "2024-01-20 00:00:00"
 @query
 def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signals and actions in three loads of no particular order, merged into a written fact; equal to one full load."""
-    w = warehouse(spark, sf_dir, multi="first")
     root = shared_dir(spark, "incremental")
+    _three_loads(spark, sf_dir, root)
+    return spark.read.parquet(f"{root}/fact").drop("signal_day")
+
+
+@query
+def kept_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily sums kept over three loads, renewed for the days that each has written."""
+    root = shared_dir(spark, "kept")
+    _three_loads(spark, sf_dir, root, lambda days: P.refresh_daily(spark, f"{root}/fact", f"{root}/daily", days))
+    return P.kept_precision(P.read_daily(spark, f"{root}/daily"))
+
+
+def _three_loads(spark: SparkSession, sf_dir: str, root: str, after: Callable[[set], None] | None = None) -> None:
+    w = warehouse(spark, sf_dir, multi="first")
     tables = {"signals": (w.stg_signals, "signal_id", "signal_timestamp", "signal_day"),
               "actions": (w.stg_enforcement, "action_id", "action_timestamp", "action_day")}
     for step in range(3):
@@ -365,8 +379,9 @@ def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
             stage_by_day(rows.filter(F.crc32(F.col(key).cast("binary")) % 3 == step), time, day, path)
             new[name] = spark.read.parquet(path)
         signals, actions = (spark.read.parquet(f"{root}/{name}") for name in tables)
-        load_changes(spark, f"{root}/fact", signals, actions, new["signals"], new["actions"], f"{root}/staging-{step}")
-    return spark.read.parquet(f"{root}/fact").drop("signal_day")
+        days = load_changes(spark, f"{root}/fact", signals, actions, new["signals"], new["actions"], f"{root}/staging-{step}")
+        if after is not None:
+            after(days.written)
 
 
 @query

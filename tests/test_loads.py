@@ -11,7 +11,8 @@ from sigmart.operators.enrich import enrich_signals
 from sigmart.operators.incremental import (
     days_around, held_days, in_days, keys_path, load_changes, stage_by_day, upsert_fact, write_key_index,
 )
-from sigmart.operators.marts import fct_signals
+from sigmart.operators.kept import daily_sums, kept_models, kept_precision, read_daily, refresh_daily
+from sigmart.operators.marts import dim_models, fct_signals
 from sigmart.operators.quality import field_drift
 from sigmart.sources.writers import write_fact
 from tests.test_validation import record
@@ -70,8 +71,17 @@ def test_loads_by_day_equal_one_full_load(spark, tmp_path):
         for name, (rows, schema, time, day) in staged.items():
             stage_by_day(spark.createDataFrame(rows[step::3], schema), time, day, f"{path}/{name}/load={step}")
             new[name] = spark.read.parquet(f"{path}/{name}/load={step}")
-        load_changes(spark, f"{path}/fact", spark.read.parquet(f"{path}/signals"), spark.read.parquet(f"{path}/actions"),
-                     new["signals"], new["actions"], f"{path}/staging-{step}")
+        days = load_changes(spark, f"{path}/fact", spark.read.parquet(f"{path}/signals"), spark.read.parquet(f"{path}/actions"),
+                            new["signals"], new["actions"], f"{path}/staging-{step}")
+        refresh_daily(spark, f"{path}/fact", f"{path}/daily", days.written if step else None)
+    daily = read_daily(spark, f"{path}/daily")
+    full = daily_sums(spark.read.parquet(f"{path}/fact")).drop("entities")
+    assert daily.count() == full.count() and daily.select(*full.columns).exceptAll(full).count() == 0
+    exact = {(r.model_id, r.n) for r in spark.read.parquet(f"{path}/fact").groupBy("model_id").agg(F.countDistinct("entity_id").alias("n")).collect()}
+    assert {(r.model_id, r.entities) for r in kept_precision(daily, ("model_id",)).collect()} == exact
+    models = dim_models(spark.read.parquet(f"{path}/fact"))
+    same = [F.round(name, 9).alias(name) if name in ("avg_score", "positive_rate") else F.col(name) for name in models.columns]
+    assert kept_models(daily).select(*same).exceptAll(models.select(*same)).count() == 0
     got, want = spark.read.parquet(f"{path}/fact").drop("signal_day"), fact_of(spark, signals, actions)
     assert got.count() == len(signals) and got.select(*want.columns).exceptAll(want).count() == 0
 
@@ -84,10 +94,10 @@ def test_a_load_of_one_action_reads_two_days(spark, tmp_path):
     signals = spark.read.parquet(f"{path}/signals")
     upsert_fact(spark, f"{path}/fact", fact_of(spark, [signal(n, "e", START + n * DAY) for n in range(20)], []), f"{path}/s0")
     days = load_changes(spark, f"{path}/fact", signals, spark.read.parquet(f"{path}/actions"), None, late, f"{path}/s1")
-    assert days == {(START + 9 * DAY).date(), (START + 10 * DAY).date()}
+    assert days.read == {(START + 9 * DAY).date(), (START + 10 * DAY).date()} and days.written == {(START + 10 * DAY).date()}
     fact = {r.signal_id: r.action_id for r in spark.read.parquet(f"{path}/fact").collect()}
     assert fact == {f"s{n}": "a0001" if n == 10 else None for n in range(20)}
-    plan = plan_of(signals.filter(in_days("signal_day", days)))
+    plan = plan_of(signals.filter(in_days("signal_day", days.read)))
     assert "PartitionFilters: [isnotnull(signal_day" in plan or "signal_day#" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert days_around({START.date(), None}, -1, 1) == {START.date() + shift * DAY for shift in (-1, 0, 1)}
 
