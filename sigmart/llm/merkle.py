@@ -46,18 +46,21 @@ def leaves(docs: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("row"))
 
 
-def positioned(nodes: DataFrame, order: list[str]) -> tuple[DataFrame, int]:
-    """``nodes`` with pos, the place within the source by ``order``, from 0, and n, the size of the source; the largest n."""
-    spread = nodes.repartitionByRange(*KEY, *order).sortWithinPartitions(*KEY, *order)
+def positioned(nodes: DataFrame, order: list[str], key: list[str] = KEY) -> tuple[DataFrame, int]:
+    """``nodes`` with pos, the place within the source by ``order``, from 0, and n, the size of the source; the largest n.
+
+    ``key`` names a source; its columns hold no nulls.
+    """
+    spread = nodes.repartitionByRange(*key, *order).sortWithinPartitions(*key, *order)
     # The partition's number is in the upper bits, the row's place in it below.
     placed = materialize(spread.withColumn("at", F.monotonically_increasing_id()), "ordered").withColumn(
         "part", F.shiftright("at", 33))
-    counted = placed.groupBy(*KEY, "part").agg(F.min("at").alias("first"), F.count("*").alias("rows"))
-    before = Window.partitionBy(*KEY).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counted = placed.groupBy(*key, "part").agg(F.min("at").alias("first"), F.count("*").alias("rows"))
+    before = Window.partitionBy(*key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     runs = materialize(counted.select(
-        *KEY, "part", (F.coalesce(F.sum("rows").over(before), F.lit(0)) - F.col("first")).alias("shift"),
-        F.sum("rows").over(Window.partitionBy(*KEY)).alias("n")), "runs")
-    located = placed.join(broadcast_ids(runs, row_bytes=96), [*KEY, "part"]).withColumn("pos", F.col("at") + F.col("shift"))
+        *key, "part", (F.coalesce(F.sum("rows").over(before), F.lit(0)) - F.col("first")).alias("shift"),
+        F.sum("rows").over(Window.partitionBy(*key)).alias("n")), "runs")
+    located = placed.join(broadcast_ids(runs, row_bytes=96), [*key, "part"]).withColumn("pos", F.col("at") + F.col("shift"))
     return located.drop("at", "part", "shift"), runs.agg(F.max("n")).first()[0] or 0
 
 

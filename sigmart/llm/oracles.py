@@ -42,20 +42,21 @@ FROM failed f JOIN verdicts v ON f.source IS NOT DISTINCT FROM v.source"""
 
 
 _CHAT = """
-WITH turns AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
-    coalesce(turn // 256, 0) AS part FROM conversations),
-speakers AS (SELECT DISTINCT conv_id, role AS perspective FROM turns WHERE role <> 'system'),
-pieces AS (SELECT t.*, perspective, role = perspective AS own,
+WITH numbered AS (SELECT row_number() OVER () AS r, conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
+  FROM conversations),
+places AS (SELECT *, CASE WHEN conv_id IS NULL THEN r END AS alone FROM numbered),
+turns AS (SELECT *, row_number() OVER (PARTITION BY conv_id, alone ORDER BY turn NULLS FIRST, role, text) - 1 AS pos FROM places),
+speakers AS (SELECT DISTINCT conv_id, alone, role AS perspective FROM turns WHERE role <> 'system'),
+pieces AS (SELECT t.*, pos // 256 AS part, perspective, role = perspective AS own,
     '<|' || CASE WHEN role = 'system' THEN 'system' WHEN role = perspective THEN 'assistant'
       ELSE 'user name=' || role END || '|>' || chr(10) AS head
-  FROM turns t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
-placed AS (SELECT *, CAST(sum(length(head) + length(text) + 9) OVER (PARTITION BY conv_id, perspective, part
-    ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING) AS BIGINT) - length(text) - 9 AS start FROM pieces)
+  FROM turns t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id AND t.alone IS NOT DISTINCT FROM s.alone),
+placed AS (SELECT *, CAST(sum(length(head) + length(text) + 9) OVER (PARTITION BY conv_id, alone, perspective, part
+    ORDER BY pos ROWS UNBOUNDED PRECEDING) AS BIGINT) - length(text) - 9 AS start FROM pieces)
 SELECT conv_id, perspective, CAST(part AS BIGINT) AS part, count(*) AS n_turns,
-  string_agg(head || text || chr(10) || '<|end|>' || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS text,
-  coalesce(string_agg(CAST(start AS VARCHAR) || ':' || CAST(start + length(text) AS VARCHAR), ','
-    ORDER BY turn NULLS FIRST, role, text) FILTER (own), '') AS mask
-FROM placed GROUP BY ALL"""
+  string_agg(head || text || chr(10) || '<|end|>' || chr(10), '' ORDER BY pos) AS text,
+  coalesce(string_agg(CAST(start AS VARCHAR) || ':' || CAST(start + length(text) AS VARCHAR), ',' ORDER BY pos) FILTER (own), '') AS mask
+FROM placed GROUP BY conv_id, alone, perspective, part"""
 
 
 

@@ -87,16 +87,28 @@ def test_chat_formatting(spark):
             (None, 0, "user", ""), (3, 300, "user", "late"), (3, 1, "ann", "early"), (1, 2, "system", "be brief")]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("part", F.lit("x"))
     got = {(r.conv_id, r.perspective, r.part): r for r in chat_format.perspectives(turns).collect()}
-    assert set(got) == {(1, "user", 0), (1, "bob", 0), (1, "unknown", 0), (None, "user", 0), (3, "user", 0), (3, "user", 1),
-                        (3, "ann", 0), (3, "ann", 1)}
+    assert set(got) == {(1, "user", 0), (1, "bob", 0), (1, "unknown", 0), (None, "user", 0), (3, "user", 0), (3, "ann", 0)}
     row = got[1, "user", 0]
     assert row.text == ("<|user name=unknown|>\nx\n<|end|>\n<|assistant|>\nhi\n<|end|>\n<|user name=bob|>\n\n<|end|>\n"
                         "<|user name=bob|>\n\n<|end|>\n<|system|>\nbe brief\n<|end|>\n")
     start, stop = map(int, row.mask.split(":"))
-    assert row.text[start:stop] == "hi" and got[3, "ann", 1].mask == ""
+    assert row.text[start:stop] == "hi" and got[3, "ann", 0].n_turns == 2
     assert chat_format.perspectives(turns.limit(0)).count() == 0
 
 
+def test_chat_formatting_of_one_long_conversation(spark):
+    """Most turns carry one number or none, and rows without a conversation are nobody's partners."""
+    rows = [(1, 5, "ann" if i % 2 else "bob", f"t{i:04}") for i in range(600)] + [(1, None, "bob", f"n{i}") for i in range(30)]
+    rows += [(None, i % 3, f"stranger{i}", "x") for i in range(300)]
+    got = chat_format.perspectives(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), 100).collect()
+    assert sorted((r.part, r.n_turns) for r in got if r.conv_id and r.perspective == "ann") == [(i, 100) for i in range(6)] + [(6, 30)]
+    assert sorted(r.text for r in got if r.conv_id is None) == ["<|assistant|>\nx\n<|end|>\n"] * 300
+    texts = {(r.part, r.perspective): r.text for r in got if r.conv_id}
+    whole = "".join(texts[part, "ann"] for part in range(7))
+    order = sorted(rows[:630], key=lambda row: (row[1] is not None, row[1] or 0, row[2], row[3]))
+    assert whole == "".join(f"<|{'assistant' if role == 'ann' else f'user name={role}'}|>\n{text}\n<|end|>\n" for _, _, role, text in order)
+
+
 def test_line_dedup(docs, nothing):
     got = line_dedup.without_repeats(docs)
     assert got.columns[:len(docs.columns)] == docs.columns and got.count() == len(ROWS)
