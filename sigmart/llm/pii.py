@@ -29,8 +29,8 @@ from sigmart.llm.common import materialize
 
 KINDS = ["email", "ip", "card", "phone"]
 FINDINGS = "array<struct<kind: string, start: int, stop: int, base: boolean, chance: double>>"
-SAMPLE = 4_000  # distinct texts with digits or at signs that are learned from, those with the smallest hashes
-ISLANDS, ISLAND = 6, 1_000  # of a text of the sample: how many islands, and the longest one
+SAMPLE = 1_000  # distinct texts with digits or at signs that are learned from, those with the smallest hashes
+ISLANDS, ISLAND = 3, 1_000  # of a text of the sample: how many islands, and the longest one
 WINDOW, OVERLAP = 8_192, 1_024  # code points of an island that are looked at together; no candidate has half the overlap
 LONGEST, GROUPS = 24, 6  # tokens of an entity, and groups of digits in a number that no fixed pattern matches
 LEAST_CHANCE = 0.9
@@ -477,7 +477,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
     # At most ``sample`` numbers: a proven bound for the broadcast. Equal texts meet in partial aggregates.
     cut_rows = hashed.join(F.broadcast(chosen), "hash").select("hash", F.arrow_udf(cut, "array<string>")("text").alias("windows"))
     rows = materialize(cut_rows.groupBy("hash").agg(F.first("windows").alias("windows")).where("size(windows) > 0").withColumn(
-        "shard", F.expr(f"pmod(hash, {SHARDS})")), "sample")
+        "shard", F.expr(f"pmod(hash, {SHARDS})")), "sample").repartition(SHARDS, "shard")  # small rows, much work: a task for each
     flat = None
     for _ in range(ROUNDS):
 
