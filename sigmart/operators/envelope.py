@@ -11,6 +11,7 @@ from sigmart.functions.time import ntz
 from sigmart.operators.marts import count_where
 from sigmart.operators.validate import contract, validate
 from sigmart.schemas import DEFAULT_SOURCES, ERROR_SCHEMA, SIGNAL_TYPES
+from sigmart.session import shared_dir
 
 # The one error type a failed record gets, and two labels of the dead-letter statistics.
 ERROR_TYPE = "ValidationError"
@@ -90,10 +91,15 @@ def load_mixed(
 ) -> dict[str, Batch]:
     """Split a mixed batch by ``signal_type`` and load each part by its own contract.
 
-    With the input partitioned by ``signal_type`` each part reads only its own folder.
+    The batch is read once and written into a folder for each type, under the shared folder; each part then reads its own.
+    Records of other types, or of none, are in folders that no part reads.
     """
+    spark = df.sparkSession
+    path = shared_dir(spark, "mixed")
+    df.write.partitionBy("signal_type").parquet(path)
+    dealt = spark.read.schema(df.schema).parquet(path)
     return {
-        kind: load_batch(df.filter(F.col("signal_type") == kind).drop("signal_type"), kind, source, raw, at)
+        kind: load_batch(dealt.filter(F.col("signal_type") == kind).drop("signal_type"), kind, source, raw, at)
         for kind in SIGNAL_TYPES
     }
 
