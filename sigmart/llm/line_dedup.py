@@ -100,7 +100,7 @@ def passages(docs: DataFrame) -> DataFrame:
     # Written first, so that a digest with many windows can be split when they are joined with it.
     known = materialize(suspects.groupBy("digest").agg(F.min(F.struct(*DOCUMENT, "start", "stop")).alias("first")), "first-windows")
     # A window that overlaps the first one of its kind in the same text is part of that occurrence.
-    later = suspects.join(broadcast_ids(known, row_bytes=96), "digest").where(
+    later = suspects.join(known, "digest").where(
         "doc_id != first.doc_id OR version != first.version OR start > first.stop")
     return later.select(*DOCUMENT, F.struct("start", "stop").alias("chunk"))
 
@@ -118,8 +118,6 @@ def repeated(docs: DataFrame) -> DataFrame:
     suspects = materialize(pieces.join(broadcast_ids(again), "hash", "left_semi"), "suspects")
     # Bytes: the text itself is part of the key, so chunks that only share a hash stay apart.
     known = materialize(suspects.groupBy("hash", "content").agg(F.min(F.struct(*DOCUMENT)).alias("owner")), "owners")
-    size = known.agg(F.count("*").alias("rows"), F.sum(F.octet_length("content")).alias("bytes")).first()
-    known = F.broadcast(known) if 64 * size.rows + (size.bytes or 0) <= BROADCAST_BYTES else known
     own = F.struct(*DOCUMENT) == F.col("owner")
     marked = suspects.join(known, ["hash", "content"]).select(
         *DOCUMENT, "chunk", "hash", own.alias("own"), F.xxhash64("content", F.lit(1)).alias("second"))
