@@ -29,27 +29,20 @@ def unit_rows(vectors) -> np.ndarray:
     rows = [np.asarray(v, dtype=np.float64) for v in vectors]
     if not rows:
         return np.empty((0, 0))
-    matrix = np.stack(rows)
-    length = np.linalg.norm(matrix, axis=1, keepdims=True)
-    return np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0)
+    return _unit(np.stack(rows))
 
 
-def best_per_row(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, id, score) of each row's k best columns by rounded score, then id.
-
-    ``ids`` is one id per column, or one per cell. Ties at the k-th place are all looked at.
-    """
-    ranked = np.round(scores, RANK_DECIMALS)
-    n_rows, n_columns = ranked.shape
-    if n_columns > k:
-        edge = np.partition(ranked, n_columns - k, axis=1)[:, n_columns - k][:, None]
-        rows, columns = np.nonzero(ranked >= edge)
-    else:
-        rows, columns = np.nonzero(np.isfinite(ranked))
-    chosen = ids[columns] if ids.ndim == 1 else ids[rows, columns]
-    values = scores[rows, columns]
-    order = np.lexsort((chosen, -ranked[rows, columns], rows))
-    rows, chosen, values = rows[order], chosen[order], values[order]
-    starts = np.searchsorted(rows, np.arange(n_rows))
-    keep = (np.arange(len(rows)) - starts[rows]) < k
-    return rows[keep], chosen[keep], values[keep]
+def unit_column(column) -> np.ndarray:
+    """The same for an Arrow column of lists, without an object for each vector."""
+    if not len(column):
+        return np.empty((0, 0))
+    lengths = column.value_lengths().to_numpy(zero_copy_only=False)
+    if (lengths != lengths[0]).any():
+        raise ValueError("all vectors must have the same length")
+    values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    return _unit(values.reshape(len(column), int(lengths[0])))
+
+
+def _unit(matrix: np.ndarray) -> np.ndarray:
+    length = np.linalg.norm(matrix, axis=1, keepdims=True)
+    return np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0)

@@ -4,32 +4,37 @@ A query set of bounded size travels to the documents: each task scores its docum
 matrix block by block and keeps k rows per query, so documents are neither shuffled nor paired, and only
 (query, id, score) rows leave the task.
 
-A query set beyond that bound is met cell by cell. Documents and queries are placed among a fixed number
-of pivot documents. By the triangle inequality on angles a query needs only those cells that can hold one
-of its k nearest; a cell is cut into chunks and the queries into blocks, so no task holds more than one
-chunk and one block, however crowded a cell is.
+A query set beyond that bound is cut into blocks of bounded size and the documents into chunks. A task holds one
+block, with the k best of each of its queries, and its chunk streams past: whatever the tables' sizes, its
+memory is that of a block. A row is copied once for each chunk or block of the other side, whose number grows with the
+rows over ``CHUNK_ROWS`` or ``BLOCK_QUERIES``. Scores of all pairs are looked at once, in tasks, and never written.
+
+Within a task documents are placed among a few pivot documents, and by the triangle inequality on angles a query
+passes over those cells that cannot hold one of its k nearest.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from sigmart.functions.vectors import RANK_DECIMALS, best_per_row, unit_rows
+from sigmart.functions.vectors import RANK_DECIMALS, unit_column, unit_rows
 from sigmart.schemas import VECTOR_TOP_K
-from sigmart.session import materialize
 
 QUERY_BYTES = 8 << 20  # query matrix that may travel to the tasks
 RESULT_ROW_BYTES = 64  # of a result row that travels
-SCORE_CELLS = 4 << 20  # scores held at once in a task
+SCORE_CELLS = 1 << 20  # scores held at once in a task
 PIVOTS = 64
-CHUNK_ROWS = 20_000
-BLOCK_QUERIES = 2_000
+CHUNK_ROWS = 200_000  # documents that stream past a block in one task
+BLOCK_QUERIES = 50_000  # queries that a task holds
+BLOCK_BYTES = 32 << 20  # of their vectors
+RESULT_ROWS = 50_000  # rows that leave a task at once
 ANGLE_SLACK = 1e-4  # covers rounding, and documents that tie with the k-th after rank rounding
 
 
@@ -54,25 +59,97 @@ def _result_schema(queries: DataFrame, docs: DataFrame) -> T.StructType:
     ])
 
 
-def _block_best(query_matrix: np.ndarray, doc_matrix: np.ndarray, doc_ids: np.ndarray, k: int):
-    """Best k documents per query, holding a bounded number of scores at a time."""
-    step = max(k, SCORE_CELLS // max(1, len(query_matrix)))
-    rows, ids, scores = (np.empty(0, np.int64), doc_ids[:0], np.empty(0))
-    for start in range(0, len(doc_matrix), step):
-        part = slice(start, start + step)
-        r, i, s = best_per_row(query_matrix @ doc_matrix[part].T, doc_ids[part], k)
-        rows, ids, scores = _keep_best(
-            np.concatenate([rows, r]), np.concatenate([ids, i]), np.concatenate([scores, s]), k
-        )
-    return rows, ids, scores
+class _Nearest:
+    """The k best documents so far of each query of a block, in arrays that do not grow with the documents.
+
+    Scores are first taken in single precision; what could be among the k best is scored again in double.
+    """
+
+    def __init__(self, matrix: np.ndarray, k: int):
+        self.matrix, self.rough, self.k = matrix, matrix.astype(np.float32), k
+        self.scores = np.zeros((len(matrix), k))
+        self.ranked = np.full((len(matrix), k), -np.inf)  # best first; -inf where nothing is yet
+        self.ids = self.pivots = None
+        # four times the most that rounding to single precision moves a product of unit vectors
+        self.slack = 4 * (matrix.shape[1] + 8) * 2.0**-24
+
+    def meet(self, ids: np.ndarray, docs: np.ndarray) -> None:
+        known = np.isfinite(docs).all(axis=1)
+        ids, docs = ids[known], docs[known]
+        if not len(docs) or not len(self.matrix):
+            return
+        directed = docs.any(axis=1)  # zero vectors have no direction, and score 0 with everything
+        if self.ids is None:
+            self.ids = np.empty(self.ranked.shape, dtype=ids.dtype)
+        if self.pivots is None and directed.any():
+            self.pivots = docs[directed][:: max(1, int(directed.sum()) // PIVOTS)][:PIVOTS]
+            step = max(1, SCORE_CELLS // len(self.pivots))
+            self.to_pivot = np.concatenate([  # the angle is exact, what is kept of it need not be
+                _angles(self.matrix[i:i + step], self.pivots).astype(np.float32) for i in range(0, len(self.matrix), step)
+            ])
+            self.undirected = ~self.matrix.any(axis=1)
+        everyone = np.arange(len(self.matrix))
+        self._cell(everyone, ids[~directed], docs[~directed])
+        ids, docs = ids[directed], docs[directed]
+        if not len(docs):
+            return
+        angles = _angles(docs, self.pivots)
+        cell = angles.argmin(axis=1)
+        for number in np.unique(cell):
+            inside = np.flatnonzero(cell == number)
+            near, far = angles[inside, number].min(), angles[inside, number].max()
+            lowest = np.maximum(self.to_pivot[:, number] - far, near - self.to_pivot[:, number]) - ANGLE_SLACK
+            reached = np.cos(np.maximum(lowest, 0)) >= self.ranked[:, -1]
+            self._cell(np.flatnonzero(reached | self.undirected), ids[inside], docs[inside])
+
+    def _cell(self, queries: np.ndarray, ids: np.ndarray, docs: np.ndarray) -> None:
+        wide = max(1, math.isqrt(SCORE_CELLS))
+        for start in range(0, len(docs), wide):
+            part = docs[start:start + wide]
+            rough, k = part.astype(np.float32), self.k
+            step = max(1, SCORE_CELLS // len(part))
+            for first in range(0, len(queries), step):
+                some = queries[first:first + step]
+                scores = self.rough[some] @ rough.T
+                edge = self.ranked[some, -1]
+                if len(part) >= k and np.isneginf(edge).any():
+                    edge = np.maximum(edge, np.partition(scores, len(part) - k, axis=1)[:, len(part) - k])
+                rows, columns = np.nonzero(scores >= (edge - self.slack).astype(np.float32)[:, None])
+                if len(rows):
+                    self._take(some[rows], columns, ids[start:start + wide], part)
+
+    def _take(self, rows: np.ndarray, columns: np.ndarray, ids: np.ndarray, docs: np.ndarray) -> None:
+        step = max(1, SCORE_CELLS // docs.shape[1])
+        scores = np.concatenate([
+            np.einsum("ij,ij->i", self.matrix[rows[i:i + step]], docs[columns[i:i + step]]) for i in range(0, len(rows), step)
+        ])
+        ranked = np.round(scores, RANK_DECIMALS)
+        good = ranked >= self.ranked[rows, -1]
+        rows, scores, ranked, ids = rows[good], scores[good], ranked[good], ids[columns[good]]
+        hit = np.unique(rows)
+        before, places = np.nonzero(self.ranked[hit] > -np.inf)
+        before = hit[before]
+        rows = np.concatenate([before, rows])
+        scores = np.concatenate([self.scores[before, places], scores])
+        ranked = np.concatenate([self.ranked[before, places], ranked])
+        ids = np.concatenate([self.ids[before, places], ids])
+        order = np.lexsort((ids, -ranked, rows))
+        rows = rows[order]
+        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        best = place < self.k
+        at, order = (rows[best], place[best]), order[best]
+        self.scores[at], self.ranked[at], self.ids[at] = scores[order], ranked[order], ids[order]
+
+    def found(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(row of the query, id, score), some rows at a time."""
+        rows, places = np.nonzero(self.ranked > -np.inf)
+        for start in range(0, len(rows), RESULT_ROWS):
+            at = rows[start:start + RESULT_ROWS], places[start:start + RESULT_ROWS]
+            yield at[0], self.ids[at], self.scores[at]
 
 
-def _keep_best(rows: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int):
-    order = np.lexsort((ids, -np.round(scores, RANK_DECIMALS), rows))
-    rows, ids, scores = rows[order], ids[order], scores[order]
-    starts = np.searchsorted(rows, rows)
-    keep = (np.arange(len(rows)) - starts) < k
-    return rows[keep], ids[keep], scores[keep]
+def _angles(matrix: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(matrix @ pivots.T, -1.0, 1.0))
 
 
 def similarity_search(
@@ -99,7 +176,7 @@ def similarity_search(
     if travels:
         found = _search_with_matrix(fetched, vectors, top_k, _result_schema(queries, docs))
     else:
-        found = _search_by_cell(asked, vectors, top_k, _result_schema(queries, docs))
+        found = _search_by_block(asked, vectors, top_k, _result_schema(queries, docs), width)
     best = rank_within(found, "score", top_k)
     if not carry:
         return best
@@ -113,14 +190,10 @@ def _search_with_matrix(fetched: list, vectors: DataFrame, k: int, schema: T.Str
     matrix = unit_rows([row["embedding"] for row in fetched])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept = None
+        nearest = _Nearest(matrix, k)
         for batch in batches:
-            found = _block_best(matrix, unit_rows(batch["embedding"]), batch["id"].to_numpy(), k)
-            if kept is not None:
-                found = _keep_best(*[np.concatenate(pair) for pair in zip(kept, found, strict=True)], k)
-            kept = found
-        if kept is not None:
-            rows, ids, scores = kept
+            nearest.meet(batch["id"].to_numpy(), unit_rows(batch["embedding"]))
+        for rows, ids, scores in nearest.found():
             yield pd.DataFrame({"query_id": query_ids[rows], "id": ids, "score": scores})
 
     if not fetched:
@@ -128,98 +201,59 @@ def _search_with_matrix(fetched: list, vectors: DataFrame, k: int, schema: T.Str
     return vectors.mapInPandas(run, schema)
 
 
-def _angles(matrix: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    return np.arccos(np.clip(matrix @ pivots.T, -1.0, 1.0))
-
-
-def _search_by_cell(asked: DataFrame, vectors: DataFrame, k: int, schema: T.StructType) -> DataFrame:
-    chosen = vectors.orderBy(F.xxhash64("id"), "id").limit(PIVOTS).collect()
-    if not chosen:
+def _search_by_block(asked: DataFrame, vectors: DataFrame, k: int, schema: T.StructType, width: int) -> DataFrame:
+    n_asked, n_vectors = asked.count(), vectors.count()
+    if not n_asked or not n_vectors:
         return vectors.sparkSession.createDataFrame([], schema)
-    pivots = unit_rows([row["embedding"] for row in chosen])
-    null_cell = len(pivots)  # zero vectors have no direction, and score 0 with everything
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            matrix = unit_rows(batch["embedding"])
-            angles = _angles(matrix, pivots)
-            cell = np.where(matrix.any(axis=1), angles.argmin(axis=1), null_cell)
-            yield pd.DataFrame({
-                "id": batch["id"], "embedding": batch["embedding"], "cell": cell, "angle": angles.min(axis=1),
-            })
-
-    placed_schema = T.StructType([*vectors.schema.fields, T.StructField("cell", T.LongType()),
-                                  T.StructField("angle", T.DoubleType())])
-    placed = materialize(vectors.mapInPandas(place, placed_schema), "placed-vectors")  # read twice
-    # one row per cell
-    cells = placed.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("n"), F.min("angle").alias("near"), F.max("angle").alias("far")
-    ).collect()
-    index = np.array([row["cell"] for row in cells])
-    size = np.array([row["n"] for row in cells])
-    near = np.array([row["near"] for row in cells])
-    far = np.array([row["far"] for row in cells])
-    chunks = {int(c): math.ceil(int(n) / CHUNK_ROWS) for c, n in zip(index, size, strict=True)}
-
-    def reach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The cells each query must visit."""
-        real = index != null_cell
+    tasks = 2 * vectors.sparkSession.sparkContext.defaultParallelism
+    held = max(1, min(BLOCK_QUERIES, BLOCK_BYTES // (8 * max(1, width))))
+    blocks = max(math.ceil(n_asked / held), math.isqrt(tasks - 1) + 1)
+    chunks = max(math.ceil(n_vectors / CHUNK_ROWS), math.ceil(tasks / blocks))
+
+    def dealt(df: DataFrame, name: str, other: str, own: int, others: int, pair: str, side: int) -> DataFrame:
+        """Each row, in a part of its own side, for every part of the other."""
+        return df.select(
+            F.col(name), F.lit(None).cast(schema[other].dataType).alias(other), "embedding",
+            F.pmod(F.xxhash64(name, "embedding"), F.lit(own)).cast("int").alias("part"),
+            F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias("other"),
+        ).select("query_id", "id", "embedding", F.expr(pair).cast("int").alias("pair"), F.lit(side).alias("side"))
+
+    queries = dealt(asked, "query_id", "id", blocks, chunks, f"part * {chunks} + other", 0)
+    documents = dealt(vectors, "id", "query_id", chunks, blocks, f"other * {chunks} + part", 1)
+    # a block comes before the chunk that streams past it
+    together = queries.unionByName(documents).repartitionById(blocks * chunks, F.col("pair")).sortWithinPartitions("pair", "side")
+
+    def run(batches):
+        import pyarrow as pa
+
+        def result():
+            for rows, ids, scores in nearest.found():
+                yield pa.RecordBatch.from_arrays(
+                    [query_ids.take(pa.array(rows)), pa.array(ids, type=batch.schema.field("id").type), pa.array(scores)],
+                    ["query_id", "id", "score"])
+
+        at, block, nearest = None, [], None
         for batch in batches:
-            matrix = unit_rows(batch["embedding"])
-            to_cell = np.full((len(matrix), len(index)), math.pi / 2)
-            to_cell[:, real] = _angles(matrix, pivots[index[real]])
-            highest = np.where(real, to_cell + far, math.pi / 2)
-            lowest = np.where(real, np.maximum(to_cell - far, near - to_cell), math.pi / 2)
-            # smallest angle within which whole cells already hold k documents
-            order = np.argsort(highest, axis=1)
-            enough = np.cumsum(size[order], axis=1) >= k
-            place_of_bound = np.where(enough.any(axis=1), enough.argmax(axis=1), len(index) - 1)
-            bound = np.take_along_axis(highest, order, axis=1)[np.arange(len(matrix)), place_of_bound]
-            bound = np.where(enough.any(axis=1), bound, np.inf)
-            directed = matrix.any(axis=1)
-            visit = (lowest <= bound[:, None] + ANGLE_SLACK) | ~directed[:, None]
-            rows, columns = np.nonzero(visit)
-            yield pd.DataFrame({
-                "query_id": batch["query_id"].to_numpy()[rows],
-                "embedding": [batch["embedding"].iloc[r] for r in rows], "cell": index[columns],
-            })
-
-    visiting = T.StructType([*asked.schema.fields, T.StructField("cell", T.LongType())])
-    visits = materialize(asked.mapInPandas(reach, visiting), "visits")  # read twice
-    # again one row per cell
-    visitors = {row["cell"]: row["count"] for row in visits.groupBy("cell").count().collect()}
-    blocks = {cell: math.ceil(visitors.get(cell, 0) / BLOCK_QUERIES) for cell in chunks}
-
-    def per_cell(counts: dict[int, int]) -> Column:
-        return F.create_map(*[F.lit(x) for pair in counts.items() for x in pair])[F.col("cell")]
-
-    chunk_count, block_count = per_cell(chunks), per_cell(blocks)
-
-    def number(column: Column) -> Column:
-        return F.xxhash64(column)
-
-    def upto(count: Column) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("bigint"), count.cast("bigint") - 1))
-
-    doc_side = placed.filter(block_count > 0).select(
-        "cell", "id", "embedding", F.pmod(number(F.col("id")), chunk_count).alias("chunk"),
-        upto(block_count).alias("block"),
-    )
-    query_side = visits.select(
-        "cell", "query_id", "embedding", F.pmod(number(F.col("query_id")), block_count).alias("block"),
-        upto(chunk_count).alias("chunk"),
-    )
-    keys = ["cell", "chunk", "block"]
-
-    def meet(queries: pd.DataFrame, documents: pd.DataFrame) -> pd.DataFrame:
-        if queries.empty or documents.empty:
-            return pd.DataFrame({"query_id": queries["query_id"][:0], "id": documents["id"][:0], "score": []})
-        rows, ids, scores = _block_best(
-            unit_rows(queries["embedding"]), unit_rows(documents["embedding"]), documents["id"].to_numpy(), k
-        )
-        return pd.DataFrame({"query_id": queries["query_id"].to_numpy()[rows], "id": ids, "score": scores})
-
-    return query_side.groupBy(*keys).cogroup(doc_side.groupBy(*keys)).applyInPandas(meet, schema)
+            pairs, sides = (batch.column(name).to_numpy() for name in ("pair", "side"))
+            cuts = np.flatnonzero((np.diff(pairs) != 0) | (np.diff(sides) != 0)) + 1
+            for start, stop in itertools.pairwise([0, *cuts, len(pairs)]):
+                part = batch.slice(start, stop - start)
+                if pairs[start] != at:
+                    if nearest is not None:
+                        yield from result()
+                    at, block, nearest = pairs[start], [], None
+                vectors_ = unit_column(part.column("embedding")) if len(part) else None
+                if sides[start] == 0:
+                    block.append((part.column("query_id"), vectors_))
+                elif block or nearest is not None:
+                    if nearest is None:
+                        query_ids = pa.concat_arrays([ids for ids, _ in block])
+                        nearest, block = _Nearest(np.concatenate([matrix for _, matrix in block]), k), []
+                    nearest.meet(part.column("id").to_numpy(zero_copy_only=False), vectors_)
+        if nearest is not None:
+            yield from result()
+
+    return together.mapInArrow(run, schema)
 
 
 def mmr_rerank(

@@ -172,3 +172,60 @@ def test_postings_give_the_same_answers_and_skip_blocks(spark, tmp_path):
         found = search_postings(spark, path, queries, top_k=5, broadcast_terms=limit, first_blocks=blocks)
         assert sorted(map(tuple, found.selectExpr("query_id", "id", "round(score, 7)", "rank").collect())) == want
     assert "content" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def peak_of_workers(spark, action) -> float:
+    """MB by which the largest Python worker grew during an action."""
+
+    def ask(kind):
+        def run(batches):
+            import os
+            import time
+
+            for batch in batches:
+                if kind == "reset":
+                    with open("/proc/self/clear_refs", "w") as f:
+                        f.write("5")
+                time.sleep(0.2)  # so that every worker gets a task
+                status = dict(line.split(":", 1) for line in open("/proc/self/status"))
+                kb = int(status["VmRSS" if kind == "reset" else "VmHWM"].split()[0])
+                yield batch.assign(pid=os.getpid(), kb=kb)[["pid", "kb"]]
+        rows = spark.range(0, 16, 1, 16).mapInPandas(run, "pid long, kb long").collect()
+        return {row.pid: row.kb for row in rows}
+
+    before = ask("reset")
+    action()
+    after = ask("read")
+    return max(after[pid] - before.get(pid, min(before.values())) for pid in after) / 1024
+
+
+def test_a_task_holds_one_block_of_queries(spark):
+    """10,000 queries in one partition: no task may hold a copy of each for every cell of the documents."""
+    rng = np.random.default_rng(4)
+    rows = [(i, row) for i, row in enumerate(rng.normal(size=(10_000, 64)).tolist())]
+    vectors = spark.createDataFrame(rows, "id long, embedding array<float>").coalesce(1)
+    queries = vectors.withColumnRenamed("id", "query_id")
+    docs = vectors.filter("id % 20 = 0")
+    found = []
+    grown = peak_of_workers(spark, lambda: found.append(S.similarity_search(queries, docs, top_k=3, query_bytes=0).count()))
+    assert found == [30_000]
+    assert grown < 250
+
+
+@pytest.mark.parametrize("by_block", [False, True])
+def test_search_with_odd_rows(spark, monkeypatch, by_block):
+    """Ids beyond 2 ** 53, repeated queries, one vector in most rows, null vectors; documents fewer than k in a tile."""
+    monkeypatch.setattr(S, "SCORE_CELLS", 64)
+    monkeypatch.setattr(S, "BLOCK_QUERIES", 7)
+    big = 2**60
+    rows = [(big + i, v) for i, v in clustered(9, 90)]
+    docs = spark.createDataFrame([*rows, (big + 500, None)], "id long, embedding array<float>").repartition(4)
+    rows = [(i, np.array(v, dtype=np.float32).tolist()) for i, v in rows]
+    asked = docs.selectExpr(f"concat('q', id - {big}) AS query_id", "embedding").filter("query_id < 'q5'")
+    found = S.similarity_search(asked.unionAll(asked.filter("query_id = 'q10'")), docs, top_k=6, query_bytes=0 if by_block else 1 << 20)
+    want = brute_topk([(f"q{i - big}", v) for i, v in rows if f"q{i - big}" < "q5"], rows, 6)
+    want["q10"] = sorted(want["q10"] * 2, key=want["q10"].index)[:6]
+    got: dict = {}
+    for row in sorted(found.collect(), key=lambda r: r["rank"]):
+        got.setdefault(row.query_id, []).append(row.id)
+    assert got == want
