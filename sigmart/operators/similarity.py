@@ -277,33 +277,47 @@ def mmr_rerank(
         .select("query_id", "_c.id", "_c.score", "_c.embedding")
     )
 
-    def pick(relevance: np.ndarray, vectors: np.ndarray) -> tuple[list[int], list[float]]:
-        alike = vectors @ vectors.T
-        closest = np.zeros(len(relevance))
-        order: list[int] = []
-        values: list[float] = []
-        while len(order) < min(top_k, len(relevance)):
+    def pick(relevance: np.ndarray, vectors: np.ndarray, sizes: np.ndarray):
+        """Place of the pick of each step, and its value, for queries that have ``sizes`` candidates each."""
+        everyone = np.arange(len(sizes))
+        closest = np.zeros(relevance.shape)
+        out = np.arange(relevance.shape[1]) >= sizes[:, None]
+        for step in range(min(top_k, relevance.shape[1])):
             value = lambda_mult * relevance - (1 - lambda_mult) * closest
             ranked = np.round(value, RANK_DECIMALS)
-            ranked[order] = -np.inf
-            best = int(ranked.argmax())
-            closest = np.maximum(closest, alike[best]) if order else alike[best]
-            order.append(best)
-            values.append(float(value[best]))
-        return order, values
-
-    def rerank(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            ranked[out] = -np.inf
+            best = ranked.argmax(axis=1)
+            alike = np.einsum("nmw,nw->nm", vectors, vectors[everyone, best])
+            closest = np.maximum(closest, alike) if step else alike
+            out[everyone, best] = True
+            yield best, value[everyone, best]
+
+    def rerank(batches):
+        import pyarrow as pa
+
         for batch in batches:
-            out: dict[str, list] = {name: [] for name in schema.names}
-            for query_id, ids, scores, embeddings in zip(
-                batch["query_id"], batch["id"], batch["score"], batch["embedding"], strict=True
-            ):
-                order, values = pick(np.asarray(scores, dtype=np.float64), unit_rows(embeddings))
-                out["query_id"].extend([query_id] * len(order))
-                out["id"].extend(ids[row] for row in order)
-                out["score"].extend(scores[row] for row in order)
-                out["mmr_score"].extend(values)
-                out["mmr_rank"].extend(range(1, len(order) + 1))
-            yield pd.DataFrame(out).astype({"mmr_rank": "int32"})
-
-    return sets.mapInPandas(rerank, schema)
+            sizes = batch.column("id").value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            starts = np.cumsum(sizes) - sizes
+            ids, scores = batch.column("id").flatten(), batch.column("score").flatten()
+            embeddings = batch.column("embedding").flatten()
+            relevance = scores.to_numpy(zero_copy_only=False).astype(np.float64)
+            per_query = max(1, int(sizes.max(initial=1))) * max(1, len(embeddings[0]) if len(embeddings) else 1)
+            step = max(1, SCORE_CELLS // per_query)
+            for first in range(0, len(sizes), step):
+                size, start = sizes[first:first + step], starts[first:first + step]
+                low, high = start[0], start[-1] + size[-1]
+                if low == high:
+                    continue
+                places = np.minimum(start[:, None] + np.arange(size.max()), high - 1) - low
+                vectors = unit_column(embeddings.slice(low, high - low))[places]
+                picks = list(pick(relevance[low:high][places], vectors, size))
+                taken = np.minimum(size, len(picks))
+                rows = np.repeat(np.arange(len(size)), taken)
+                steps = np.arange(len(rows)) - np.repeat(np.cumsum(taken) - taken, taken)
+                best, values = (np.stack(column, axis=1)[rows, steps] for column in zip(*picks, strict=True))
+                at = pa.array(start[rows] + best)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("query_id").take(pa.array(first + rows)), ids.take(at), scores.take(at).cast("double"),
+                     pa.array(values), pa.array(steps + 1, type=pa.int32())], schema.names)
+
+    return sets.mapInArrow(rerank, schema)

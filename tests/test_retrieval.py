@@ -229,3 +229,16 @@ def test_search_with_odd_rows(spark, monkeypatch, by_block):
     for row in sorted(found.collect(), key=lambda r: r["rank"]):
         got.setdefault(row.query_id, []).append(row.id)
     assert got == want
+
+
+def test_mmr_of_queries_with_unlike_candidate_counts(spark, monkeypatch):
+    monkeypatch.setattr(S, "SCORE_CELLS", 200)  # several slices of a batch
+    rows = clustered(8, 60)
+    query = [0.3, 1.0, -0.2, 0.5, 0.0, 0.1]
+    sets = {f"q{n}": rows[n:n + n % 9 + 1] for n in range(40)}
+    candidates = [(q, i, cosine(query, v), v) for q, some in sets.items() for i, v in some]
+    df = spark.createDataFrame(candidates, "query_id string, id long, score double, embedding array<double>")
+    got: dict = {}
+    for row in sorted(S.mmr_rerank(df, 5, 0.3).collect(), key=lambda r: r.mmr_rank):
+        got.setdefault(row.query_id, []).append(row.id)
+    assert got == {q: brute_mmr(query, some, 5, 0.3) for q, some in sets.items()}
