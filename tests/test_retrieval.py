@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sigmart.functions.vectors import cosine_col
+from sigmart.operators import keyword as K
 from sigmart.operators import similarity as S
 from sigmart.operators.embed import embed_documents, embed_with
 from sigmart.operators.keyword import keyword_search
@@ -242,3 +243,17 @@ def test_mmr_of_queries_with_unlike_candidate_counts(spark, monkeypatch):
     for row in sorted(S.mmr_rerank(df, 5, 0.3).collect(), key=lambda r: r.mmr_rank):
         got.setdefault(row.query_id, []).append(row.id)
     assert got == {q: brute_mmr(query, some, 5, 0.3) for q, some in sets.items()}
+
+
+@pytest.mark.parametrize("limit", [1000, 0])
+def test_keyword_tasks_grow_in_number_not_in_size(spark, monkeypatch, limit):
+    """400 documents and 10 queries are 4,000 pairs: 40 tasks of 100 pairs score them, whatever the session deals by."""
+    monkeypatch.setattr(K, "TASK_PAIRS", 100, raising=False)
+    docs = spark.createDataFrame([(n % 380, f"spam word{n % 7}" * (n % 5)) for n in range(400)], "id long, content string")
+    queries = spark.createDataFrame([(n, f"spam word{n}") for n in range(10)], "query_id long, text string")
+    found = keyword_search(queries, docs, top_k=5, broadcast_terms=limit)
+    assert re.search(r"hashpartitioning\(id#\d+L?, 40\)", found._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(K, "TASK_PAIRS", 10**9, raising=False)
+    other = keyword_search(queries, docs, top_k=5, broadcast_terms=limit)
+    rows = [sorted(map(tuple, x.selectExpr("query_id", "id", "round(score, 6)", "rank").collect())) for x in (found, other)]
+    assert rows[0] == rows[1] and rows[0]
