@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import random
 import re
 from collections import Counter
@@ -257,3 +258,27 @@ def test_keyword_tasks_grow_in_number_not_in_size(spark, monkeypatch, limit):
     other = keyword_search(queries, docs, top_k=5, broadcast_terms=limit)
     rows = [sorted(map(tuple, x.selectExpr("query_id", "id", "round(score, 6)", "rank").collect())) for x in (found, other)]
     assert rows[0] == rows[1] and rows[0]
+
+
+def test_postings_are_written_once_and_pairs_are_not_shuffled(spark, tmp_path):
+    """The index holds a row for each word and block, and a search shuffles such rows by block, not what it scores."""
+    docs = spark.createDataFrame([(n, f"spam word{n % 3} word{n % 50}") for n in range(200)] + [(200, "")], "id long, content string")
+    queries = spark.createDataFrame([(1, "spam word2"), (2, "word7")], "query_id long, text string")
+    path = str(tmp_path / "index")
+    write_postings(docs, path, block_documents=50)
+    assert {name for name in os.listdir(path) if not name.startswith(".")} == {"documents", "postings", "totals"}
+    written = spark.read.parquet(f"{path}/postings")
+    assert written.count() == written.select("term", "block").distinct().count()
+    for limit in (500_000, 0):
+        found = search_postings(spark, path, queries, top_k=3, broadcast_terms=limit)
+        assert found.count() == 6
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"Exchange hashpartitioning\([^)]*\bid#", plan)
+
+
+def test_postings_of_texts_without_words(spark, tmp_path):
+    queries = spark.createDataFrame([(1, "spam")], "query_id long, text string")
+    for name, rows in (("none", []), ("empty", [(1, ""), (2, None)])):
+        path = str(tmp_path / name)
+        write_postings(spark.createDataFrame(rows, "id long, content string"), path)
+        assert search_postings(spark, path, queries, carry=[]).count() == 0
