@@ -108,7 +108,8 @@ def sketches(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS) -
 def connected(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable over edges (a, b), by large-star and small-star rounds.
 
-    Each round is written to the shared folder, so a lost executor costs one round at most.
+    Each round is written to the shared folder, so a lost executor costs one round at most. Edges lead from a larger to a
+    smaller node; once no node has two edges down, or edges on both sides, they are stars around the smallest nodes.
     """
 
     def star(directed: DataFrame) -> DataFrame:
@@ -116,13 +117,14 @@ def connected(edges: DataFrame) -> DataFrame:
         least = directed.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
         return directed.join(least, "u")
 
-    def checksum(current: DataFrame) -> tuple:
-        return tuple(current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+    def stars(current: DataFrame) -> bool:
+        ends = current.select(F.col("a").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionAll(
+            current.select(F.col("b").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+        return not ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up")).where("down + up > 1 AND down > 0").count()
 
     current = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                           .distinct(), "edges")
-    state = checksum(current)
-    while True:
+    while not stars(current):
         both = current.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(
             current.select(F.col("b").alias("u"), F.col("a").alias("v")))
         large = star(both).where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b")
@@ -130,9 +132,6 @@ def connected(edges: DataFrame) -> DataFrame:
         small = down.select(F.col("v").alias("a"), F.col("m").alias("b")).unionAll(
             down.select(F.col("u").alias("a"), F.col("m").alias("b"))).where("a <> b")
         current = materialize(small.distinct(), "edges")
-        before, state = state, checksum(current)
-        if state == before:
-            break
     roots = current.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(roots)
 
@@ -236,8 +235,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT, band
                         .join(needed, "doc_id", "left_semi"), "texts")
 
     best = F.max_by("head", F.struct("bands", -F.col("head")))
-    stars = shared.join(heads, "key").where("rep <> head").groupBy("rep", "head").agg(F.count("*").alias("bands")).groupBy("rep").agg(
+    chosen = shared.join(heads, "key").where("rep <> head").groupBy("rep", "head").agg(F.count("*").alias("bands")).groupBy("rep").agg(
         best.alias("b")).select(F.col("rep").alias("a"), "b")
+    stars = materialize(chosen, "stars")  # read three times
     # Many members may share one head, so the join by head comes last: adaptive execution splits it.
     around = materialize(compared(stars, texts, size, percent), "compared")
     links = materialize(around.where("linked").select("a", "b").unionAll(links_around_heads(around, percent)), "links")
@@ -261,7 +261,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT, band
     done = stars.select("a", "b").unionAll(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
     pairs = materialize(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
     more = materialize(compared(pairs, texts, size, percent).where("linked").select("a", "b"), "links")
-    final = connected(links.unionAll(more))
+    # Often no more links are found; those that are join the components there are.
+    known = component.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    final = connected(known.unionAll(more)) if more.count() else component
 
     named = classes.select("digest", "rep").join(final, F.col("rep") == F.col("node"), "left").select(
         "digest", F.coalesce("component", "rep").alias("component"))
